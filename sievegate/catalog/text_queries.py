@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievegate.catalog import tables as t
+from sievegate.catalog.registry import registry
 from sievegate.functions.chunks import chunk_texts
 from sievegate.functions.prompts import classify_prompt
 from sievegate.functions.rules import luhn_cards, parse_label, searched_text
@@ -20,17 +21,7 @@ from sievegate.operators import dedupe, labelling
 from sievegate.operators.ranking import first_per_group
 from sievegate.sources.files import sample_articles
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(function):
-        QUERIES[name] = function
-        if sql is not None:
-            ORACLES[name] = sql
-        return function
-
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 @query(
