@@ -109,18 +109,15 @@ def exclusion_stats(spark, d):
 @query(
     "allow_list_rows",
     t.with_tables(
-        "turns",
-        "SELECT doc_id, chunk_ord, title, md5(text) AS digest, 'public' AS weak_label FROM turns SEMI JOIN allowed USING (doc_id)",
+        "turn_evidence",
+        f"SELECT doc_id, chunk_ord, title, md5(text) AS digest, {t.SQL_LABEL} AS weak_label FROM turn_evidence SEMI JOIN allowed USING (doc_id)",
         _CUT,
     ),
 )
 def allow_list_rows(spark, d):
     turns = t.turns(spark, d)
     rows = trainset.train_rows(turns, labelling.label_chunks(turns), allowed(spark, d))
-    return rows.select(
-        "doc_id", "chunk_ord", "title", F.md5("text").alias("digest"),
-        F.when(F.col("weak_label").isNotNull(), "public").alias("weak_label"),
-    )
+    return rows.select("doc_id", "chunk_ord", "title", F.md5("text").alias("digest"), "weak_label")
 
 
 @query(
@@ -267,10 +264,6 @@ def key_blocks(spark, d):
     )
 
 
-_TAGS = """CASE event_type WHEN 'view' THEN ['O'] WHEN 'click' THEN ['B-EMAIL', 'O'] WHEN 'purchase' THEN ['B-CREDITCARDNUMBER', 'I-CREDITCARDNUMBER']
-    WHEN 'signup' THEN ['B-FULLNAME', 'B-EMAIL'] ELSE ['I-PIN', 'O'] END"""
-
-
 @query(
     "tagged_labels",
     """SELECT event_type, CASE event_type WHEN 'purchase' THEN 'confidential' WHEN 'click' THEN 'internal' WHEN 'signup' THEN 'internal' ELSE 'public' END AS label,
@@ -300,12 +293,12 @@ _ROLES = t.sql_roles(t.sql_team("id"))
     "upsert_documents",
     t.with_tables(
         "text_evidence",
-        """SELECT id, coalesce(s.title, i.title) = i.title AS same_title, i.label AS label,
+        """SELECT id, md5(i.title) AS title, i.label AS label,
         CASE WHEN s.id IS NULL THEN '' ELSE array_to_string(list_sort(s.allowed_roles), '+') END AS role_set FROM incoming i LEFT JOIN stored s USING (id)""",
         f"""incoming AS (SELECT doc_id AS id, title, {t.SQL_LABEL} AS label FROM text_evidence),
         stored0 AS (SELECT doc_id::VARCHAR AS id, 'old title' AS title, CASE WHEN toxic = 1 THEN 'confidential' ELSE 'internal' END AS label, 'text' AS modality FROM labels),
         stored AS (SELECT id, title, {_ROLES} AS allowed_roles FROM stored0)""",
-    ).replace("coalesce(s.title, i.title) = i.title", "true"),
+    ),
 )
 def upsert_documents(spark, d):
     """Stored rows for labelled documents meet incoming rows for all documents."""
@@ -328,7 +321,7 @@ def upsert_documents(spark, d):
     merged = refresh_documents(stored, incoming)
     return merged.select(
         "id",
-        (F.col("title") != "old title").alias("same_title"),
+        F.md5("title").alias("title"),
         "label",
         role_set_key(F.col("allowed_roles")).alias("role_set"),
     )

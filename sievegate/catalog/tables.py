@@ -31,18 +31,22 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
 # --- messages: documents as subject line and body ---------------------------------------
 
 
-def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
+def as_messages(documents: DataFrame) -> DataFrame:
     """First line as subject, the rest (or a single line itself) as body, hashed split."""
     text, gap = F.col("text"), F.instr("text", "\n")
     bucket = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 4), 16, 10).cast("int") % 100
     split = F.when(bucket < 80, "train").when(bucket < 90, "validation").otherwise("test")
-    return texts(spark, folder).select(
+    return documents.select(
         F.when(gap > 0, F.substr(text, gap + F.lit(1))).otherwise(text).alias("email_body"),
         F.substring_index(text, "\n", 1).alias("subject_line"),
         split.alias("split"),
     )
 
 
+def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return as_messages(texts(spark, folder))
+
+
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     return build_corpus(raw_messages(spark, folder))
 
@@ -342,6 +346,7 @@ SQL = {
     "texts": """texts AS (SELECT doc_id::VARCHAR AS doc_id, split_part(text, chr(10), 1) AS title, text, lang, source FROM documents)""",
     "text_evidence": sql_evidence("text_evidence", "texts", "doc_id, title, text, lang, source", "doc_id"),
     "corpus_evidence": sql_evidence("corpus_evidence", "corpus", "doc_id, chunk_ord, title, text", "doc_id || ':' || chunk_ord"),
+    "turn_evidence": sql_evidence("turn_evidence", "turns", "doc_id, chunk_ord, title, text", "doc_id"),
     "corpus_labels": f"""corpus_labels AS (SELECT doc_id, chunk_ord, {SQL_LABEL} AS label, {SQL_PII} AS pii,
         {SQL_RULE_LIST} AS rules FROM corpus_evidence)""",
     "items": """items AS (SELECT vec_id AS chunk_id, vec_id // 4 AS doc_id, embedding::DOUBLE[] AS v, label::BIGINT AS topic FROM embeddings)""",
@@ -362,7 +367,7 @@ SQL = {
 _NEEDS = {
     "cleaned": ["raw_messages"], "uniq": ["cleaned"], "windows": ["uniq"], "corpus": ["windows"],
     "corpus_evidence": ["corpus"], "corpus_labels": ["corpus_evidence"], "text_evidence": ["texts"],
-    "vdocs": ["items"], "pairs": ["items"], "predictions": ["text_evidence"],
+    "turn_evidence": ["turns"], "vdocs": ["items"], "pairs": ["items"], "predictions": ["text_evidence"],
 }
 
 

@@ -85,7 +85,7 @@ def approximate_items(
     right = right.join(grid, cell).select(
         *right.columns,
         F.explode(F.sequence(whole, F.col("_nq") - 1)).alias("_qt"),
-        F.pmod(F.xxhash64(F.col(item_id).cast("string")), F.col("_ni")).cast("int").alias("_it"),
+        F.pmod(F.xxhash64(item_id), F.col("_ni")).cast("int").alias("_it"),
     )
     layout = _local_schema(queries, items, query_id, [item_id])
     winners = join_cells(left, right, [*cell, "_qt", "_it"], layout, [item_id], dim, k, None)

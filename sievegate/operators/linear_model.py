@@ -98,9 +98,10 @@ def choose_c(
             estimator=base, estimatorParamMaps=params, evaluator=MacroF1Evaluator(),
             numFolds=FOLDS, foldCol="fold", parallelism=parallelism,
         )
-        means = dict(zip(grid, search.fit(prepared).avgMetrics, strict=True))
+        scores = [float(score) for score in search.fit(prepared).avgMetrics]
     finally:
         prepared.unpersist()
+    means = dict(zip(grid, scores, strict=True))
     return max(grid, key=means.__getitem__), means
 
 

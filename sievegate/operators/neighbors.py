@@ -19,7 +19,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -177,6 +177,10 @@ def join_cells(
     )
 
 
+def _all_tiles(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
+
+
 def _tile_join(
     queries: DataFrame, items: DataFrame, layout: T.StructType, kept: list[str], dim: int, k: int,
     group: str | None, tile_queries: int, tile_items: int,
@@ -186,12 +190,12 @@ def _tile_join(
     left = queries.select(
         "*",
         F.pmod(F.xxhash64("_query"), F.lit(n_query_tiles)).alias("_qt"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_item_tiles - 1))).cast("bigint").alias("_it"),
+        F.explode(_all_tiles(n_item_tiles)).alias("_it"),
     )
     right = items.select(
         "*",
-        F.explode(F.sequence(F.lit(0), F.lit(n_query_tiles - 1))).cast("bigint").alias("_qt"),
-        F.pmod(F.xxhash64(F.col(kept[0]).cast("string")), F.lit(n_item_tiles)).alias("_it"),
+        F.explode(_all_tiles(n_query_tiles)).alias("_qt"),
+        F.pmod(F.xxhash64(kept[0]), F.lit(n_item_tiles)).alias("_it"),
     )
     return join_cells(left, right, ["_qt", "_it"], layout, kept, dim, k, group)
 
