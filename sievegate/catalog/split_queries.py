@@ -232,7 +232,7 @@ def weak_gold_agreement(spark, d):
     ),
 )
 def stratified_sample(spark, d):
-    chunks = t.corpus(spark, d)
+    chunks = t.stored_corpus(spark, d)
     sample = labelling.review_sample(chunks, labelling.label_chunks(chunks))
     return sample.select("doc_id", "chunk_ord", "weak_label")
 
@@ -256,7 +256,7 @@ def stratified_folds(spark, d):
 )
 def key_blocks(spark, d):
     """Document ids are ``split:hash``; split and two hash digits make an ordered bucket."""
-    keys = t.corpus(spark, d).select("doc_id", "chunk_ord")
+    keys = t.stored_corpus(spark, d).select("doc_id", "chunk_ord")
     cut = F.substring("doc_id", 1, F.instr("doc_id", ":") + F.lit(2))
     blocks = ordered_blocks(keys, ["doc_id", "chunk_ord"], cut)
     return blocks.groupBy("block").agg(

@@ -14,6 +14,7 @@ from sievegate.operators.labelling import label_chunks
 from sievegate.operators.upsert import grant_roles
 from sievegate.plans.prep import build_corpus, clean_messages
 from sievegate.schemas import LABELS
+from sievegate.session import cut_lineage
 from sievegate.sources.files import widen
 
 DIM = 64
@@ -51,6 +52,11 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
     return build_corpus(raw_messages(spark, folder))
 
 
+def stored_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus written to the shared folder, for queries that read it several times."""
+    return cut_lineage(corpus(spark, folder))
+
+
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return clean_messages(raw_messages(spark, folder))
 

@@ -134,9 +134,9 @@ def chunk_bounds(spark, d):
 )
 def small_windows(spark, d):
     pieces = t.table(spark, d, "conversations").select(
-        "conv_id", "turn", F.explode(chunk_texts(F.col("text"), 300, 20)).alias("piece")
+        "conv_id", "turn", F.explode_outer(chunk_texts(F.col("text"), 300, 20)).alias("piece")
     )
-    return pieces.groupBy("conv_id", "turn").agg(
+    return pieces.filter(F.col("piece").isNotNull()).groupBy("conv_id", "turn").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.sum(F.length("piece")).alias("chars")
     )
 
@@ -183,7 +183,7 @@ def corpus_integrity(spark, d):
     ),
 )
 def chunks_per_document(spark, d):
-    return corpus_ops.chunks_per_document(t.corpus(spark, d), (0.5, 0.9, 0.99))
+    return corpus_ops.chunks_per_document(t.stored_corpus(spark, d), (0.5, 0.9, 0.99))
 
 
 @query(
@@ -196,7 +196,7 @@ def chunks_per_document(spark, d):
     ),
 )
 def whole_document_text(spark, d):
-    chunks = t.corpus(spark, d)
+    chunks = t.stored_corpus(spark, d)
     titles = chunks.groupBy("doc_id").agg(F.min("title").alias("title"))
     return corpus_ops.whole_texts(chunks, titles).select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("digest")
@@ -252,7 +252,8 @@ def pii_flag_counts(spark, d):
 )
 def luhn_card_numbers(spark, d):
     blob = searched_text(F.col("title"), F.col("text"))
-    return t.text_documents(spark, d).select("doc_id", F.explode(luhn_cards(blob)).alias("card"))
+    cards = t.text_documents(spark, d).select("doc_id", F.explode_outer(luhn_cards(blob)).alias("card"))
+    return cards.filter(F.col("card").isNotNull())
 
 
 @query(

@@ -19,6 +19,7 @@ from sievegate.operators.neighbors import document_ranking, nearest_items
 from sievegate.operators.ranking import first_per_group
 from sievegate.operators.ranking_metrics import METRICS, mean_scores, query_scores
 from sievegate.plans import bench
+from sievegate.session import cut_lineage
 from sievegate.sources.files import content_digest
 
 QUERIES, ORACLES, query = registry()
@@ -298,7 +299,7 @@ def word_counter():
 def embedding_batches(spark, d):
     turns = t.table(spark, d, "conversations")
     vector = encoder_column(encoder_input(F.col("role"), F.col("text")), word_counter, 16)
-    slots = turns.select("conv_id", "turn", F.posexplode(vector).alias("slot", "value"))
+    slots = turns.select("conv_id", "turn", F.posexplode_outer(vector).alias("slot", "value"))
     return slots.filter(F.col("value") != 0).select(
         "conv_id", "turn", "slot", F.round(F.col("value").cast("double"), 5).alias("value")
     )
@@ -316,8 +317,8 @@ def hashed_embedding(spark, d):
 @query("text_retrieval")
 def text_retrieval(spark, d):
     """Subjects and passages of held-out documents against all chunks, hashed vectors."""
-    chunks = t.corpus(spark, d)
-    queries = frozen(spark, d)
+    chunks = t.stored_corpus(spark, d)
+    queries = cut_lineage(frozen(chunks))
     asked = hashed_vectors(queries, "text", 256)
     items = hashed_vectors(
         chunks.withColumn("_in", encoder_input(F.col("title"), F.col("text"))), "_in", 256
@@ -330,14 +331,13 @@ def text_retrieval(spark, d):
     return mean_scores(scores.join(queries.select("qid", "kind"), "qid"), ["kind"])
 
 
-def corpus_documents(spark, d):
-    chunks = t.corpus(spark, d)
-    return chunks.groupBy("doc_id").agg(F.min("title").alias("title"), F.lit("text").alias("modality"))
+def corpus_documents(corpus):
+    return corpus.groupBy("doc_id").agg(F.min("title").alias("title"), F.lit("text").alias("modality"))
 
 
-def frozen(spark, d):
-    chunks = t.corpus(spark, d).withColumnRenamed("chunk_ord", "ord")
-    return bench.freeze_queries(corpus_documents(spark, d), chunks)
+def frozen(corpus):
+    chunks = corpus.withColumnRenamed("chunk_ord", "ord")
+    return bench.freeze_queries(corpus_documents(corpus), chunks)
 
 
 _STRIPPED = t.sql_strip("title")
@@ -351,7 +351,7 @@ _PASSAGE = """CASE WHEN strpos(substr(text, 1, 500), ' ') > 1 AND strpos(substr(
     t.with_tables("uniq", f"SELECT doc_id, {_INFORMATIVE} AS informative FROM uniq"),
 )
 def informative_subjects(spark, d):
-    return corpus_documents(spark, d).select("doc_id", informative_subject(F.col("title")).alias("informative"))
+    return corpus_documents(t.corpus(spark, d)).select("doc_id", informative_subject(F.col("title")).alias("informative"))
 
 
 @query(
@@ -376,9 +376,9 @@ def chunk_query_text(spark, d):
     ),
 )
 def frozen_queries(spark, d):
-    return frozen(spark, d).select("qid", "kind", F.md5("text").alias("digest"), "relevant_doc")
+    return frozen(t.stored_corpus(spark, d)).select("qid", "kind", F.md5("text").alias("digest"), "relevant_doc")
 
 
 @query("frozen_digest")
 def frozen_digest(spark, d):
-    return content_digest(frozen(spark, d))
+    return content_digest(frozen(t.stored_corpus(spark, d)))

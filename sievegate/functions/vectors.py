@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -15,6 +17,11 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over ``value`` computed once; inside a lambda it would run per element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def as_double(vector: Column) -> Column:
     return vector.cast("array<double>")
 
@@ -49,9 +56,12 @@ def l2_norm(vector: Column) -> Column:
 
 def renormalize(vector: Column) -> Column:
     """Unit length in double precision; a zero vector is an error."""
-    norm = l2_norm(vector)
-    safe = F.when(norm > 0, norm).otherwise(F.raise_error("zero-norm vector").cast("double"))
-    return F.transform(as_double(vector), lambda x: x / safe)
+
+    def divided(norm: Column) -> Column:
+        safe = F.when(norm > 0, norm).otherwise(F.raise_error("zero-norm vector").cast("double"))
+        return _bind(safe, lambda n: F.transform(as_double(vector), lambda x: x / n))
+
+    return F.when(vector.isNotNull(), _bind(l2_norm(vector), divided))
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -77,9 +87,15 @@ def cosine_distance(left: Column, right: Column) -> Column:
 
 
 def softmax(logits: Column) -> Column:
-    peak = F.array_max(logits)
-    powers = F.transform(logits, lambda x: F.exp(x - peak))
-    return F.transform(powers, lambda x: x / _sum(powers))
+
+    def shares(powers: Column) -> Column:
+        return _bind(_sum(powers), lambda total: F.transform(powers, lambda x: x / total))
+
+    def shifted(values: Column) -> Column:
+        powers = _bind(F.array_max(values), lambda peak: F.transform(values, lambda x: F.exp(x - peak)))
+        return _bind(powers, shares)
+
+    return _bind(logits, shifted)
 
 
 def label_map(values: Column) -> Column:

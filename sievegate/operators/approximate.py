@@ -61,9 +61,9 @@ def approximate_items(
 
     def spread(df: DataFrame) -> DataFrame:
         codes = band_buckets(F.col("_vector"), dim, bands, planes, seed)
-        return df.withColumn("_codes", codes).select(
-            *df.columns, F.posexplode("_codes").alias("_band", "_bucket")
-        )
+        banded = df.withColumn("_codes", codes)
+        # Outer: a plain explode would evaluate the codes twice.
+        return banded.select(*df.columns, F.posexplode_outer("_codes").alias("_band", "_bucket"))
 
     left = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).alias("_vector"))
     left = spread(left.filter(F.col("_vector").isNotNull()))

@@ -12,11 +12,17 @@ from sievegate.operators.quantiles import nearest_rank
 def explode_chunks(
     df: DataFrame, text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
 ) -> DataFrame:
-    """One row per chunk with its 0-based ordinal; ``text`` becomes the chunk's text."""
+    """One row per chunk with its 0-based ordinal; ``text`` becomes the chunk's text.
+
+    The outer form matters: for a plain explode Spark adds a non-empty filter on the list
+    below it, which would run the window walk a second time.
+    """
     kept = [c for c in df.columns if c != text]
     pieces = df.withColumn("_pieces", chunk_texts(F.col(text), size, overlap))
-    return pieces.select(*kept, F.posexplode("_pieces").alias("chunk_ord", "text")).withColumn(
-        "char_len", F.length("text")
+    return (
+        pieces.select(*kept, F.posexplode_outer("_pieces").alias("chunk_ord", "text"))
+        .filter(F.col("chunk_ord").isNotNull())
+        .withColumn("char_len", F.length("text"))
     )
 
 

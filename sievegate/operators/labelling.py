@@ -73,17 +73,16 @@ def review_sample(corpus: DataFrame, labels: DataFrame, n: int = 200, seed: int
         [F.col("_draw"), F.col("doc_id"), F.col("chunk_ord")],
         share,
     )
-    strata = per_label.withColumn("_tier", F.lit(0)).select("doc_id", "chunk_ord", "_tier", "_draw")
-    # At most 3 * share of the n best fill candidates can already be in a stratum.
-    fill = (
-        drawn.orderBy("_fill", "doc_id", "chunk_ord")
-        .limit(n + 3 * share)
-        .select("doc_id", "chunk_ord", F.lit(1).alias("_tier"), F.col("_fill").alias("_draw"))
-        .join(strata.select("doc_id", "chunk_ord"), ["doc_id", "chunk_ord"], "left_anti")
+    # At most 3 * share of the best fill candidates can already be in a stratum.
+    filling = drawn.orderBy("_fill", "doc_id", "chunk_ord").limit(n + 3 * share)
+    candidates = per_label.select("doc_id", "chunk_ord", F.lit(0).alias("_tier"), F.col("_draw").alias("_at"))
+    candidates = candidates.unionByName(
+        filling.select("doc_id", "chunk_ord", F.lit(1).alias("_tier"), F.col("_fill").alias("_at"))
     )
     picked = (
-        strata.unionByName(fill)
-        .orderBy("_tier", "_draw", "doc_id", "chunk_ord")
+        candidates.groupBy("doc_id", "chunk_ord")
+        .agg(F.min(F.struct("_tier", "_at")).alias("_first"))
+        .orderBy("_first", "doc_id", "chunk_ord")
         .limit(n)
         .select("doc_id", "chunk_ord")
     )

@@ -1,100 +1,87 @@
 """Exact percentiles by rank, for groups too large to sort in one task.
 
-Values are first counted, so ties cost one row. A sketch then proposes split points per
-group, counts are taken per interval between them, and only the intervals holding a wanted
-rank are ordered. The sketch decides how the work is divided, never the answer.
+A quantile sketch brackets each wanted rank; its error bound guarantees that the answer lies
+inside. One further pass counts what lies below the bracket and keeps the values within, a
+fixed small share of the rows, and only those are ordered. The sketch decides how little
+has to be sorted, never the answer.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PIECES = 256
+_ACCURACY = 100_000
+_MARGIN = 2.0 / _ACCURACY
 
 
-def _ranked_values(
-    df: DataFrame, groups: Sequence[str], value: str, wanted: dict[float, Column]
+def _at_ranks(
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    quantiles: Sequence[float],
+    rank: Callable[[float, Column], Column],
 ) -> DataFrame:
-    """``groups, q, value`` where value is the wanted 1-based rank; ``n`` is the group size."""
-    spark_groups = list(groups) or ["_all"]
-    source = df if groups else df.withColumn("_all", F.lit(0))
+    """``groups, q, n, value`` with the value at 1-based ``rank(q, n)``."""
+    if not groups:
+        whole = df.withColumn("_all", F.lit(0))
+        return _at_ranks(whole, ["_all"], value, quantiles, rank).drop("_all")
+    keys = list(groups)
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    ends = [e for q in quantiles for e in (max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0))]
+    outline = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", F.array(*map(F.lit, ends)), _ACCURACY).alias("_ends"),
+    )
+
+    def bracket(i: int, q: float) -> Column:
+        low = F.col("_min") if ends[2 * i] == 0.0 else F.get("_ends", 2 * i)
+        high = F.col("_max") if ends[2 * i + 1] == 1.0 else F.get("_ends", 2 * i + 1)
+        return F.struct(
+            F.lit(q).alias("q"), low.alias("low"), high.alias("high"),
+            rank(q, F.col("n")).cast("bigint").alias("rank"),
+        )
+
+    brackets = outline.select(
+        *keys, "n", F.explode(F.array(*[bracket(i, q) for i, q in enumerate(quantiles)])).alias("_b")
+    ).select(*keys, "n", "_b.*")
+    # Everything below a bracket becomes one null row, which sorts first.
     counted = (
-        source.filter(F.col(value).isNotNull())
-        .groupBy(*spark_groups, F.col(value).alias("_v"))
+        rows.join(brackets, keys)
+        .filter(F.col("_v") <= F.col("high"))
+        .groupBy(*keys, "q", "n", "rank", F.when(F.col("_v") >= F.col("low"), F.col("_v")).alias("value"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    steps = F.array(*[F.lit(i / _PIECES) for i in range(1, _PIECES)])
-    plan = counted.groupBy(*spark_groups).agg(
-        F.array_distinct(F.percentile_approx("_v", steps, 10_000)).alias("_splits"),
-        F.sum("_n").alias("n"),
-    )
-    located = counted.join(plan.select(*spark_groups, "_splits"), spark_groups).select(
-        *spark_groups,
-        "_v",
-        "_n",
-        F.size(F.filter("_splits", lambda s: s < F.col("_v"))).alias("_piece"),
-    )
-    running = (
-        Window.partitionBy(*spark_groups)
-        .orderBy("_piece")
+    upto = (
+        Window.partitionBy(*keys, "q")
+        .orderBy(F.col("value").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    pieces = (
-        located.groupBy(*spark_groups, "_piece")
-        .agg(F.sum("_n").alias("_size"))
-        .withColumn("_through", F.sum("_size").over(running))
-        .withColumn("_before", F.col("_through") - F.col("_size"))
-    )
-    targets = plan.select(
-        *spark_groups,
-        "n",
-        F.explode(
-            F.array(
-                *[F.struct(F.lit(q).alias("q"), rank.cast("long").alias("r")) for q, rank in wanted.items()]
-            )
-        ).alias("_t"),
-    ).select(*spark_groups, "n", "_t.q", F.col("_t.r").alias("_rank"))
-    holding = (
-        targets.join(pieces, spark_groups)
-        .filter((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_through")))
-        .groupBy(*spark_groups, "_piece", "_before", "n")
-        .agg(F.collect_list(F.struct("q", "_rank")).alias("_asked"))
+    found = counted.withColumn("_upto", F.sum("_n").over(upto)).filter(
+        (F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("_n"))
     )
-    inside = (
-        Window.partitionBy(*spark_groups, "_piece")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ordered = (
-        located.join(holding, [*spark_groups, "_piece"])
-        .withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
-        .withColumn("_t", F.explode("_asked"))
-        .filter(
-            (F.col("_t._rank") <= F.col("_upto"))
-            & (F.col("_t._rank") > F.col("_upto") - F.col("_n"))
-        )
-    )
-    return ordered.select(*groups, F.col("_t.q").alias("q"), "n", F.col("_v").alias("value"))
+    missed = F.raise_error("wanted rank outside its bracket").cast(rows.schema["_v"].dataType)
+    return found.select(*keys, "q", "n", F.coalesce("value", missed).alias("value"))
 
 
 def nearest_rank(
     df: DataFrame, groups: Sequence[str], value: str, quantiles: Sequence[float]
 ) -> DataFrame:
     """The ``ceil(q * n)``-th smallest value (at least the first)."""
-    n = F.col("n")
-    wanted = {
-        q: F.greatest(F.least(F.ceil(F.lit(q) * n), n), F.lit(1).cast("long")) for q in quantiles
-    }
-    return _ranked_values(df, groups, value, wanted)
+    return _at_ranks(
+        df, groups, value, quantiles,
+        lambda q, n: F.greatest(F.least(F.ceil(F.lit(q) * n), n), F.lit(1).cast("bigint")),
+    )
 
 
 def floor_index(
     df: DataFrame, groups: Sequence[str], value: str, quantiles: Sequence[float]
 ) -> DataFrame:
     """The value at 0-based index ``int(q * n)``, the second rule in use for latencies."""
-    n = F.col("n")
-    wanted = {q: F.least(F.floor(F.lit(q) * n) + 1, n) for q in quantiles}
-    return _ranked_values(df, groups, value, wanted)
+    return _at_ranks(
+        df, groups, value, quantiles, lambda q, n: F.least(F.floor(F.lit(q) * n) + 1, n)
+    )

@@ -18,13 +18,16 @@ from sievegate.sources.files import read_raw_splits, write_stats, write_table
 def clean_messages(raw: DataFrame, id_digits: int = 8) -> DataFrame:
     """``doc_id, thread_id, split, title, cleaned`` for messages with any text left."""
     body, subject = F.col("email_body"), F.col("subject_line")
+    # A filter on the cleaned text would be pushed down and clean every text twice. Exploding
+    # a list of at most one text drops the empty ones with a single evaluation.
+    texts = F.filter(F.array(clean_text(body)), lambda text: text != "")
     return raw.select(
         content_doc_id(F.col("split"), body, subject, id_digits).alias("doc_id"),
         thread_id(subject).alias("thread_id"),
         "split",
         F.coalesce(subject, F.lit("")).alias("title"),
-        clean_text(body).alias("cleaned"),
-    ).filter(F.col("cleaned") != "")
+        F.explode_outer(texts).alias("cleaned"),
+    ).filter(F.col("cleaned").isNotNull())
 
 
 def chunk_messages(

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sievegate.operators.dedupe import drop_normalized_copies
 from sievegate.operators.labelling import label_chunks
 from sievegate.operators.upsert import pending_rows
 from sievegate.plans.prep import chunk_messages, clean_messages
-from sievegate.operators.dedupe import drop_normalized_copies
+from sievegate.sources.files import widen
 
 
 def message_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
@@ -60,7 +61,8 @@ def start_prep(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cleaned = clean_messages(prepare(batch) if prepare else batch)
+        arrived = widen(batch)
+        cleaned = clean_messages(prepare(arrived) if prepare else arrived)
         known = known_ids(spark, f"{out}/corpus", batch_id)
         if known is not None:
             cleaned = pending_rows(cleaned, known, ["doc_id"])
