@@ -17,6 +17,7 @@ from sievegate.operators.upsert import (
     update_vectors,
 )
 from sievegate.plans.index import refresh_documents
+from sievegate.session import cut_lineage
 from sievegate.sources.files import image_rows
 
 QUERIES, ORACLES, query = registry()
@@ -233,7 +234,7 @@ def weak_gold_agreement(spark, d):
 )
 def stratified_sample(spark, d):
     chunks = t.stored_corpus(spark, d)
-    sample = labelling.review_sample(chunks, labelling.label_chunks(chunks))
+    sample = labelling.review_sample(chunks, cut_lineage(labelling.label_chunks(chunks)))
     return sample.select("doc_id", "chunk_ord", "weak_label")
 
 

@@ -8,6 +8,7 @@ its rows' weights. A 0/1 metric over a billion rows is therefore two histogram r
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -26,18 +27,17 @@ def bootstrap_mean(
     resamples: int = RESAMPLES,
     seed: int = 6,
     level: float = LEVEL,
+    weight: str | None = None,
 ) -> DataFrame:
-    """``groups, mean, lo, hi`` per group; the same input and seed give the same interval.
+    """``groups, mean, n, lo, hi``; the same input and seed give the same interval.
 
     The draws of a value depend on seed, group and value only, not on the data layout.
+    ``weight`` names a count column when the rows are already merged.
     """
-    if not groups:
-        whole = df.withColumn("_all", F.lit(0))
-        return bootstrap_mean(whole, ["_all"], value, resamples, seed, level).drop("_all")
     histogram = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*groups, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
         .withColumn("_seed", F.xxhash64(F.lit(seed), *groups, "_v"))
     )
     fields = [histogram.schema[g] for g in groups]
@@ -50,7 +50,7 @@ def bootstrap_mean(
         """Partial sums per group and partition, one slot per resample."""
         sums: dict[tuple, np.ndarray] = {}
         for pdf in batches:
-            names = zip(*(pdf[g] for g in groups), strict=True)
+            names = zip(*(pdf[g] for g in groups), strict=True) if groups else repeat((), len(pdf))
             for key, v, n, s in zip(names, pdf["_v"], pdf["_n"], pdf["_seed"], strict=True):
                 weights = np.random.Generator(np.random.Philox(s & (2**64 - 1))).poisson(n, resamples)
                 if key not in sums:
@@ -90,4 +90,5 @@ def bootstrap_mean(
         (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("mean"),
         F.sum("_n").alias("n"),
     )
-    return means.join(bounds, list(groups))
+    both = means.unionByName(bounds, allowMissingColumns=True)
+    return both.groupBy(*groups).agg(*[F.max(c).alias(c) for c in ("mean", "n", "lo", "hi")])

@@ -249,12 +249,14 @@ def nearest_items(
 
 
 def document_ranking(
-    hits: DataFrame, query_id: str = "qid", doc_id: str = "doc_id", depth: int = 50, k: int = 10
+    hits: DataFrame, query_id: str = "qid", doc_id: str = "doc_id", depth: int = 50, k: int = 10,
+    groups: Sequence[str] = (),
 ) -> DataFrame:
     """Chunk hits reduced to documents: first occurrence within ``depth``, then k documents."""
+    keys = [*groups, query_id]
     firsts = (
         hits.filter(F.col("rank") <= depth)
-        .groupBy(query_id, doc_id)
+        .groupBy(*keys, doc_id)
         .agg(F.min("rank").alias("chunk_rank"))
     )
-    return top_k_per_group(firsts, [query_id], [F.col("chunk_rank")], k)
+    return top_k_per_group(firsts, keys, [F.col("chunk_rank")], k)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 _ACCURACY = 100_000
 _MARGIN = 2.0 / _ACCURACY
+_SALTS = 32  # a hot group meets its brackets in this many pieces
 
 
 def _at_ranks(
@@ -25,9 +26,6 @@ def _at_ranks(
     rank: Callable[[float, Column], Column],
 ) -> DataFrame:
     """``groups, q, n, value`` with the value at 1-based ``rank(q, n)``."""
-    if not groups:
-        whole = df.withColumn("_all", F.lit(0))
-        return _at_ranks(whole, ["_all"], value, quantiles, rank).drop("_all")
     keys = list(groups)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     ends = [e for q in quantiles for e in (max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0))]
@@ -48,10 +46,11 @@ def _at_ranks(
 
     brackets = outline.select(
         *keys, "n", F.explode(F.array(*[bracket(i, q) for i, q in enumerate(quantiles)])).alias("_b")
-    ).select(*keys, "n", "_b.*")
+    ).select(*keys, "n", "_b.*", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(_SALTS)).cast("int"))
     # Everything below a bracket becomes one null row, which sorts first.
     counted = (
-        rows.join(brackets, keys)
+        salted.join(brackets, [*keys, "_salt"])
         .filter(F.col("_v") <= F.col("high"))
         .groupBy(*keys, "q", "n", "rank", F.when(F.col("_v") >= F.col("low"), F.col("_v")).alias("value"))
         .agg(F.count(F.lit(1)).alias("_n"))

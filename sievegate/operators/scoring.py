@@ -11,6 +11,7 @@ from sievegate.functions.vectors import SUM_TOLERANCE, label_values, top_label
 from sievegate.operators.bootstrap import bootstrap_mean
 from sievegate.operators.quantiles import nearest_rank
 from sievegate.schemas import LABELS
+from sievegate.session import cut_lineage
 
 
 def _classes() -> Column:
@@ -29,9 +30,16 @@ def require_labels(rows: DataFrame, columns: Sequence[str] = ("gold", "pred")) -
     return out
 
 
-def confusion_matrix(rows: DataFrame, groups: Sequence[str] = ("method",)) -> DataFrame:
+def _rows(weight: str | None) -> Column:
+    """How many rows one row stands for."""
+    return F.col(weight) if weight else F.lit(1)
+
+
+def confusion_matrix(
+    rows: DataFrame, groups: Sequence[str] = ("method",), weight: str | None = None
+) -> DataFrame:
     """``groups, gold, pred, n`` with all nine cells, zero cells included."""
-    counts = require_labels(rows).groupBy(*groups, "gold", "pred").agg(F.count(F.lit(1)).alias("n"))
+    counts = require_labels(rows).groupBy(*groups, "gold", "pred").agg(F.sum(_rows(weight)).alias("n"))
     cells = [F.struct(F.lit(g).alias("gold"), F.lit(p).alias("pred")) for g in LABELS for p in LABELS]
     frame = counts.select(*groups).distinct() if groups else counts.select(F.lit(1).alias("_one")).distinct()
     grid = frame.withColumn("_c", F.explode(F.array(*cells))).select(*groups, "_c.*")
@@ -40,17 +48,20 @@ def confusion_matrix(rows: DataFrame, groups: Sequence[str] = ("method",)) -> Da
     )
 
 
-def class_scores(rows: DataFrame, groups: Sequence[str] = ("method",)) -> DataFrame:
+def class_scores(
+    rows: DataFrame, groups: Sequence[str] = ("method",), weight: str | None = None
+) -> DataFrame:
     """Precision, recall, F1 and support per class; empty denominators give zero.
 
     Each row counts once for its gold class and once for its predicted class, so one
     aggregation covers all classes and methods.
     """
     gold, pred = F.col("gold"), F.col("pred")
-    none = F.lit(0)
+    none, one = F.lit(0).cast("bigint"), _rows(weight).cast("bigint")
+    same = F.when(gold == pred, one).otherwise(none)
     sides = F.array(
-        F.struct(gold.alias("class"), F.lit(1).alias("g"), none.alias("p"), (gold == pred).cast("int").alias("t")),
-        F.struct(pred.alias("class"), none.alias("g"), F.lit(1).alias("p"), none.alias("t")),
+        F.struct(gold.alias("class"), one.alias("g"), none.alias("p"), same.alias("t")),
+        F.struct(pred.alias("class"), none.alias("g"), one.alias("p"), none.alias("t")),
     )
     blank = F.transform(
         _classes(), lambda c: F.struct(c.alias("class"), none.alias("g"), none.alias("p"), none.alias("t"))
@@ -75,46 +86,79 @@ def macro_f1(scores: DataFrame, groups: Sequence[str] = ("method",)) -> DataFram
     return scores.groupBy(*groups).agg((F.sum("f1") / len(LABELS)).alias("macro_f1"))
 
 
-def accuracy(rows: DataFrame, groups: Sequence[str] = ("method",)) -> DataFrame:
-    same = (F.col("gold") == F.col("pred")).cast("double")
+def accuracy(
+    rows: DataFrame, groups: Sequence[str] = ("method",), weight: str | None = None
+) -> DataFrame:
+    same = F.when(F.col("gold") == F.col("pred"), _rows(weight)).otherwise(0)
     return (
         require_labels(rows)
         .groupBy(*groups)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg(same), F.lit(0.0)).alias("accuracy"))
+        .agg(
+            F.coalesce(F.sum(_rows(weight)), F.lit(0)).alias("n"),
+            F.coalesce(F.try_divide(F.sum(same), F.sum(_rows(weight))), F.lit(0.0)).alias("accuracy"),
+        )
     )
 
 
-def reliability_bins(
+def outcome_counts(
     rows: DataFrame, groups: Sequence[str] = ("method",), n_bins: int = 10
 ) -> DataFrame:
-    """``bin, lo, hi, count, accuracy, confidence`` per method; empty bins have nulls."""
+    """``groups, gold, pred, bin, n, hits, confidence``: predictions merged into few rows.
+
+    ``hits`` counts rows whose most probable label is right, ``confidence`` sums its
+    probability. One pass over the predictions feeds every score below.
+    """
     if n_bins < 1:
         raise ValueError("at least one bin is needed")
     confidence = F.array_max(label_values(F.col("probs")))
     valid = F.when((confidence >= 0) & (confidence <= 1), confidence).otherwise(
         F.raise_error("confidence missing or outside [0, 1]").cast("double")
     )
+    hit = (top_label(F.col("probs")) == F.col("gold")).cast("bigint")
     marked = rows.select(
-        *groups,
-        valid.alias("_conf"),
-        (top_label(F.col("probs")) == F.col("gold")).cast("double").alias("_hit"),
+        *groups, "gold", *(["pred"] if "pred" in rows.columns else []), valid.alias("_conf"), hit.alias("_hit")
     )
     slot = F.least(F.floor(F.col("_conf") * n_bins), F.lit(n_bins - 1)).cast("int")
-    filled = marked.groupBy(*groups, slot.alias("bin")).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg("_hit").alias("accuracy"),
-        F.avg("_conf").alias("confidence"),
-    )
-    owners = filled.select(*groups).distinct() if groups else filled.select(F.lit(1)).distinct()
-    grid = owners.select(*groups, F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
-    return grid.join(filled, [*groups, "bin"], "left").select(
+    keys = [*groups, "gold", *(["pred"] if "pred" in rows.columns else [])]
+    return marked.groupBy(*keys, slot.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_hit").alias("hits"), F.sum("_conf").alias("confidence")
+    )
+
+
+def reliability_bins(
+    rows: DataFrame, groups: Sequence[str] = ("method",), n_bins: int = 10
+) -> DataFrame:
+    """``bin, lo, hi, count, accuracy, confidence`` per method; empty bins have nulls."""
+    return bins_from_counts(outcome_counts(rows, groups, n_bins), groups, n_bins)
+
+
+def bins_from_counts(
+    counts: DataFrame, groups: Sequence[str] = ("method",), n_bins: int = 10
+) -> DataFrame:
+    """All bins of every method; each count row also brings one blank row per bin."""
+    blank = F.transform(
+        F.sequence(F.lit(0), F.lit(n_bins - 1)),
+        lambda i: F.struct(
+            i.alias("bin"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("hits"),
+            F.lit(0.0).alias("confidence"),
+        ),
+    )
+    filled = F.array(F.struct("bin", "n", "hits", "confidence"))
+    totals = (
+        counts.select(*groups, F.explode(F.concat(filled, blank)).alias("_b"))
+        .groupBy(*groups, F.col("_b.bin").alias("bin"))
+        .agg(
+            F.sum("_b.n").alias("count"), F.sum("_b.hits").alias("_hits"), F.sum("_b.confidence").alias("_conf")
+        )
+    )
+    return totals.select(
         *groups,
         "bin",
         (F.col("bin") / n_bins).alias("lo"),
         ((F.col("bin") + 1) / n_bins).alias("hi"),
-        F.coalesce("count", F.lit(0)).alias("count"),
-        "accuracy",
-        "confidence",
+        "count",
+        F.try_divide("_hits", "count").alias("accuracy"),
+        F.try_divide("_conf", "count").alias("confidence"),
     )
 
 
@@ -208,16 +252,21 @@ def scorer_agreement(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def method_summary(rows: DataFrame, groups: Sequence[str] = ("method",)) -> DataFrame:
-    """One row per method: accuracy with interval, macro F1, calibration error, latency."""
+    """One row per method: accuracy with interval, macro F1, calibration error, latency.
+
+    The predictions are read for the outcome counts and for the latencies; everything else
+    works on the counts, which are written out once.
+    """
     keys = list(groups)
-    hit = rows.withColumn("_hit", (F.col("gold") == F.col("pred")).cast("double"))
-    interval = bootstrap_mean(hit, keys, "_hit", seed=42).select(
+    counts = cut_lineage(outcome_counts(rows, keys))
+    hit = counts.withColumn("_hit", (F.col("gold") == F.col("pred")).cast("double"))
+    interval = bootstrap_mean(hit, keys, "_hit", seed=42, weight="n").select(
         *keys, F.col("lo").alias("accuracy_lo"), F.col("hi").alias("accuracy_hi")
     )
     return (
-        accuracy(rows, keys)
+        accuracy(counts, keys, "n")
         .join(interval, keys)
-        .join(macro_f1(class_scores(rows, keys), keys), keys)
-        .join(calibration_error(reliability_bins(rows, keys), keys), keys)
+        .join(macro_f1(class_scores(counts, keys, "n"), keys), keys)
+        .join(calibration_error(bins_from_counts(counts, keys), keys), keys)
         .join(latency_summary(rows, keys), keys)
     )
