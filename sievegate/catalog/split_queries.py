@@ -256,9 +256,9 @@ def stratified_folds(spark, d):
     ),
 )
 def key_blocks(spark, d):
-    """Document ids are ``split:hash``; split and two hash digits make an ordered bucket."""
+    """Document ids are ``split:hash``; split and three hash digits make an ordered bucket."""
     keys = t.stored_corpus(spark, d).select("doc_id", "chunk_ord")
-    cut = F.substring("doc_id", 1, F.instr("doc_id", ":") + F.lit(2))
+    cut = F.substring("doc_id", 1, F.instr("doc_id", ":") + F.lit(3))
     blocks = ordered_blocks(keys, ["doc_id", "chunk_ord"], cut)
     return blocks.groupBy("block").agg(
         F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")

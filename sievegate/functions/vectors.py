@@ -54,12 +54,15 @@ def l2_norm(vector: Column) -> Column:
     return F.sqrt(_sum(F.transform(as_double(vector), lambda x: x * x)))
 
 
-def renormalize(vector: Column) -> Column:
-    """Unit length in double precision; a zero vector is an error."""
+def renormalize(vector: Column, zero_is_error: bool = True) -> Column:
+    """Unit length in double precision; a zero vector is an error, or null when allowed."""
+    failed = F.raise_error("zero-norm vector").cast("double") if zero_is_error else F.lit(None)
 
     def divided(norm: Column) -> Column:
-        safe = F.when(norm > 0, norm).otherwise(F.raise_error("zero-norm vector").cast("double"))
-        return _bind(safe, lambda n: F.transform(as_double(vector), lambda x: x / n))
+        safe = F.when(norm > 0, norm).otherwise(failed)
+        return _bind(
+            safe, lambda n: F.when(n.isNotNull(), F.transform(as_double(vector), lambda x: x / n))
+        )
 
     return F.when(vector.isNotNull(), _bind(l2_norm(vector), divided))
 

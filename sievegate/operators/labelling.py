@@ -108,7 +108,7 @@ def stratified_folds(
     numbered = number_rows(
         df.withColumn("_draw", draw),
         [F.col("_draw"), *[F.col(k) for k in keys]],
-        F.substring("_draw", 1, 3),
+        F.substring("_draw", 1, 4),
         partition_by=[label],
         name="_position",
     )

@@ -25,6 +25,10 @@ MAX_ITER = 1000
 SEED = 42
 
 
+# Names the classes on the label column, so a class without rows still gets its weights.
+_TARGET = {"ml_attr": {"type": "nominal", "name": "target", "vals": list(LABELS)}}
+
+
 @dataclass(frozen=True)
 class LinearWeights:
     """Coefficients per label, in label order."""
@@ -50,7 +54,7 @@ def prepare(rows: DataFrame, vector: str = "vector", label: str = "label") -> Da
     bad = F.raise_error(F.concat(F.lit("unexpected label "), F.col(label))).cast("boolean")
     return rows.filter(F.when(known, F.lit(True)).otherwise(bad)).select(
         "*", array_to_vector(F.col(vector).cast("array<double>")).alias("features"),
-        target.alias("target"), weight.alias("weight"),
+        target.alias("target", metadata=_TARGET), weight.alias("weight"),
     )
 
 

@@ -128,6 +128,7 @@ def _broadcast_join(
     queries: pa.Table, items: DataFrame, layout: T.StructType, kept: list[str], dim: int, k: int,
     group: str | None,
 ) -> DataFrame:
+    queries = queries.filter(queries.column(1).is_valid())
     ids, vectors = queries.column(0).to_pandas().to_numpy(), _matrix(queries.column(1), dim)
     shared = items.sparkSession.sparkContext.broadcast((ids, vectors))
     arrow_layout = to_arrow_schema(layout)
@@ -142,6 +143,7 @@ def _broadcast_join(
                 )
 
         for batch in batches:
+            batch = batch.filter(batch.column("_vector").is_valid())
             if batch.num_rows:
                 table = batch.select(kept).to_pandas()
                 yield from emit(best.add(_matrix(batch.column("_vector"), dim), table, kept[0]))
@@ -161,6 +163,7 @@ def join_cells(
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         columns = [f.name for f in layout]
+        left, right = left[left["_vector"].notna()], right[right["_vector"].notna()]
         if left.empty or right.empty:
             return pd.DataFrame(columns=columns)
         if not (right["_vector"].map(len) == dim).all() or not (left["_vector"].map(len) == dim).all():
@@ -234,10 +237,10 @@ def nearest_items(
     the call: whatever is filtered out can never take a place among the k.
     """
     kept = list(dict.fromkeys([item_id, *carry, *([group] if group else [])]))
+    # Nulls are dropped next to the matrix product: a filter here would be pushed down and
+    # compute derived vectors twice.
     left = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).alias("_vector"))
-    left = left.filter(F.col("_vector").isNotNull())
     right = items.select(*kept, F.col(item_vector).alias("_vector"))
-    right = right.filter(F.col("_vector").isNotNull())
     layout = _local_schema(queries, items, query_id, kept)
     limit = max(1, broadcast_bytes // (8 * dim))
     sample = left.limit(limit + 1).toArrow()

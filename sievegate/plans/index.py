@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,14 @@ from sievegate.operators.encode import Encoder, block_of, encoder_column, hashed
 from sievegate.operators.labelling import attach_document_label
 from sievegate.operators.trainset import key_differences
 from sievegate.operators.upsert import grant_roles, pending_rows, update_vectors, upsert
-from sievegate.sources.files import read_encoder_rows, read_vector_blocks, write_vector_blocks
+from sievegate.schemas import CHUNKS, CORPUS, DOCUMENTS, WEAK_LABELS
+from sievegate.sources.files import (
+    read_encoder_rows,
+    read_table,
+    read_vector_blocks,
+    write_table,
+    write_vector_blocks,
+)
 
 # Fixed value: rows per vector block.
 BLOCK_ROWS = 1000
@@ -46,12 +54,10 @@ def run_embed(
     total = rows.count()
     blocks = n_blocks or max(1, -(-total // BLOCK_ROWS))
     numbered = rows.withColumn("block", block_of(["doc_id", "chunk_ord"], blocks))
-    try:
-        done = spark.read.parquet(out).select("block").distinct()
-        numbered = pending_rows(numbered, done.withColumn("block", F.col("block").cast("int")), ["block"])
-    except Exception as error:  # nothing stored so far
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
+    stored = stored_table(spark, out)
+    if stored is not None:
+        done = stored.select(F.col("block").cast("int").alias("block")).distinct()
+        numbered = pending_rows(numbered, done, ["block"])
     vectors = embed_rows(numbered, dim, load_encoder).withColumn(
         "block", block_of(["doc_id", "chunk_ord"], blocks)
     )
@@ -65,6 +71,16 @@ def run_embed(
     }
 
 
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored Parquet table, or None when nothing has been written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def document_rows(corpus: DataFrame, labels: DataFrame, source: str = "aeslc") -> DataFrame:
     """Incoming document rows: one per document with its strictest chunk label."""
     documents = corpus.groupBy("doc_id").agg(
@@ -112,3 +128,39 @@ def attach_vectors(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
 
 def seed_grants(documents: DataFrame, team=team_by_blake) -> DataFrame:
     return grant_roles(documents, team, "id")
+
+
+def run_index(spark: SparkSession, corpus: str, labels: str, vectors: str, out: str, dim: int) -> dict:
+    """Refresh ``out/documents`` and ``out/chunks`` from a corpus, its labels and vectors.
+
+    Known rows are updated in place of their key, grants are seeded again, vectors replaced
+    where new ones exist. The new tables are written beside the old ones and named by the
+    returned version, so readers of the previous version are not disturbed.
+    """
+    chunks, weak = read_table(spark, corpus, CORPUS), read_table(spark, labels, WEAK_LABELS)
+    versions = stored_table(spark, f"{out}/versions")
+    last = versions.agg(F.max("version")).first()[0] if versions is not None else None
+
+    def previous(name: str, schema) -> DataFrame:
+        if last is None:
+            return spark.createDataFrame([], schema)
+        return read_table(spark, f"{out}/{name}/version={last}", schema)
+
+    version = 0 if last is None else last + 1
+    documents = refresh_documents(previous("documents", DOCUMENTS), document_rows(chunks, weak))
+    seeded = seed_grants(documents)
+    texts = refresh_chunks(previous("chunks", CHUNKS), chunk_rows(chunks))
+    filled = attach_vectors(texts, read_vector_blocks(spark, vectors, dim))
+    stored_docs = write_table(seeded, f"{out}/documents/version={version}", DOCUMENTS)
+    stored_chunks = write_table(filled, f"{out}/chunks/version={version}", CHUNKS)
+    counts = {"version": version, "documents": stored_docs.count(), "chunks": stored_chunks.count()}
+    spark.createDataFrame([counts]).write.mode("append").parquet(f"{out}/versions")
+    return counts
+
+
+def read_index(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """Documents and chunks of the newest version, named for searching."""
+    version = spark.read.parquet(f"{out}/versions").agg(F.max("version")).first()[0]
+    documents = read_table(spark, f"{out}/documents/version={version}", DOCUMENTS)
+    chunks = read_table(spark, f"{out}/chunks/version={version}", CHUNKS)
+    return documents.withColumnRenamed("id", "doc_id"), chunks.withColumnRenamed("id", "chunk_id")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievegate.functions.acl import USERS, users_frame
 from sievegate.functions.prompts import grounded_prompt
 from sievegate.functions.text import snippet
 from sievegate.operators.audit import all_requests, leak_audit
+from sievegate.operators.encode import hashed_vectors
 from sievegate.operators.permission import (
     answer_context,
     enforce,
@@ -18,6 +19,8 @@ from sievegate.operators.permission import (
     with_signature,
 )
 from sievegate.operators.ranking import first_per_group
+from sievegate.plans.index import read_index
+from sievegate.sources.files import read_manifest
 
 
 def search(
@@ -61,3 +64,12 @@ def run_leak_audit(
     items = with_signature(chunks.select("chunk_id", "doc_id", "embedding"), documents)
     hits = permitted_hits(requests, queries, items, documents, names, k, dim)
     return leak_audit(requests, hits, documents, names, k)
+
+
+def audit_index(spark: SparkSession, index: str, manifest: str, dim: int, k: int = 10, split: str = "dev") -> DataFrame:
+    """Leak audit of a stored index with the openings of one split as queries."""
+    documents, chunks = read_index(spark, index)
+    listed = read_manifest(spark, manifest).filter(F.col("split") == split)
+    queries = opening_queries(chunks, listed)
+    vectors = hashed_vectors(queries, "text", dim).select("qid", "vector")
+    return run_leak_audit(vectors, chunks, documents, k, dim)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sievegate.functions.text import dedupe_key
 from sievegate.operators.dedupe import drop_normalized_copies
 from sievegate.operators.labelling import label_chunks
 from sievegate.operators.upsert import pending_rows
@@ -26,15 +28,30 @@ def message_stream(spark: SparkSession, folder: str, schema: T.StructType, files
     )
 
 
-def known_ids(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Document ids stored by batches before ``batch_id``; None before the first."""
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """What earlier batches wrote; None before the first."""
     try:
-        stored = spark.read.parquet(path)
-    except Exception as error:  # nothing written yet
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return stored.filter(F.col("batch") < batch_id).select("doc_id").distinct()
+
+
+def unseen_messages(cleaned: DataFrame, stored: DataFrame | None, batch_id: int) -> DataFrame:
+    """Unique messages whose text no earlier batch has stored.
+
+    The history is first reduced to the digests of this batch. The batch is the small side
+    there, so the growing history is scanned on one column but neither sorted nor shuffled
+    once the batch is small enough to broadcast.
+    """
+    digest = F.sha2(dedupe_key(F.col("cleaned")), 256)
+    unique = drop_normalized_copies(cleaned, "cleaned", "doc_id").withColumn("digest", digest)
+    if stored is None:
+        return unique
+    earlier = stored.filter(F.col("batch") < batch_id).select("digest")
+    seen = earlier.join(unique.select("digest"), "digest", "left_semi").distinct()
+    return pending_rows(unique, seen, ["digest"])
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -53,22 +70,24 @@ def start_prep(
 ) -> StreamingQuery:
     """Clean, chunk and label everything that has arrived, then stop.
 
-    ``prepare`` maps stream rows to ``email_body, subject_line, split``. Corpus and label
-    rows go to ``out/corpus`` and ``out/labels``. Documents stored by an earlier batch are
-    skipped by id, so a file that is delivered again adds nothing; copies inside a batch
-    are removed as in the batch job.
+    ``prepare`` maps stream rows to ``email_body, subject_line, split``. Unique messages,
+    corpus and label rows go to ``out/messages``, ``out/corpus`` and ``out/labels``, one folder
+    per batch. A text that an earlier batch stored, up to case and white space, is skipped:
+    files delivered again add nothing, and of all copies the first to arrive stays.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         arrived = widen(batch)
         cleaned = clean_messages(prepare(arrived) if prepare else arrived)
-        known = known_ids(spark, f"{out}/corpus", batch_id)
-        if known is not None:
-            cleaned = pending_rows(cleaned, known, ["doc_id"])
-        write_batch(chunk_messages(drop_normalized_copies(cleaned, "cleaned", "doc_id")), f"{out}/corpus", batch_id)
-        corpus = spark.read.parquet(f"{out}/corpus").filter(F.col("batch") == batch_id)
-        write_batch(label_chunks(corpus), f"{out}/labels", batch_id)
+        fresh = unseen_messages(cleaned, _stored(spark, f"{out}/messages"), batch_id)
+        write_batch(fresh, f"{out}/messages", batch_id)
+
+        def written(name: str) -> DataFrame:
+            return spark.read.parquet(f"{out}/{name}").filter(F.col("batch") == batch_id)
+
+        write_batch(chunk_messages(widen(written("messages"))), f"{out}/corpus", batch_id)
+        write_batch(label_chunks(written("corpus")), f"{out}/labels", batch_id)
 
     return (
         messages.writeStream.foreachBatch(process)

@@ -310,6 +310,10 @@ def test_linear_model_round_trip(spark, tmp_path):
     for a, b in zip(scored, plain, strict=True):
         assert a.pred == b.pred == a.label
         assert all(abs(a.probs[n] - b.probs[n]) < 1e-6 for n in names)
+    two = linear_model.fit(frame.filter("label <> 'confidential'"), 1.0)
+    assert len(linear_model.export_weights(two).coefficients) == 3
+    two_pred = linear_model.predict(two, frame.filter("label <> 'confidential'"))
+    assert two_pred.filter("pred <> label").count() == 0
     with pytest.raises(ValueError, match="not 3 x 4"):
         linear_model.load_weights(spark, str(tmp_path / "w"), 4)
     with pytest.raises(Exception, match="unexpected label"):
