@@ -15,6 +15,7 @@ from sievegate.functions.acl import EVERYONE, is_visible, may_read, signature
 from sievegate.functions.text import snippet
 from sievegate.operators.neighbors import nearest_items
 from sievegate.operators.ranking import top_k_per_group
+from sievegate.operators.sized import broadcast_if_small, keep_keys
 
 
 class AccessViolation(RuntimeError):
@@ -73,8 +74,10 @@ def permitted_hits(
     """
     readable = readable_signatures(users, signatures(documents))
     asked = requests.select("user", "qid").distinct()
-    wanted = readable.join(asked.select("user").distinct(), "user", "left_semi")
-    visible = items.join(wanted.select("acl").distinct(), "acl", "left_semi")
+    wanted = broadcast_if_small(
+        readable.join(asked.select("user").distinct(), "user", "left_semi")
+    )
+    visible = keep_keys(items, wanted, "acl")
     per_acl = nearest_items(
         queries.join(asked.select("qid").distinct(), "qid", "left_semi"),
         visible, k, dim, carry=["doc_id"], group="acl",
@@ -101,7 +104,7 @@ def recheck(hits: DataFrame, documents: DataFrame, users: DataFrame) -> DataFram
     )
     return (
         hits.join(granted, "doc_id", "left")
-        .join(users.select("user", F.col("roles").alias("_roles")), "user", "left")
+        .join(broadcast_if_small(users.select("user", F.col("roles").alias("_roles"))), "user", "left")
         .withColumn(
             "visible",
             F.coalesce(is_visible(F.col("_label"), F.col("_allowed"), F.col("_roles")), F.lit(False)),
@@ -122,7 +125,8 @@ def visible_documents(documents: DataFrame, users: DataFrame) -> DataFrame:
     """``user, doc_id`` for everything each user may read, through the signatures."""
     acl = signature(F.col("label"), F.col("allowed_roles"))
     readable = readable_signatures(users, signatures(documents))
-    return documents.withColumn("acl", acl).join(readable, "acl").select("user", "doc_id")
+    pairs = broadcast_if_small(readable)
+    return documents.withColumn("acl", acl).join(pairs, "acl").select("user", "doc_id")
 
 
 def fetch_documents(requests: DataFrame, documents: DataFrame, users: DataFrame) -> DataFrame:
@@ -131,7 +135,7 @@ def fetch_documents(requests: DataFrame, documents: DataFrame, users: DataFrame)
     A missing document and a forbidden one give the same answer.
     """
     body = documents.select("doc_id", "title", "label", "modality", "allowed_roles")
-    joined = requests.join(body, "doc_id", "left").join(users, "user", "left")
+    joined = requests.join(body, "doc_id", "left").join(broadcast_if_small(users), "user", "left")
     found = F.coalesce(
         may_read(F.col("label"), F.col("allowed_roles"), F.col("roles")), F.lit(False)
     )

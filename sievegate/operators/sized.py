@@ -1,0 +1,34 @@
+"""Joins against tables that are usually, but not always, small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows up to which a narrow table is sent to every executor.
+SMALL_ROWS = 100_000
+# Values up to which a set of keys is written into the filter itself.
+SMALL_SET = 1_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` as a broadcast table when it has at most ``max_rows`` rows, else unchanged.
+
+    Without the hint Spark may shuffle the large side on the join key before it learns how
+    small this side is; with few distinct keys that puts most rows into one partition.
+    The rows fetched for the check are the rows broadcast, so ``df`` runs once. Beyond the
+    bound the ordinary join applies, with skewed partitions split at run time.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema, verifySchema=False))
+
+
+def keep_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``column`` is among ``keys``: a pushed-down filter for few keys, else a join."""
+    distinct = keys.select(column).distinct()
+    found = [row[0] for row in distinct.limit(SMALL_SET + 1).collect()]
+    if len(found) <= SMALL_SET:
+        return df.filter(F.col(column).isin(found)) if found else df.limit(0)
+    return df.join(broadcast_if_small(distinct), column, "left_semi")

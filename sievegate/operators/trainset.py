@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievegate.operators.sized import broadcast_if_small
+
 KEY = ["doc_id", "chunk_ord"]
 
 
@@ -28,7 +30,8 @@ def gold_threads(documents: DataFrame, gold: DataFrame) -> DataFrame:
 
 def allowed_documents(documents: DataFrame, gold: DataFrame, train: DataFrame) -> DataFrame:
     """Train documents none of whose thread mates is a gold document."""
-    clean = documents.join(gold_threads(documents, gold), "thread_id", "left_anti")
+    excluded = broadcast_if_small(gold_threads(documents, gold))
+    clean = documents.join(excluded, "thread_id", "left_anti")
     outside = train.select("doc_id").distinct()
     inside = clean.select("doc_id").distinct()
     known = outside.join(documents.select("doc_id"), "doc_id", "left_anti")

@@ -1,0 +1,32 @@
+from pyspark.sql import functions as F
+
+from sievegate.operators import sized
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_broadcast_only_within_the_bound(spark):
+    big = spark.range(1000).withColumn("k", F.col("id") % 7)
+    side = spark.range(50).select(F.col("id").alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        small = big.join(sized.broadcast_if_small(side, 50), "k")
+        large = big.join(sized.broadcast_if_small(side, 49), "k")
+        assert "BroadcastHashJoin" in plan(small) and "BroadcastHashJoin" not in plan(large)
+        assert small.count() == large.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keep_keys_filters_or_joins(spark, monkeypatch):
+    rows = spark.range(100).withColumn("k", F.col("id") % 10)
+    keys = spark.createDataFrame([(1,), (3,), (3,)], "k long")
+    few = sized.keep_keys(rows, keys, "k")
+    monkeypatch.setattr(sized, "SMALL_SET", 1)
+    many = sized.keep_keys(rows, keys, "k")
+    assert "Join" not in plan(few) and "Join" in plan(many)
+    assert sorted(r.id for r in few.collect()) == sorted(r.id for r in many.collect())
+    monkeypatch.undo()
+    assert sized.keep_keys(rows, keys.limit(0), "k").count() == 0
