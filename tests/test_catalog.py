@@ -64,4 +64,4 @@ def test_corpus_plan_shuffles_once_and_walks_windows_once(spark):
 def test_permission_filter_stays_below_the_ranking(spark):
     text = plan(QUERIES["knn_permission"](spark, FOLDER))
     assert "MapInArrow" in text
-    assert text.index("WindowGroupLimit") < text.index("MapInArrow") < text.rindex("allowed_roles")
+    assert text.index("WindowGroupLimit") < text.index("MapInArrow") < text.rindex(" IN")
