@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from sievegate.llm.mixing import mix_sources
+from sievegate.llm.packing import pack_documents
 from sievegate.llm.shared import documents
+from sievegate.llm.sharding import assign_shards
 from sievegate.llm.substring_dedup import remove_repeated_windows
 from sievegate.llm.suffix_dedup import remove_repeated_strings
+from sievegate.llm.token_files import token_index
+from sievegate.llm.tokens import tokenizer_path
+
+#: Names of the public tokenizer files.
+WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def op1_substring_dedup(spark, sf_dir):
@@ -15,9 +23,29 @@ def op3_suffix_dedup(spark, sf_dir):
     return remove_repeated_strings(documents(spark, sf_dir)).drop("kept_bytes")
 
 
+def op5_token_files(spark, sf_dir):
+    return token_index(documents(spark, sf_dir), tokenizer_path(WORD_TOKENIZER), spaces_matter=False)
+
+
+def op6_mix_sources(spark, sf_dir):
+    return mix_sources(documents(spark, sf_dir))
+
+
+def op7_pack_documents(spark, sf_dir):
+    return pack_documents(documents(spark, sf_dir), tokenizer_path(BYTE_TOKENIZER))
+
+
+def op9_shard_tree(spark, sf_dir):
+    return assign_shards(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op5_token_files": op5_token_files,
+    "op6_mix_sources": op6_mix_sources,
+    "op7_pack_documents": op7_pack_documents,
+    "op9_shard_tree": op9_shard_tree,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -43,4 +71,33 @@ sums AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
   coalesce(n_spans, 0) AS n_spans, sha256(coalesce(kept, '')) AS kept_sha256
 FROM texts LEFT JOIN sums USING (r)""",
+    "op6_mix_sources": rf"""
+WITH docs AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
+sizes AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS source_rank
+  FROM docs GROUP BY source),
+weighed AS (SELECT *, [1, 2, 3][(source_rank - 1) % 3 + 1] AS weight FROM sizes),
+shared AS (
+  SELECT *, sum(source_size) OVER () AS words, sum(weight) OVER () AS weights,
+    coalesce(sum(3 * source_size) OVER before, 0) AS stopped, coalesce(sum(weight) OVER before, 0) AS gone
+  FROM weighed
+  WINDOW before AS (ORDER BY source_size / weight, source_rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+units AS (SELECT *, CAST(words - stopped AS DOUBLE) / CAST(weights - gone AS DOUBLE) AS unit FROM shared),
+level AS (SELECT max(unit) FILTER (3 * source_size > unit * weight) AS unit FROM units),
+targets AS (
+  SELECT source, source_rank, source_size,
+    least(CAST(3 * source_size AS DOUBLE), coalesce(level.unit, 0) * weight) AS target
+  FROM units, level),
+budgets AS (
+  SELECT *, floor(target + 0.5)::BIGINT AS budget,
+    CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS epochs
+  FROM targets),
+placed AS (
+  SELECT docs.*, b.* EXCLUDE (source), coalesce(sum(size) OVER (
+    PARTITION BY source_rank ORDER BY md5(concat('0:', doc_id)), doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs JOIN budgets b ON docs.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target, source, source_rank,
+  (epochs * size + greatest(0, least(size, budget - epochs * source_size - before)))::BIGINT AS taken
+FROM placed""",
 }

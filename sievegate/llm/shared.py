@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from sievegate.session import scratch_path
 
@@ -18,5 +19,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def words_of(text: Column) -> Column:
+    r"""Runs of characters other than space and \x09-\x0D; a null text has none."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+#: Rows that one task numbers or sums, on average.
+SLICE_ROWS = 20_000
+
+
+def slice_bits(rows: int) -> int:
+    """Leading bits of a uniform key that cut ``rows`` rows into slices of some thousands."""
+    return max(0, (rows // SLICE_ROWS).bit_length())
+
+
+def sums_before(df: DataFrame, group: str, piece: str, order: list[str], value: str, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over all earlier rows of the row's group.
+
+    A group is ordered by ``piece``, an order-preserving slice number, then by ``order``. Slices are
+    summed, their sums summed up along each group, and rows summed up inside their slice only, so a
+    group of any size spreads over tasks. ``group`` and ``piece`` must not be null.
+    """
+    earlier = Window.partitionBy(group).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    slices = df.groupBy(group, piece).agg(F.sum(value).alias("_sum"))
+    slices = slices.select(group, piece, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    inner = Window.partitionBy(group, piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("_inner", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    return rows.join(slices, [group, piece]).withColumn(name, F.col("_base") + F.col("_inner")).drop("_base", "_inner")
