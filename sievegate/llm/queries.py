@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from sievegate.llm.mixing import mix_sources
 from sievegate.llm.packing import pack_documents
+from sievegate.llm.quality import judged
+from sievegate.llm.secret_scan import scan
 from sievegate.llm.shared import documents
 from sievegate.llm.sharding import assign_shards
 from sievegate.llm.substring_dedup import remove_repeated_windows
@@ -23,6 +25,10 @@ def op3_suffix_dedup(spark, sf_dir):
     return remove_repeated_strings(documents(spark, sf_dir)).drop("kept_bytes")
 
 
+def op4_secret_scan(spark, sf_dir):
+    return scan(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_token_files(spark, sf_dir):
     return token_index(documents(spark, sf_dir), tokenizer_path(WORD_TOKENIZER), spaces_matter=False)
 
@@ -39,17 +45,54 @@ def op9_shard_tree(spark, sf_dir):
     return assign_shards(documents(spark, sf_dir))
 
 
+def op10_quality_rules(spark, sf_dir):
+    return judged(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_secret_scan": op4_secret_scan,
     "op5_token_files": op5_token_files,
     "op6_mix_sources": op6_mix_sources,
     "op7_pack_documents": op7_pack_documents,
     "op9_shard_tree": op9_shard_tree,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+#: Verdicts over the columns doc_id and text of a table.
+QUALITY_SQL = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w, coalesce(text, '') AS t,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM {{table}}),
+words AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i,
+    CASE WHEN generate_subscripts(w, 1) + 4 <= len(w)
+      THEN array_to_string(w[generate_subscripts(w, 1):generate_subscripts(w, 1) + 4], ' ') END AS win
+  FROM texts),
+counted AS (SELECT *, win IS NOT NULL AND count(*) OVER (PARTITION BY r, win) > 1 AS hit FROM words),
+marked AS (
+  SELECT r, bool_or(hit) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS again
+  FROM counted),
+repeats AS (SELECT r, count(*) FILTER (again) AS n_repeat_words FROM marked GROUP BY r),
+measured AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(len(ls) AS BIGINT) AS n_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM texts LEFT JOIN repeats USING (r)),
+failing AS (
+  SELECT *, CAST((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT
+    + 4 * (word_chars < 2 * n_words)::INT + 8 * (word_chars > 20 * n_words)::INT
+    + 16 * (100 * n_symbols > 25 * n_words)::INT + 32 * (100 * n_dup_lines > 50 * n_lines)::INT AS INTEGER) AS failed
+  FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 AS base_failed,
+  failed = 0 AS kept, failed, n_lines
+FROM failing"""
+
 ORACLES = {
     "op1_substring_dedup": rf"""
 WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
@@ -100,4 +143,5 @@ placed AS (
 SELECT doc_id, size, source_size, target, source, source_rank,
   (epochs * size + greatest(0, least(size, budget - epochs * source_size - before)))::BIGINT AS taken
 FROM placed""",
+    "op10_quality_rules": QUALITY_SQL.format(table="documents"),
 }
