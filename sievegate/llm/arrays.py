@@ -119,6 +119,28 @@ def rolling_hashes(values: np.ndarray, length: int, base: int = _GOLDEN) -> np.n
     return mixed(whole)
 
 
+class PlaceHashes:
+    """Rabin-Karp hashes modulo 2**64 of windows of any length at chosen places, mixed.
+
+    Prefix sums of value times power give each window's polynomial; multiplying by the inverse
+    power makes equal windows agree wherever they start.
+    """
+
+    def __init__(self, values: np.ndarray, base: int = _GOLDEN):
+        n = len(values)
+        inverse = pow(base, -1, 1 << 64)
+        powers = np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)
+        powers *= values
+        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(powers, dtype=np.uint64)])
+        self._inverse = np.cumprod(np.full(n, inverse, np.uint64), dtype=np.uint64)
+
+    def of(self, places: np.ndarray, length: int) -> np.ndarray:
+        sums = self._sums[places + length]
+        sums -= self._sums[places]
+        sums *= self._inverse[places]
+        return mixed(sums)
+
+
 def inside(offsets: np.ndarray, length: int, n: int) -> np.ndarray:
     """For the first ``n`` places: does a window of ``length`` from here end in the same text?"""
     ends = np.repeat(offsets[1:], np.diff(offsets))[:n]
@@ -132,7 +154,7 @@ def covered(marked: np.ndarray, length: int, n: int) -> np.ndarray:
     edges[at] += 1
     after = at + length
     edges[after[after < n]] -= 1
-    return np.cumsum(edges[:-1]) > 0
+    return np.cumsum(edges[:-1], dtype=np.int32) > 0
 
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievegate.llm.arrays import chunks_of, text_bytes
+from sievegate.llm.arrays import CHUNK_BYTES, chunks_of, text_bytes
 from sievegate.llm.shared import stored
 
 # Keys in a range, on average; one task sorts a range at a time.
@@ -28,13 +28,13 @@ _BLOCK = "block long, ids array<bigint>, lengths binary, size long, body binary"
 _ZSTD = "zstd"
 
 
-def pack_blocks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def pack_blocks(docs: DataFrame, id_column: str, text_column: str, block_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Table of blocks, each with some megabytes of consecutive documents (at least one)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in chunks_of(batch, "text"):
+            for part in chunks_of(batch, "text", block_bytes):
                 data, offsets = text_bytes(part.column("text"))
                 yield pa.RecordBatch.from_pydict(
                     {

@@ -16,6 +16,8 @@ PERIOD = 73
 COVER = sorted(pow(2, i, PERIOD) for i in range(9))
 # Cover ranks only rule suffixes out, so a shorter rank suffices there.
 RANK_BITS = 44
+# Bytes of a block; a task holds some arrays of eight bytes for each.
+BLOCK_BYTES = 3 << 20
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary"
 
 
@@ -46,40 +48,45 @@ def remove_repeated_strings(
     """
     if length < 2 * PERIOD:
         raise ValueError(f"length must be at least {2 * PERIOD}")
-    blocks = repeats.pack_blocks(docs, id_column, text_column)
+    blocks = repeats.pack_blocks(docs, id_column, text_column, BLOCK_BYTES)
     short, wide, back = length - PERIOD + 1, length + PERIOD - 1, PERIOD - 1
     few = repeats.range_count(blocks, len(COVER) / PERIOD)
     some = repeats.range_count(blocks, 0.05)
     many = repeats.range_count(blocks, 0.15)
-    in_cover = np.isin(np.arange(PERIOD), COVER)
     letters = arrays.mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def ranks(block: repeats.Block) -> tuple[np.ndarray, np.ndarray]:
-        """Cover places and their rank keys."""
-        hashes = arrays.rolling_hashes(letters[block.data], short)
-        at = np.arange(len(hashes))
-        at -= np.repeat(block.offsets[:-1], np.diff(block.offsets))[: len(hashes)]
-        chosen = np.flatnonzero(in_cover[at % PERIOD] & arrays.inside(block.offsets, short, len(hashes)))
-        return chosen, hashes[chosen] >> np.uint64(64 - RANK_BITS)
+    def hashes_of(block: repeats.Block) -> arrays.PlaceHashes:
+        return arrays.PlaceHashes(letters[block.data])
 
-    def repeated_places(block: repeats.Block, answers: repeats.Answers) -> np.ndarray:
-        at, keys = ranks(block)
-        unique, place, times = np.unique(keys, return_inverse=True, return_counts=True)
+    def cover_places(block: repeats.Block) -> np.ndarray:
+        """Places of the cover, counted from the start of each document, that have a rank."""
+        begins, sizes = block.offsets[:-1], np.diff(block.offsets)
+        periods = np.maximum(0, (sizes - short) // PERIOD + 1)
+        turn = np.arange(periods.sum()) - np.repeat(np.cumsum(periods) - periods, periods)
+        origin = np.repeat(begins, periods) + PERIOD * turn
+        places = (origin[:, None] + np.array(COVER)).ravel()
+        return places[places + short <= np.repeat(np.repeat(begins + sizes, periods), len(COVER))]
+
+    def ranks(hashes: arrays.PlaceHashes, places: np.ndarray) -> np.ndarray:
+        return hashes.of(places, short) >> np.uint64(64 - RANK_BITS)
+
+    def repeated_places(block: repeats.Block, hashes: arrays.PlaceHashes, answers: repeats.Answers) -> np.ndarray:
+        at = cover_places(block)
+        unique, place, times = np.unique(ranks(hashes, at), return_inverse=True, return_counts=True)
         elsewhere, _ = answers.of("ranks", unique, few, RANK_BITS)
         return at[((times > 1) | elsewhere)[place]]
 
-    def stretches(block: repeats.Block, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def stretches(block: repeats.Block, hashes: arrays.PlaceHashes, places: np.ndarray):
         """Starts of the stretches around repeated cover places, and their keys."""
         begins = places - back
-        hashes = arrays.rolling_hashes(letters[block.data], wide)
-        begins = begins[(begins >= 0) & (begins < len(hashes))]
+        begins = begins[begins >= 0]
         document = np.searchsorted(block.offsets, begins, side="right")
         begins = begins[begins + wide <= block.offsets[document]]
-        return begins, hashes[begins]
+        return begins, hashes.of(begins, wide)
 
-    def settled(block: repeats.Block, answers: repeats.Answers, places: np.ndarray):
+    def settled(block: repeats.Block, hashes: arrays.PlaceHashes, answers: repeats.Answers, places: np.ndarray):
         """Suffixes inside repeated stretches, and those that stand for others."""
-        begins, keys = stretches(block, places)
+        begins, keys = stretches(block, hashes, places)
         unique, first_at, place, times = np.unique(
             keys, return_index=True, return_inverse=True, return_counts=True
         )
@@ -87,23 +94,33 @@ def remove_repeated_strings(
         known = ((times > 1) | elsewhere)[place]
         stands = np.zeros(len(begins), bool)
         stands[first_at] = leads | ((times > 1) & ~elsewhere)
-        marked, leading = np.zeros(len(block.data), bool), np.zeros(len(block.data), bool)
+        n = len(block.data)
+        marked, leading = np.zeros(n, bool), np.zeros(n, bool)
         marked[begins[known]] = True
         leading[begins[stands]] = True
-        n = len(block.data)
         return arrays.covered(marked, PERIOD, n), arrays.covered(leading, PERIOD, n)
 
     def open_suffixes(block: repeats.Block, answers: repeats.Answers):
         """Suffixes to sort with their keys, and the settled ones."""
-        places = repeated_places(block, answers)
-        inner, leads = settled(block, answers, places)
+        hashes = hashes_of(block)
+        places = repeated_places(block, hashes, answers)
+        inner, leads = settled(block, hashes, answers, places)
         near = np.zeros(len(block.data), bool)
         near[places] = True
         near = arrays.covered(near[::-1], PERIOD, len(near))[::-1]
-        hashes = arrays.rolling_hashes(letters[block.data], length)
-        fits = arrays.inside(block.offsets, length, len(hashes))
-        sort = np.flatnonzero(((near & ~inner) | leads)[: len(hashes)] & fits)
-        return sort, hashes[sort], inner
+        sort = np.flatnonzero((near & ~inner) | leads)
+        sort = sort[sort + length <= block.offsets[np.searchsorted(block.offsets, sort, side="right")]]
+        return sort, hashes.of(sort, length), inner
+
+    def rank_keys(block: repeats.Block, _) -> np.ndarray:
+        return np.unique(ranks(hashes_of(block), cover_places(block)))
+
+    def stretch_keys(block: repeats.Block, answers: repeats.Answers) -> np.ndarray:
+        hashes = hashes_of(block)
+        return np.unique(stretches(block, hashes, repeated_places(block, hashes, answers))[1])
+
+    def suffix_keys(block: repeats.Block, answers: repeats.Answers) -> np.ndarray:
+        return np.unique(open_suffixes(block, answers)[1])
 
     def result(block: repeats.Block, answers: repeats.Answers) -> pa.Table:
         at, keys, starts = open_suffixes(block, answers)
@@ -130,19 +147,7 @@ def remove_repeated_strings(
             }
         )
 
-    told = repeats.ask(blocks, "ranks", lambda block, _: np.unique(ranks(block)[1]), few, RANK_BITS)
-    told = told.union(
-        repeats.ask(
-            blocks, "stretches",
-            lambda block, answers: np.unique(stretches(block, repeated_places(block, answers))[1]),
-            some, told=told,
-        )
-    )
-    told = told.union(
-        repeats.ask(
-            blocks, "suffixes",
-            lambda block, answers: np.unique(open_suffixes(block, answers)[1]),
-            many, told=told,
-        )
-    )
+    told = repeats.ask(blocks, "ranks", rank_keys, few, RANK_BITS)
+    told = told.union(repeats.ask(blocks, "stretches", stretch_keys, some, told=told))
+    told = told.union(repeats.ask(blocks, "suffixes", suffix_keys, many, told=told))
     return repeats.finish(blocks, told, result, _RESULT)
