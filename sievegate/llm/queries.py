@@ -12,6 +12,7 @@ from sievegate.llm.substring_dedup import remove_repeated_windows
 from sievegate.llm.suffix_dedup import remove_repeated_strings
 from sievegate.llm.token_files import token_index
 from sievegate.llm.tokens import tokenizer_path
+from sievegate.llm.topk import exact_top_k
 
 #: Names of the public tokenizer files.
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -21,6 +22,10 @@ def op1_substring_dedup(spark, sf_dir):
     return remove_repeated_windows(documents(spark, sf_dir)).drop("kept_text")
 
 
+def op2_exact_top_k(spark, sf_dir):
+    return exact_top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_suffix_dedup(spark, sf_dir):
     return remove_repeated_strings(documents(spark, sf_dir)).drop("kept_bytes")
 
@@ -51,6 +56,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_token_files": op5_token_files,
@@ -114,6 +120,18 @@ sums AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
   coalesce(n_spans, 0) AS n_spans, sha256(coalesce(kept, '')) AS kept_sha256
 FROM texts LEFT JOIN sums USING (r)""",
+    "op2_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op6_mix_sources": rf"""
 WITH docs AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
 sizes AS (

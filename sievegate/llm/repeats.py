@@ -106,6 +106,72 @@ class Answers:
         return other, first
 
 
+_COUNTED = "range int, block long, n long, blob binary, counts binary"
+_LEVELS = "block long, range int, levels binary"
+
+
+def ask_levels(
+    blocks: DataFrame,
+    name: str,
+    counts_of: Callable[[Block], tuple[np.ndarray, np.ndarray]],
+    ranges: int,
+    bits: int,
+) -> DataFrame:
+    """Tells every block the binary logarithm, rounded down, of each of its keys' corpus count.
+
+    ``counts_of`` gives the sorted distinct keys of a block, below ``2**bits``, and their counts.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = Block(batch, row)
+                keys, counts = counts_of(block)
+                cuts = _cuts(keys, ranges, bits)
+                own = counts.astype("<u4")
+                extra = [
+                    pa.compress(own[a:b].tobytes(), _ZSTD, asbytes=True)
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+                    if a < b
+                ]
+                sent = _send(block.number, keys, ranges, bits)
+                yield from sent.append_column("counts", pa.array(extra, pa.binary())).to_batches()
+
+    def tell(key: tuple, sent: pa.Table) -> pa.Table:
+        rows = sent.to_pylist()
+        parts = [_expand(row["blob"], row["n"]) for row in rows]
+        counts = [
+            np.frombuffer(pa.decompress(row["counts"], row["n"] * 4, _ZSTD, asbytes=True), "<u4") for row in rows
+        ]
+        every = np.concatenate(parts)
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        heads = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        sums = np.add.reduceat(np.concatenate(counts)[order].astype(np.int64), heads)
+        distinct, levels = every[heads], np.log2(sums).astype(np.uint8)
+        told = [levels[np.searchsorted(distinct, part)] for part in parts]
+        return pa.table(
+            {
+                "block": pa.array([row["block"] for row in rows], pa.int64()),
+                "range": pa.array([row["range"] for row in rows], pa.int32()),
+                "levels": pa.array([pa.compress(x.tobytes(), _ZSTD, asbytes=True) for x in told], pa.binary()),
+            }
+        )
+
+    sent = blocks.mapInArrow(send, _COUNTED)
+    return stored(sent.groupBy("range").applyInArrow(tell, _LEVELS), f"levels-{name}")
+
+
+def levels_of(table: pa.Table, keys: np.ndarray, ranges: int, bits: int) -> np.ndarray:
+    """The levels that a block was told, in the order of its keys."""
+    cuts = _cuts(keys, ranges, bits)
+    out = np.zeros(len(keys), np.uint8)
+    for row in table.to_pylist():
+        lo, hi = cuts[row["range"]], cuts[row["range"] + 1]
+        out[lo:hi] = np.frombuffer(pa.decompress(row["levels"], int(hi - lo), _ZSTD, asbytes=True), np.uint8)
+    return out
+
+
 _SENT = "range int, block long, n long, blob binary"
 _TOLD = "block long, round string, range int, repeated binary, first binary"
 
