@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-# Bytes of text handled at once; a longer document is handled alone.
-CHUNK_BYTES = 8 << 20
+# Bytes of text handled at once; a longer document is handled alone. Most rows handled at once.
+CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 1 << 20
 SPACES = b" \t\n\x0b\x0c\r"
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -20,7 +20,7 @@ def chunks_of(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> I
     first = 0
     while first < batch.num_rows:
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), batch.num_rows)
+        last = min(max(last, first + 1), first + CHUNK_ROWS, batch.num_rows)
         yield batch.slice(first, last - first)
         first = last
 

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from itertools import islice
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievegate.llm import arrays, repeats
 from sievegate.llm.shared import slice_bits, stored, sums_before, words_of
 
 #: Weights that sources take in turn, in their order.
@@ -12,6 +19,7 @@ WEIGHTS = (1, 2, 3)
 #: No source and no document counts more often than this.
 MOST_EPOCHS = 3
 _KEY_DIGITS = 8
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def source_targets(sizes: DataFrame, most: int = MOST_EPOCHS) -> DataFrame:
@@ -58,14 +66,18 @@ def mix_sources(
     other in any order, which no result shows; a null id hashes like the empty string. An empty
     table gives no rows. Other columns are ignored.
     """
-    narrow = stored(
-        docs.select(
-            F.col(id_column).cast("long").alias("doc_id"),
-            F.col(source_column).cast("string").alias("source"),
-            F.size(words_of(F.col(text_column))).cast("long").alias("size"),
-        ),
-        "sizes",
+    narrow = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.col(source_column).cast("string").alias("source"),
+        F.size(words_of(F.col(text_column))).cast("long").alias("size"),
+    )
+    return mix_sizes(stored(narrow, "sizes"), seed).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "source_rank"
     )
+
+
+def mix_sizes(narrow: DataFrame, seed: int = 0) -> DataFrame:
+    """The same for a stored table of ``doc_id``, ``source`` and ``size``; its columns stay."""
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
     ranks = Window.orderBy(F.col("source").asc_nulls_last())
     sizes = sizes.withColumn("source_rank", F.row_number().over(ranks))
@@ -82,8 +94,65 @@ def mix_sources(
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - epochs * F.col("source_size")
     last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    return placed.select(
-        "doc_id", "size", "source_size", "target",
-        (epochs * F.col("size") + last).cast("long").alias("taken"),
-        "source", "source_rank",
-    )
+    taken = (epochs * F.col("size") + last).cast("long").alias("taken")
+    return placed.select(*narrow.columns, "source_size", "source_rank", "target", taken)
+
+
+def first_words(text: bytes, count: int) -> bytes:
+    """``text`` up to the end of its word number ``count``."""
+    found = islice(_WORD.finditer(text), count - 1, None)
+    return text[: next(found).end()]
+
+
+def mixed_documents(
+    docs: DataFrame, columns: tuple[str, ...], seed: int = 0, id_column: str = "doc_id",
+    text_column: str = "text", source_column: str = "source", length_column: str = "n_chars",
+) -> DataFrame:
+    """The mix itself: every document as often as the mix takes it, whole or cut after a word.
+
+    ``columns`` come back; the text of a cut copy ends with its last taken word and its length
+    column is counted anew. Documents of which nothing is taken, those without words among them,
+    are left out.
+    """
+    types = dict(docs.dtypes)
+    blocks = repeats.pack_blocks(docs, id_column, text_column, keep=columns)
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = repeats.Block(batch, i)
+                bounds = arrays.words(block.data, block.offsets)[1]
+                rest = block.rest(columns).combine_chunks()
+                yield from pa.table(
+                    {
+                        "row": pa.array(block.rows()),
+                        "doc_id": pa.array(block.ids, pa.int64()),
+                        "source": rest.column(source_column).cast(pa.string()),
+                        "size": pa.array(np.diff(bounds), pa.int64()),
+                    }
+                ).to_batches()
+
+    narrow = stored(blocks.mapInArrow(sizes, "row long, doc_id long, source string, size long"), "sizes")
+    wanted = mix_sizes(narrow, seed).filter("taken > 0").select("row", "size", "taken")
+
+    def copies(block: repeats.Block, decided: pa.Table) -> pa.Table:
+        rest = block.rest(columns)
+        at, texts = [], []
+        base = int(block.rows()[0]) if len(block.ids) else 0
+        for r in sorted(decided.to_pylist(), key=lambda r: r["row"]):
+            i = r["row"] - base
+            text = block.data[block.offsets[i] : block.offsets[i + 1]].tobytes()
+            whole, part = divmod(r["taken"], r["size"])
+            for copy in [text] * whole + ([first_words(text, part)] if part else []):
+                at.append(i)
+                texts.append(copy.decode())
+        out = rest.take(pa.array(at, pa.int64()))
+        text = pa.array(texts, pa.string())
+        lengths = pa.array([len(t) for t in texts], pa.int64())
+        for name, values in ((text_column, text), (length_column, lengths)):
+            if name in columns:
+                place = out.schema.get_field_index(name)
+                out = out.set_column(place, name, values.cast(out.schema.field(name).type))
+        return out
+
+    return repeats.by_block(blocks, wanted, copies, ", ".join(f"`{c}` {types[c]}" for c in columns))

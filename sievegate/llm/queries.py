@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sievegate.llm.mixing import mix_sources
+from sievegate.llm.ngram_join import join_classes
 from sievegate.llm.packing import pack_documents
 from sievegate.llm.quality import judged
 from sievegate.llm.secret_scan import scan
@@ -46,6 +47,10 @@ def op7_pack_documents(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir), tokenizer_path(BYTE_TOKENIZER))
 
 
+def op8_ngram_join(spark, sf_dir):
+    return join_classes(documents(spark, sf_dir)).drop("row", "class")
+
+
 def op9_shard_tree(spark, sf_dir):
     return assign_shards(documents(spark, sf_dir))
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_mix_sources": op6_mix_sources,
     "op7_pack_documents": op7_pack_documents,
+    "op8_ngram_join": op8_ngram_join,
     "op9_shard_tree": op9_shard_tree,
     "op10_quality_rules": op10_quality_rules,
 }

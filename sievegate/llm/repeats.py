@@ -24,15 +24,23 @@ from sievegate.llm.shared import stored
 # Keys in a range, on average; one task sorts a range at a time.
 RANGE_KEYS = 1 << 18
 LEAST_RANGES = 64
-_BLOCK = "block long, ids array<bigint>, lengths binary, size long, body binary"
+_BLOCK = "block long, ids array<bigint>, lengths binary, size long, body binary, rest binary"
+# Bits of a row number that count rows within a block, and of a block number within a task.
+ROW_BITS = BLOCK_BITS = 20
 _ZSTD = "zstd"
 
 
-def pack_blocks(docs: DataFrame, id_column: str, text_column: str, block_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Table of blocks, each with some megabytes of consecutive documents (at least one)."""
+def pack_blocks(
+    docs: DataFrame, id_column: str, text_column: str, block_bytes: int = CHUNK_BYTES, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Table of blocks, each with some megabytes of consecutive documents (at least one).
+
+    The columns of ``keep`` go along, for ``Block.rest``.
+    """
+    kept = [f"keep_{i}" for i in range(len(keep))]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
+        block = TaskContext.get().partitionId() << BLOCK_BITS
         for batch in batches:
             for part in chunks_of(batch, "text", block_bytes):
                 data, offsets = text_bytes(part.column("text"))
@@ -43,14 +51,26 @@ def pack_blocks(docs: DataFrame, id_column: str, text_column: str, block_bytes:
                         "lengths": pa.array([np.diff(offsets).tobytes()], pa.binary()),
                         "size": pa.array([len(data)], pa.int64()),
                         "body": pa.array([pa.compress(data.tobytes(), _ZSTD, asbytes=True)], pa.binary()),
+                        "rest": pa.array([_streamed(part.select(kept)) if kept else None], pa.binary()),
                     }
                 )
                 block += 1
 
-    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    source = docs.select(
+        F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"),
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)],
+    )
     return stored(source.mapInArrow(pack, _BLOCK), "blocks")
 
 
+def _streamed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=_ZSTD)
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 class Block:
     """The documents of one packed row."""
 
@@ -62,6 +82,15 @@ class Block:
         size = table.column("size")[row].as_py()
         body = table.column("body")[row].as_py()
         self.data = np.frombuffer(pa.decompress(body, size, _ZSTD, asbytes=True), np.uint8)
+        self._rest = table.column("rest")[row].as_py()
+
+    def rows(self) -> np.ndarray:
+        """Numbers of the block's rows, unique in the table of blocks."""
+        return (self.number << ROW_BITS) + np.arange(len(self.ids))
+
+    def rest(self, names: tuple[str, ...]) -> pa.Table:
+        """The columns that were kept, under the given names."""
+        return pa.ipc.open_stream(self._rest).read_all().rename_columns(list(names))
 
 
 def range_count(blocks: DataFrame, keys_per_byte: float) -> int:
@@ -251,6 +280,18 @@ def ask(
     return stored(sent.groupBy("range").applyInArrow(tell, _TOLD), f"told-{name}")
 
 
+def by_block(
+    blocks: DataFrame, decisions: DataFrame, result_of: Callable[[Block, pa.Table], pa.Table], schema: str
+) -> DataFrame:
+    """``result_of`` for every block and the rows of ``decisions`` whose ``row`` lies in it."""
+
+    def result(mine: pa.Table, decided: pa.Table) -> pa.Table:
+        return result_of(Block(mine), decided)
+
+    placed = decisions.withColumn("block", F.shiftright("row", ROW_BITS))
+    return blocks.groupBy("block").cogroup(placed.groupBy("block")).applyInArrow(result, schema)
+
+
 def finish(
     blocks: DataFrame, told: DataFrame, result_of: Callable[[Block, Answers], pa.Table], schema: str
 ) -> DataFrame:

@@ -15,7 +15,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     of rows or on partition numbers are fixed from here on.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
