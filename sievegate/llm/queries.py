@@ -105,6 +105,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
   failed = 0 AS kept, failed, n_lines
 FROM failing"""
 
+_LOWER_WORDS = _WORDS.replace(
+    "coalesce(text, '')",
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+)
+
 ORACLES = {
     "op1_substring_dedup": rf"""
 WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
@@ -168,4 +173,27 @@ SELECT doc_id, size, source_size, target, source, source_rank,
   (epochs * size + greatest(0, least(size, budget - epochs * source_size - before)))::BIGINT AS taken
 FROM placed""",
     "op10_quality_rules": QUALITY_SQL.format(table="documents"),
+    "op8_ngram_join": rf"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    {_LOWER_WORDS} AS w
+  FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 3
+    THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM texts),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+sized AS MATERIALIZED (SELECT * FROM shingles JOIN sizes USING (r)),
+pairs AS (
+  SELECT a.r AS x, b.r AS y FROM sized a JOIN sized b ON a.s = b.s AND a.r < b.r
+  WHERE 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+edges AS MATERIALIZED (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (
+  SELECT r AS x, r AS y FROM texts
+  UNION SELECT reach.x, edges.y FROM reach JOIN edges ON reach.y = edges.x),
+least_ids AS (SELECT reach.x AS r, min(t.doc_id) AS component_id FROM reach JOIN texts t ON t.r = reach.y GROUP BY reach.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM texts JOIN least_ids USING (r) LEFT JOIN sizes USING (r)""",
 }
