@@ -29,7 +29,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Rows that one task numbers or sums, on average.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 
 
 def slice_bits(rows: int) -> int:
