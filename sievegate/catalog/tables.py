@@ -15,7 +15,6 @@ from sievegate.operators.upsert import grant_roles
 from sievegate.plans.prep import build_corpus, clean_messages
 from sievegate.schemas import LABELS
 from sievegate.session import cut_lineage
-from sievegate.sources.files import widen
 
 DIM = 64
 CHUNKS_PER_DOC = 4
@@ -26,7 +25,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    return widen(table(spark, folder, "documents"))
+    return table(spark, folder, "documents")
 
 
 # --- messages: documents as subject line and body ---------------------------------------
@@ -331,7 +330,7 @@ SQL = {
                     WHEN ('0x' || substr(md5(doc_id::VARCHAR), 1, 4))::INT % 100 < 90 THEN 'validation' ELSE 'test' END AS split
         FROM documents)""",
     "cleaned": f"""cleaned AS (SELECT * FROM (
-        SELECT split || ':' || substr(sha256(email_body || chr(0) || subject_line), 1, 8) AS doc_id,
+        SELECT split || ':' || substr(sha256(email_body || chr(0) || subject_line), 1, 32) AS doc_id,
                substr(sha256({sql_subject('subject_line')}), 1, 12) AS thread_id, split, subject_line AS title,
                {sql_clean('email_body')} AS cleaned FROM raw_messages) WHERE cleaned <> '')""",
     "uniq": r"""uniq AS (SELECT * EXCLUDE (rn) FROM (

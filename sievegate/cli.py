@@ -45,18 +45,23 @@ def _train(spark, a):
     evaluation = files.read_eval_rows(spark, a.eval).select("doc_id", "chunk_ord", "gold")
     vectors = files.read_vector_blocks(spark, a.vectors, a.dim)
     scored, settings = classify.train_and_score(train, evaluation, vectors, a.c, method=a.method)
-    files.write_rows(scored, a.out)
+    files.write_predictions(scored, a.out, a.method)
     weights = settings.pop("weights")
     if a.weights:
         classify.linear_model.save_weights(spark, weights, a.weights)
-    return {**settings, "rows": spark.read.json(a.out).count()}
+    written = files.read_predictions(spark, a.out).filter(F.col("method") == a.method)
+    return {**settings, "rows": written.count()}
+
+
+_NOTES = 100  # files named in the report
 
 
 def _compare(spark, a):
     summary = classify.compare(spark, a.results, a.eval, tuple(a.skip))
     files.write_rows(summary, a.out)
     print(classify.comparison_table(summary), file=sys.stderr)
-    return {"methods": summary.select(F.count_distinct("method")).first()[0]}
+    skipped = [r.file for r in files.unreadable_predictions(spark, a.results).orderBy("file").limit(_NOTES).collect()]
+    return {"methods": summary.select(F.count_distinct("method")).first()[0], "skipped_files": skipped}
 
 
 JOBS = {
@@ -76,7 +81,7 @@ JOBS = {
     "classify-data": (
         lambda s, a: classify.run_data(
             s, a.corpus, a.labels, a.gold, a.splits, a.out,
-            (a.min_rows or classify.TRAIN_ROWS[0], a.max_rows or classify.TRAIN_ROWS[1]), a.gold_rows or classify.GOLD_ROWS,
+            (a.min_rows, a.max_rows), a.gold_rows,
         ),
         ["corpus", "labels", "gold", "splits", "out"], {"min-rows": int, "max-rows": int, "gold-rows": int},
     ),

@@ -69,8 +69,8 @@ def thread_id(subject: Column) -> Column:
     return F.substring(F.sha2(normalize_subject(subject), 256), 1, 12)
 
 
-def content_doc_id(split: Column, body: Column, subject: Column, hex_digits: int = 8) -> Column:
-    """``split:hash`` over body and subject; raise ``hex_digits`` for large corpora."""
+def content_doc_id(split: Column, body: Column, subject: Column, hex_digits: int = 32) -> Column:
+    """``split:hash`` over body and subject; eight digits give short ids that may collide."""
     digest = F.sha2(F.concat_ws("\u0000", body, subject), 256)
     return F.concat(split, F.lit(":"), F.substring(digest, 1, hex_digits))
 

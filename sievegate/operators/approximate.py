@@ -21,7 +21,6 @@ from sievegate.operators.neighbors import (
     merge_winners,
     nearest_items,
 )
-from sievegate.operators.sized import broadcast_if_small
 from sievegate.session import cut_lineage
 
 
@@ -76,7 +75,7 @@ def approximate_items(
     item_sizes = right.groupBy(*cell).agg(
         F.ceil(F.count(F.lit(1)) / tile_items).cast("int").alias("_ni")
     )
-    grid = broadcast_if_small(query_sizes.join(item_sizes, cell))  # buckets on both sides
+    grid = query_sizes.join(item_sizes, cell)  # buckets on both sides
     whole = F.lit(0)
     left = left.join(grid, cell).select(
         *left.columns,

@@ -9,7 +9,8 @@ query leave a task. How the queries reach the items depends on their measured si
 
 Both ways are exact. Distances are compared at nine decimals and ties go to the smaller
 item id, so the result does not depend on batch or partition boundaries. Null and
-zero-length vectors have no distance and are left out.
+zero-length vectors have no distance and are left out; a vector with a non-finite value on
+either side is an error.
 """
 
 from __future__ import annotations
@@ -31,78 +32,80 @@ TILE_QUERIES = 50_000
 TILE_ITEMS = 200_000
 _UNITS = 10**9  # distances are ranked as integers of this resolution
 _MATRIX_CELLS = 4_000_000
-_BUFFER_ROWS = 1_000_000
+_FREE = 4 * _UNITS  # farther than any item
+_STATE_BYTES = 256 << 20  # places of the running winners of one group in one task
 
 
 class _Nearest:
     """Running k nearest items per (group, query) of one task.
 
-    The buffer is bounded: when many groups or queries would overflow it, the current
-    winners are handed on early, which the final merge allows.
+    Each group holds a dense array of k places per query, so a task hands on at most k rows
+    per query and group, once, whatever the number of items it has seen.
     """
 
     def __init__(self, query_ids: np.ndarray, query_matrix: np.ndarray, k: int, group: str | None):
+        if not np.isfinite(query_matrix).all():
+            raise ValueError("non-finite value in a query vector")
         lengths = np.linalg.norm(query_matrix, axis=1)
-        usable = np.isfinite(lengths) & (lengths > 0)
+        usable = lengths > 0
         self.ids = query_ids[usable]
         self.matrix = query_matrix[usable] / lengths[usable, None]
         self.k, self.group = k, group
-        self.parts: list[pd.DataFrame] = []
-        self.rows = 0
+        # per group: distances in units and rows of ``payload``, _FREE where a place is free
+        self.best: dict[object, tuple[np.ndarray, np.ndarray]] = {}
+        self.payload: pd.DataFrame | None = None
 
-    def add(self, vectors: np.ndarray, items: pd.DataFrame, item_id: str) -> Iterator[pd.DataFrame]:
+    def add(self, vectors: np.ndarray, items: pd.DataFrame, item_id: str) -> None:
         if not np.isfinite(vectors).all():
             raise ValueError("non-finite value in an item vector")
         lengths = np.linalg.norm(vectors, axis=1)
-        order = np.argsort(items[item_id].to_numpy(), kind="stable")
-        order = order[lengths[order] > 0]
-        unit = vectors[order] / lengths[order, None]
-        items = items.iloc[order].reset_index(drop=True)
+        keep = np.flatnonzero(lengths > 0)
+        unit = vectors[keep] / lengths[keep, None]
+        items = items.iloc[keep]
+        before = 0 if self.payload is None else len(self.payload)
+        self.payload = items if self.payload is None else pd.concat([self.payload, items])
+        self.payload = self.payload.reset_index(drop=True)
+        # ties go to the smaller id: its rank among the ids at hand
+        rank = self.payload[item_id].rank(method="dense").to_numpy(np.int64)
         if self.group is None:
-            members = [np.arange(len(items))]
+            members = {None: np.arange(len(items))}
         else:
-            members = list(items.groupby(self.group, sort=False).indices.values())
-        for rows in members:
-            self._add_block(unit[rows], items.iloc[rows])
-        if self.rows > _BUFFER_ROWS:
-            self._compact()
-            if self.rows > _BUFFER_ROWS // 2:
-                yield from self.drain()
-
-    def _add_block(self, unit: np.ndarray, items: pd.DataFrame) -> None:
-        """Item rows arrive in id order, so the row number breaks ties."""
-        count = len(unit)
-        if count == 0:
+            members = items.reset_index(drop=True).groupby(self.group, sort=False).indices
+        for name, rows in members.items():
+            self._add_block(name, unit[rows], before + np.asarray(rows), rank)
+        self._forget()
+
+    def _add_block(self, name: object, unit: np.ndarray, rows: np.ndarray, rank: np.ndarray) -> None:
+        if len(rows) == 0:
             return
-        step = max(1, _MATRIX_CELLS // count)
+        shape = (len(self.matrix), self.k)
+        if name not in self.best:
+            self.best[name] = np.full(shape, _FREE, np.int64), np.zeros(shape, np.int64)
+        units, refs = self.best[name]
+        spread = int(rank.max()) + 1
+        step = max(1, _MATRIX_CELLS // (len(rows) + self.k))
         for start in range(0, len(self.matrix), step):
-            block = self.matrix[start : start + step]
-            distance = np.rint((1.0 - block @ unit.T) * _UNITS).astype(np.int64)
-            if count > self.k:
-                ranked = distance * count + np.arange(count)
-                best = np.argpartition(ranked, self.k - 1, axis=1)[:, : self.k]
-            else:
-                best = np.broadcast_to(np.arange(count), distance.shape)
-            part = items.take(best.ravel()).reset_index(drop=True)
-            part["_query"] = np.repeat(np.arange(start, start + len(block)), best.shape[1])
-            part["_units"] = np.take_along_axis(distance, best, axis=1).ravel()
-            self.parts.append(part)
-            self.rows += len(part)
-
-    def _compact(self) -> None:
-        merged = pd.concat(self.parts, ignore_index=True)
-        groups = ["_query"] if self.group is None else [self.group, "_query"]
-        item_id = next(c for c in merged.columns if c not in (*groups, "_units"))
-        merged = merged.sort_values([*groups, "_units", item_id], kind="stable")
-        self.parts = [merged.groupby(groups, sort=False).head(self.k)]
-        self.rows = len(self.parts[0])
-
-    def drain(self) -> Iterator[pd.DataFrame]:
-        if self.rows:
-            self._compact()
-            out = self.parts[0]
-            yield out.assign(_query=self.ids[out["_query"].to_numpy()])
-        self.parts, self.rows = [], 0
+            part = slice(start, start + step)
+            distance = np.rint((1.0 - self.matrix[part] @ unit.T) * _UNITS).astype(np.int64)
+            all_units = np.concatenate([units[part], distance], axis=1)
+            all_refs = np.concatenate([refs[part], np.broadcast_to(rows, distance.shape)], axis=1)
+            order = np.argpartition(all_units * spread + rank[all_refs], self.k - 1, axis=1)[:, : self.k]
+            units[part] = np.take_along_axis(all_units, order, axis=1)
+            refs[part] = np.take_along_axis(all_refs, order, axis=1)
+
+    def _forget(self) -> None:
+        """Drops the payload of items that no place refers to."""
+        live = np.unique(np.concatenate([refs[units != _FREE] for units, refs in self.best.values()] or [np.zeros(0, np.int64)]))
+        self.payload = self.payload.take(live).reset_index(drop=True)
+        for units, refs in self.best.values():
+            refs[:] = np.where(units == _FREE, 0, np.searchsorted(live, refs))
+
+    def winners(self) -> Iterator[pd.DataFrame]:
+        for units, refs in self.best.values():
+            query, place = np.nonzero(units != _FREE)
+            if len(query):
+                out = self.payload.take(refs[query, place]).reset_index(drop=True)
+                yield out.assign(_query=self.ids[query], _units=units[query, place])
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -146,8 +149,8 @@ def _broadcast_join(
             batch = batch.filter(batch.column("_vector").is_valid())
             if batch.num_rows:
                 table = batch.select(kept).to_pandas()
-                yield from emit(best.add(_matrix(batch.column("_vector"), dim), table, kept[0]))
-        yield from emit(best.drain())
+                best.add(_matrix(batch.column("_vector"), dim), table, kept[0])
+        yield from emit(best.winners())
 
     return items.mapInArrow(scan, layout)
 
@@ -172,7 +175,8 @@ def join_cells(
             left["_query"].to_numpy(), np.stack(left["_vector"].to_numpy()).astype(np.float64), k, group
         )
         vectors = np.stack(right["_vector"].to_numpy()).astype(np.float64)
-        frames = [*best.add(vectors, right[kept], kept[0]), *best.drain()]
+        best.add(vectors, right[kept], kept[0])
+        frames = [*best.winners()]
         return pd.concat(frames)[columns] if frames else pd.DataFrame(columns=columns)
 
     return (
@@ -242,7 +246,9 @@ def nearest_items(
     left = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).alias("_vector"))
     right = items.select(*kept, F.col(item_vector).alias("_vector"))
     layout = _local_schema(queries, items, query_id, kept)
-    limit = max(1, broadcast_bytes // (8 * dim))
+    places = max(1, _STATE_BYTES // (16 * k))
+    limit = max(1, min(broadcast_bytes // (8 * dim), places))
+    tile_queries = min(tile_queries, places)
     sample = left.limit(limit + 1).toArrow()
     if sample.num_rows <= limit:
         local = _broadcast_join(sample, right, layout, kept, dim, k, group)

@@ -268,5 +268,5 @@ def method_summary(rows: DataFrame, groups: Sequence[str] = ("method",)) -> Data
         .join(interval, keys)
         .join(macro_f1(class_scores(counts, keys, "n"), keys), keys)
         .join(calibration_error(bins_from_counts(counts, keys), keys), keys)
-        .join(latency_summary(rows, keys), keys)
+        .join(latency_summary(rows, keys), keys, "left")  # a method may report no latency
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievegate.operators.sized import broadcast_if_small
 
 KEY = ["doc_id", "chunk_ord"]
 
@@ -30,7 +29,7 @@ def gold_threads(documents: DataFrame, gold: DataFrame) -> DataFrame:
 
 def allowed_documents(documents: DataFrame, gold: DataFrame, train: DataFrame) -> DataFrame:
     """Train documents none of whose thread mates is a gold document."""
-    excluded = broadcast_if_small(gold_threads(documents, gold))
+    excluded = gold_threads(documents, gold)
     clean = documents.join(excluded, "thread_id", "left_anti")
     outside = train.select("doc_id").distinct()
     inside = clean.select("doc_id").distinct()
@@ -142,9 +141,9 @@ def review_coverage(candidates: DataFrame, verdicts: DataFrame) -> DataFrame:
     )
 
 
-def require_row_count(rows: DataFrame, low: int, high: int, what: str) -> int:
-    """Number of rows, which has to lie in ``[low, high]``."""
+def require_row_count(rows: DataFrame, low: int | None, high: int | None, what: str) -> int:
+    """Number of rows, which has to lie in ``[low, high]`` as far as bounds are given."""
     found = rows.count()
-    if not low <= found <= high:
+    if (low is not None and found < low) or (high is not None and found > high):
         raise ValueError(f"{what}: {found} rows, expected {low} to {high}")
     return found

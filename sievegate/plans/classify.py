@@ -33,20 +33,18 @@ from sievegate.sources.files import (
     write_stats,
 )
 
-# Expected sizes of the training and gold sets.
-TRAIN_ROWS = (15_000, 21_000)
-GOLD_ROWS = 200
-
-
 def run_data(
     spark: SparkSession, corpus: str, labels: str, gold: str, manifest: str, out: str,
-    train_size: tuple[int, int] = TRAIN_ROWS, gold_size: int = GOLD_ROWS,
+    train_size: tuple[int | None, int | None] = (None, None), gold_size: int | None = None,
 ) -> dict:
-    """Write ``train`` and ``eval`` rows without any thread in common; returns statistics."""
+    """Write ``train`` and ``eval`` rows without any thread in common; returns statistics.
+
+    Expected sizes are checked where they are given.
+    """
     started = time.monotonic()
     chunks, weak = read_table(spark, corpus, CORPUS), read_table(spark, labels, WEAK_LABELS)
     reviewed, splits = read_gold(spark, gold), read_manifest(spark, manifest)
-    require_row_count(reviewed, gold_size, gold_size, "gold rows")
+    n_gold = require_row_count(reviewed, gold_size, gold_size, "gold rows")
     documents = document_sizes(chunks)
     require_known(reviewed, documents, "gold documents")
     train = splits.filter(F.col("split") == "train")
@@ -59,7 +57,7 @@ def run_data(
     write_rows(tag_splits(reviewed, splits), f"{out}/eval")
     stats = {
         "train_rows": n_train,
-        "eval_rows": gold_size,
+        "eval_rows": n_gold,
         **exclusion_stats(documents, reviewed, train).first().asDict(),
         "weak_dist": {r["weak_label"]: r["n"] for r in label_distribution(rows, "weak_label").collect()},
         "seconds": round(time.monotonic() - started, 1),

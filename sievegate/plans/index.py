@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievegate.functions.acl import team_by_blake
+from sievegate.functions.acl import team_by_sha
 from sievegate.functions.text import chunk_id, encoder_input
 from sievegate.operators.encode import Encoder, block_of, encoder_column, hashed_vectors
 from sievegate.operators.labelling import attach_document_label
@@ -17,6 +17,7 @@ from sievegate.operators.trainset import key_differences
 from sievegate.operators.upsert import grant_roles, pending_rows, update_vectors, upsert
 from sievegate.schemas import CHUNKS, CORPUS, DOCUMENTS, WEAK_LABELS
 from sievegate.sources.files import (
+    KEY,
     read_encoder_rows,
     read_table,
     read_vector_blocks,
@@ -24,8 +25,8 @@ from sievegate.sources.files import (
     write_vector_blocks,
 )
 
-# Fixed value: rows per vector block.
-BLOCK_ROWS = 1000
+# Bytes of vectors in a block; a block is one folder and one task's work.
+BLOCK_BYTES = 64 << 20
 
 
 def embed_rows(
@@ -44,30 +45,30 @@ def run_embed(
     spark: SparkSession, corpus: str, out: str, dim: int, n_blocks: int | None = None,
     load_encoder: Callable[[], Encoder] | None = None,
 ) -> dict:
-    """Encode the blocks that are not stored yet; returns row and block counts.
+    """Encode the rows whose vectors are not stored yet; returns row and block counts.
 
-    Blocks come from a hash of the key, so an interrupted run continues with the missing
-    blocks and no key is ever stored twice.
+    Every run adds blocks of its own behind those it finds, so an interrupted run is continued, a
+    grown corpus adds its new rows, and no key is ever stored twice. ``n_blocks`` fixes the number
+    of blocks that this run adds.
     """
     started = time.monotonic()
     rows = read_encoder_rows(spark, corpus)
-    total = rows.count()
-    blocks = n_blocks or max(1, -(-total // BLOCK_ROWS))
-    numbered = rows.withColumn("block", block_of(["doc_id", "chunk_ord"], blocks))
-    stored = stored_table(spark, out)
+    stored, first, pending = stored_table(spark, out), 0, rows
     if stored is not None:
-        done = stored.select(F.col("block").cast("int").alias("block")).distinct()
-        numbered = pending_rows(numbered, done, ["block"])
-    vectors = embed_rows(numbered, dim, load_encoder).withColumn(
-        "block", block_of(["doc_id", "chunk_ord"], blocks)
-    )
-    write_vector_blocks(vectors, out, dim)
+        last = stored.agg(F.max(F.col("block").cast("int"))).first()[0]
+        first = 0 if last is None else last + 1
+        pending = pending_rows(rows, stored, KEY)
+    missing = pending.count()
+    blocks = n_blocks or -(-missing // max(1, BLOCK_BYTES // (4 * dim)))
+    if missing or stored is None:
+        number = block_of(KEY, max(1, blocks)) + first
+        write_vector_blocks(embed_rows(pending, dim, load_encoder).withColumn("block", number), out, dim)
     stored = read_vector_blocks(spark, out, dim)
     match = key_differences(rows, stored).first()
     if match["only_left"] or match["only_right"]:
         raise ValueError(f"vector keys differ from corpus keys: {match.asDict()}")
     return {
-        "rows": total, "blocks": blocks, "dim": dim, "seconds": round(time.monotonic() - started, 1)
+        "rows": match["shared"], "added": missing, "blocks": blocks, "dim": dim, "seconds": round(time.monotonic() - started, 1)
     }
 
 
@@ -83,9 +84,13 @@ def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 def document_rows(corpus: DataFrame, labels: DataFrame, source: str = "aeslc") -> DataFrame:
     """Incoming document rows: one per document with its strictest chunk label."""
+    message = F.concat(F.lit("several titles or threads of document "), F.col("doc_id"))
     documents = corpus.groupBy("doc_id").agg(
-        F.min("title").alias("title"), F.min("thread_id").alias("thread_id")
+        *[f(F.struct("title", "thread_id")).alias(n) for f, n in ((F.min, "_first"), (F.max, "_last"))]
     )
+    one = F.when(F.col("_first") == F.col("_last"), F.col("_first"))
+    one = F.coalesce(one, F.when(F.raise_error(message).cast("boolean"), F.col("_first")))
+    documents = documents.select("doc_id", one.alias("_one")).select("doc_id", "_one.title", "_one.thread_id")
     return attach_document_label(documents, labels).select(
         F.col("doc_id").alias("id"),
         F.lit(source).alias("source"),
@@ -126,7 +131,7 @@ def attach_vectors(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
     return update_vectors(chunks, staged)
 
 
-def seed_grants(documents: DataFrame, team=team_by_blake) -> DataFrame:
+def seed_grants(documents: DataFrame, team=team_by_sha) -> DataFrame:
     return grant_roles(documents, team, "id")
 
 

@@ -15,7 +15,7 @@ from sievegate.schemas import CORPUS
 from sievegate.sources.files import read_raw_splits, write_stats, write_table
 
 
-def clean_messages(raw: DataFrame, id_digits: int = 8) -> DataFrame:
+def clean_messages(raw: DataFrame, id_digits: int = 32) -> DataFrame:
     """``doc_id, thread_id, split, title, cleaned`` for messages with any text left."""
     body, subject = F.col("email_body"), F.col("subject_line")
     # A filter on the cleaned text would be pushed down and clean every text twice. Exploding
@@ -39,7 +39,7 @@ def chunk_messages(
 
 
 def build_corpus(
-    raw: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, id_digits: int = 8
+    raw: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, id_digits: int = 32
 ) -> DataFrame:
     """The corpus; among copies the one with the smallest document id survives.
 
@@ -50,7 +50,7 @@ def build_corpus(
 
 
 def run(
-    spark: SparkSession, raw: str | DataFrame, out: str, limit: int | None = None, id_digits: int = 8
+    spark: SparkSession, raw: str | DataFrame, out: str, limit: int | None = None, id_digits: int = 32
 ) -> dict:
     """Write the corpus and its statistics; returns the statistics.
 

@@ -35,12 +35,14 @@ def build_session(app_name: str, cores: int | None = None, **conf: str) -> Spark
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, laptops) a temporary folder is made.
+    Only in local mode, where one machine does all the work, a temporary folder stands in.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
         "spark.checkpoint.dir"
     )
+    if not folder and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not folder:
         folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="run-")
     if context.getCheckpointDir() is None:

@@ -21,16 +21,6 @@ IMAGE_TITLE = "FUNSD form "
 KEY = ["doc_id", "chunk_ord"]
 
 
-def widen(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than there are cores.
-
-    Meant for text-heavy work on a few small files. A scan of any size worth a cluster has
-    plenty of partitions already and is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 # --- raw e-mail -------------------------------------------------------------------------
 
 
@@ -189,28 +179,70 @@ def content_digest(rows: DataFrame, digits: int = 16) -> DataFrame:
 # --- prediction files -------------------------------------------------------------------
 
 
-def read_predictions(spark: SparkSession, path: str, skip_methods: tuple[str, ...] = ()) -> DataFrame:
-    """One row per prediction from a folder of result files.
+_LINE_RUN = r"run=([^/]+)/[^/]*$"
 
-    The method is the file's own name for it, else the file name. Unreadable files give no
-    rows. Of two files for one method the last by name counts.
+
+def write_predictions(rows: DataFrame, path: str, run: str) -> None:
+    """Predictions of one run, one JSON object per line, in a folder of its own below ``path``.
+
+    Lines can be split over tasks; ``method`` is part of every line.
     """
-    layout = schemas.PREDICTIONS
-    files = (
-        spark.read.option("multiLine", True).option("mode", "PERMISSIVE").schema(layout)
-        .json(path, pathGlobFilter="*.json")
-        .select("config", "rows", F.col("_metadata.file_name").alias("file"))
-        .filter(F.col("rows").isNotNull())
+    rows.write.mode("overwrite").json(f"{path}/run={run}")
+
+
+def _wrapped_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Files that hold one object of ``config`` and ``rows``."""
+    found = (
+        spark.read.option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
+        .schema(schemas.PREDICTIONS).json(path, pathGlobFilter="*.json")
+        .select("config", "rows", F.col("_metadata.file_path").alias("_path"))
+        .filter(F.col("rows").isNotNull() & (F.regexp_extract("_path", _LINE_RUN, 1) == ""))
+    )
+    stem = F.regexp_extract("_path", r"([^/]*)\.json$", 1)
+    cost = F.coalesce("config.cost_per_1k_usd", "config.cost_usd_per_1k", F.lit(0.0))
+    return found.select(
+        F.coalesce("config.method", stem).alias("method"), stem.alias("run"), "_path",
+        cost.alias("cost_per_1k_usd"), F.explode("rows").alias("_r"),
+    ).select("method", "run", "_path", "cost_per_1k_usd", "_r.*")
+
+
+def _line_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Runs written by ``write_predictions``."""
+    layout = schemas.PREDICTIONS["rows"].dataType.elementType
+    layout = T.StructType([*layout.fields, T.StructField("method", T.StringType()), T.StructField("cost_per_1k_usd", T.DoubleType())])
+    found = (
+        spark.read.option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
+        .schema(layout).json(path, pathGlobFilter="*.json").withColumn("_path", F.col("_metadata.file_path"))
+        .withColumn("run", F.regexp_extract("_path", _LINE_RUN, 1))
+        .filter((F.col("run") != "") & F.col("doc_id").isNotNull())
+    )
+    columns = [f.name for f in schemas.PREDICTIONS["rows"].dataType.elementType.fields]
+    return found.select(
+        F.coalesce("method", "run").alias("method"), "run", "_path",
+        F.coalesce("cost_per_1k_usd", F.lit(0.0)).alias("cost_per_1k_usd"), *columns,
     )
-    stem = F.regexp_replace("file", r"\.json$", "")
-    named = files.withColumn("method", F.coalesce("config.method", stem))
+
+
+def read_predictions(spark: SparkSession, path: str, skip_methods: tuple[str, ...] = ()) -> DataFrame:
+    """One row per prediction from a folder of runs and of wrapped result files.
+
+    The method is what the rows or the file say, else the run's or file's name. Of two runs for
+    one method the last by name counts. ``unreadable_predictions`` lists files that give no rows.
+    """
+    named = _wrapped_predictions(spark, path).unionByName(_line_predictions(spark, path))
     if skip_methods:
         named = named.filter(~F.col("method").isin(*skip_methods))
-    latest = named.groupBy("method").agg(F.max("file").alias("file"))
-    cost = F.coalesce("config.cost_per_1k_usd", "config.cost_usd_per_1k", F.lit(0.0))
-    return named.join(latest, ["method", "file"]).select(
-        "method", cost.alias("cost_per_1k_usd"), F.explode("rows").alias("_r")
-    ).select("method", "cost_per_1k_usd", "_r.*")
+    latest = named.groupBy("method").agg(F.max("run").alias("run"))
+    return named.join(latest, ["method", "run"]).drop("run", "_path")
+
+
+def unreadable_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` of every result file without a readable prediction."""
+    every = spark.read.option("recursiveFileLookup", True).text(path, pathGlobFilter="*.json")
+    every = every.select(F.col("_metadata.file_path").alias("_path")).distinct()
+    good = _wrapped_predictions(spark, path).select("_path").union(_line_predictions(spark, path).select("_path"))
+    missing = every.join(good.distinct(), "_path", "left_anti")
+    return missing.select(F.regexp_extract("_path", "([^/]+)$", 1).alias("file"))
 
 
 # --- split manifests --------------------------------------------------------------------

@@ -15,7 +15,6 @@ from sievegate.operators.dedupe import drop_normalized_copies
 from sievegate.operators.labelling import label_chunks
 from sievegate.operators.upsert import pending_rows
 from sievegate.plans.prep import chunk_messages, clean_messages
-from sievegate.sources.files import widen
 
 
 def message_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
@@ -78,7 +77,7 @@ def start_prep(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        arrived = widen(batch)
+        arrived = batch
         cleaned = clean_messages(prepare(arrived) if prepare else arrived)
         fresh = unseen_messages(cleaned, _stored(spark, f"{out}/messages"), batch_id)
         write_batch(fresh, f"{out}/messages", batch_id)
@@ -86,7 +85,7 @@ def start_prep(
         def written(name: str) -> DataFrame:
             return spark.read.parquet(f"{out}/{name}").filter(F.col("batch") == batch_id)
 
-        write_batch(chunk_messages(widen(written("messages"))), f"{out}/corpus", batch_id)
+        write_batch(chunk_messages(written("messages")), f"{out}/corpus", batch_id)
         write_batch(label_chunks(written("corpus")), f"{out}/labels", batch_id)
 
     return (

@@ -45,9 +45,10 @@ def test_all_jobs_in_a_row(spark, tmp_path, capsys):
     _, fitted = run(capsys, "classify-lr", "--train", folder["data"] / "train", "--eval", folder["data"] / "eval", "--vectors", folder["vectors"],
                     "--out", folder["pred"], "--dim", 48, "--method", "lr", "--c", 1.0, "--weights", tmp_path / "weights")
     assert fitted["rows"] == 30
-    results = tmp_path / "results"
-    results.mkdir()
-    predicted = [r.asDict(recursive=True) for r in spark.read.json(str(folder["pred"])).collect()]
-    (results / "lr.json").write_text(json.dumps({"config": {"method": "lr"}, "rows": [{**r, "latency_ms": 1.0} for r in predicted]}))
-    _, compared = run(capsys, "classify-eval", "--results", results, "--out", folder["cmp"], "--eval", folder["data"] / "eval")
-    assert compared["methods"] == 1
+    (folder["pred"] / "broken.json").write_text("{ not json")
+    (folder["pred"] / "other.json").write_text(json.dumps({"rows": [
+        {"doc_id": "d", "chunk_ord": 0, "gold": "public", "pred": "public", "probs": {"public": 1.0}, "latency_ms": 2.0}]}))
+    _, compared = run(capsys, "classify-eval", "--results", folder["pred"], "--out", folder["cmp"], "--eval", folder["data"] / "eval")
+    assert compared["methods"] == 2 and compared["skipped_files"] == ["broken.json"]
+    summary = {(r.method, r.subset): r for r in spark.read.json(str(folder["cmp"])).collect()}
+    assert summary["lr", "all"].n == 30 and summary["lr", "all"].p50 is None and summary["other", "all"].p50 == 2.0

@@ -165,9 +165,17 @@ def test_vectors_round_trip_and_resume(spark, tmp_path, corpus_path):
 
         return encode
 
-    index.run_embed(spark, path, out, 16, n_blocks=3, load_encoder=load)
+    index.run_embed(spark, path, out, 16, load_encoder=load)
     assert calls.value == 0, "finished blocks are not encoded again"
     assert files.read_vector_blocks(spark, out, 16).count() == first["rows"]
+    grown = str(tmp_path / "grown")
+    more = files.read_table(spark, path, schemas.CORPUS)
+    more = more.union(more.withColumn("doc_id", F.concat(F.lit("new-"), F.col("doc_id"))))
+    files.write_table(more, grown, schemas.CORPUS)
+    second = index.run_embed(spark, grown, out, 16, load_encoder=load)
+    assert second["rows"] == 2 * first["rows"] and second["added"] == first["rows"] == calls.value
+    vectors = files.read_vector_blocks(spark, out, 16)
+    assert vectors.select("doc_id", "chunk_ord").distinct().count() == vectors.count() == second["rows"]
     with pytest.raises(Exception, match="expected 15 finite values"):
         files.read_vector_blocks(spark, out, 15).collect()
     bad = spark.createDataFrame([("d", 0, [1.0, float("nan")], 0)], "doc_id string, chunk_ord int, vector array<float>, block int")

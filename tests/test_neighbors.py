@@ -57,22 +57,22 @@ def test_exact_join_per_group(spark, ways):
         assert {key[0]: names for key, names in got.items() if key[1] == part} == expected
 
 
-def test_bounded_buffer_hands_winners_on(spark, monkeypatch):
+def test_a_task_hands_on_k_rows_per_query_once(spark, monkeypatch):
     from sievegate.operators import neighbors
 
-    monkeypatch.setattr(neighbors, "_BUFFER_ROWS", 10)
+    monkeypatch.setattr(neighbors, "_MATRIX_CELLS", 20)
     q, _ = cloud(spark, 6, 4, ("qid", "vector"))
     best = neighbors._Nearest(np.array([f"i{i:04d}" for i in range(6)], dtype=object), q.astype(float), 5, None)
     import pandas as pd
 
     m, _ = cloud(spark, 40, 5, ("chunk_id", "embedding"))
-    frames = []
     for start in range(0, 40, 8):
         names = pd.DataFrame({"chunk_id": [f"i{j:04d}" for j in range(start, start + 8)]})
-        frames += list(best.add(m[start : start + 8].astype(float), names, "chunk_id"))
-    assert frames, "the small buffer must have been emptied on the way"
-    merged = pd.concat([*frames, *best.drain()]).sort_values(["_query", "_units", "chunk_id"])
-    got = {key: list(part["chunk_id"][:5]) for key, part in merged.groupby("_query")}
+        best.add(m[start : start + 8].astype(float), names, "chunk_id")
+        assert len(best.payload) <= 6 * 5
+    merged = pd.concat(best.winners()).sort_values(["_query", "_units", "chunk_id"])
+    assert len(merged) == 6 * 5
+    got = {key: list(part["chunk_id"]) for key, part in merged.groupby("_query")}
     assert got == brute(q, m, 5)
 
 
@@ -85,6 +85,10 @@ def test_missing_and_malformed_vectors(spark):
         broken = spark.createDataFrame([("x", bad)], "chunk_id string, embedding array<float>")
         with pytest.raises(Exception, match="wide|non-finite"):
             nearest_items(queries, broken, 5, DIM).collect()
+        asking = spark.createDataFrame([("ok", [1.0] * DIM), ("x", bad)], "qid string, vector array<float>")
+        for limit in (1 << 20, 1):  # broadcast and tiles
+            with pytest.raises(Exception, match="wide|non-finite"):
+                nearest_items(asking, items, 5, DIM, broadcast_bytes=limit).collect()
 
 
 def test_ranking_ignores_positive_scale(spark):
