@@ -21,9 +21,13 @@ FREQUENT = 6
 #: Frequent shingles form so many classes; a pair lies within one.
 CLASSES = 8
 #: Bits of a set's parity sketch.
-SKETCH = 512
+SKETCH = 1024
 #: Rounds in which buckets are tested against one member only.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
+#: Members of a bucket that meet in one place at most; larger buckets are cut, and cuts meet in pairs.
+TILE_ROWS = 1024
+#: Bucket rows that a task takes together, on average.
+TASK_ROWS = 20_000
 #: Bits of the keys by which document frequencies are counted.
 KEY_BITS = 44
 _ENTRY = (
@@ -194,13 +198,68 @@ def _near(n_a: str, n_b: str):
     return PARTS * F.least(n_a, n_b) >= LINK * F.greatest(n_a, n_b)
 
 
+def _close_in_bucket(rows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sketches: np.ndarray, left: np.ndarray):
+    """Pairs of places, one from ``left`` and one from the rest (or both, where all are left), that may link."""
+    first = np.flatnonzero(left)
+    other = first if len(first) == len(rows) else np.flatnonzero(~left)
+    for start in range(0, len(first), 64):
+        part = first[start : start + 64]
+        differ = np.bitwise_count(sketches[part, None] ^ sketches[None, other]).sum(axis=2, dtype=np.int64)
+        size = sizes[part, None] + sizes[None, other]
+        smaller = np.minimum(sizes[part, None], sizes[None, other])
+        near = (PARTS - LINK) * size >= (PARTS + LINK) * differ
+        near &= PARTS * smaller >= LINK * (size - smaller)
+        near &= labels[part, None] != labels[None, other]
+        at = np.nonzero(near)
+        yield rows[part[at[0]]], rows[other[at[1]]]
+
+
+def close_pairs(now: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different labels that share a signature and whose sketches allow a link.
+
+    Buckets are compared inside tasks, which hand on only what the sketches leave. A bucket beyond
+    ``TILE_ROWS`` is cut by a hash, and every pair of cuts meets in a place of its own.
+    """
+    tiles = now.groupBy("sig").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("tiles"))
+    rows = now.join(tiles, "sig").withColumn("tile", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    low, high = F.least("tile", "other"), F.greatest("tile", "other")
+    rows = rows.select("sig", "row", "n", "label", "tile", low.alias("low"), high.alias("high"))
+    tasks = max(1, rows.count() // TASK_ROWS)
+    placed = rows.withColumn("task", F.pmod(F.xxhash64("sig", "low", "high"), F.lit(tasks)))
+    placed = placed.join(sets.select("row", "sketch"), "row")
+
+    def meet(table: pa.Table) -> pa.Table:
+        column = {c: table.column(c).to_numpy() for c in ("sig", "low", "high", "tile", "row", "n", "label")}
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(column["row"]), -1)
+        order = np.lexsort((column["high"], column["low"], column["sig"]))
+        column = {c: v[order] for c, v in column.items()}
+        sketches = sketches[order]
+        new = np.zeros(len(order), bool)
+        for c in ("sig", "low", "high"):
+            new[1:] |= column[c][1:] != column[c][:-1]
+        ends = [0, *np.flatnonzero(new).tolist(), len(order)]
+        found = [np.zeros((0, 2), np.int64)]
+        for a, b in zip(ends[:-1], ends[1:], strict=True):
+            left = column["tile"][a:b] == column["low"][a]
+            if column["low"][a] != column["high"][a] and left.all():
+                continue  # nothing in the other cut
+            parts = column["row"][a:b], column["n"][a:b], column["label"][a:b], sketches[a:b], left
+            for x, y in _close_in_bucket(*parts):
+                found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return placed.groupBy("task").applyInArrow(meet, "a long, b long").distinct()
+
+
 def link_classes(entries: DataFrame) -> DataFrame:
     """``row`` and ``label``, the same for rows of the same class, of entries that may link.
 
     Equal sets become one. Buckets of equal signatures are tested against one of their members
     (a hub) for some rounds, a different one in each, so that large groups of near copies grow
     together with as many tests as they have members. Members of one class need no further test;
-    pairs of different classes that share a signature are all tested in the last round.
+    pairs of different classes that share a signature are all compared in the last round.
     """
     some = entries.filter("NOT alone")
     equal = some.groupBy("fp_a", "fp_b", "n").agg(F.min("row").alias("label"))
@@ -222,13 +281,13 @@ def link_classes(entries: DataFrame) -> DataFrame:
         if now.isEmpty():
             break
         if last:
-            other = now
+            pairs = close_pairs(now, sets)
         else:
             order = F.struct(F.xxhash64("row", F.lit(turn)).alias("o"), "row", "n", "label")
-            other = now.groupBy("sig").agg(F.min(order).alias("h")).select("sig", "h.row", "h.n", "h.label")
-        other = other.select("sig", *[F.col(c).alias(f"{c}_2") for c in ("row", "n", "label")])
-        met = now.join(other, "sig").filter((F.col("label") != F.col("label_2")) & _near("n", "n_2"))
-        pairs = met.select(F.least("row", "row_2").alias("a"), F.greatest("row", "row_2").alias("b")).distinct()
+            hub = now.groupBy("sig").agg(F.min(order).alias("h")).select("sig", "h.row", "h.n", "h.label")
+            hub = hub.select("sig", *[F.col(c).alias(f"{c}_2") for c in ("row", "n", "label")])
+            met = now.join(hub, "sig").filter((F.col("label") != F.col("label_2")) & _near("n", "n_2"))
+            pairs = met.select(F.least("row", "row_2").alias("a"), F.greatest("row", "row_2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")

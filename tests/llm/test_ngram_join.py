@@ -55,6 +55,9 @@ def edited(words, n, rng):
 @pytest.mark.parametrize("frequent", [6, 2])
 def test_classes_equal_brute_force(rows_of, monkeypatch, frequent):
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    if frequent == 2:
+        monkeypatch.setattr(ngram_join, "TILE_ROWS", 7)
+        monkeypatch.setattr(ngram_join, "TASK_ROWS", 50)
     rng = random.Random(11)
     vocabulary = [f"w{i}" for i in range(300)]
     fresh = lambda n: [rng.choice(vocabulary) for _ in range(n)]
