@@ -167,6 +167,22 @@ def unknown_users(spark, d):
     return unknown.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "loose_user_lookup",
+    t.with_tables(
+        "users",
+        """SELECT "user", count(*) AS n FROM (SELECT DISTINCT u."user", r.doc_id FROM requests r
+        JOIN users u ON lower(trim('  ' || upper(r."user") || ' ')) = lower(trim(u."user"))) GROUP BY 1""",
+        _FETCH,
+    ),
+)
+def loose_user_lookup(spark, d):
+    typed = F.concat(F.lit("  "), F.upper("user"), F.lit(" "))
+    requests = fetch_requests(spark, d).withColumn("user", typed)
+    found = permission.named_users(requests, users_frame(spark)).distinct()
+    return found.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "knn_permission",
     t.with_tables(
@@ -240,7 +256,7 @@ def found_rows(spark, d):
 
 
 _SHOWN = f"""{_HITS}, shown AS (SELECT r."user", r.qid, r.rank, r.chunk_id, r.doc_id, v.title, v.modality, v.label, r.units,
-    substr(coalesce(x.text, ''), 1, 200) AS snippet FROM ranked r JOIN vdocs v USING (doc_id) LEFT JOIN documents x ON x.doc_id = r.chunk_id WHERE rank <= 5)"""
+    substr(coalesce(x.text, ''), 1, 200) AS snippet, substr(coalesce(x.text, ''), 1, 1500) AS passage FROM ranked r JOIN vdocs v USING (doc_id) LEFT JOIN documents x ON x.doc_id = r.chunk_id WHERE rank <= 5)"""
 
 
 @query(
@@ -264,7 +280,7 @@ def search_hits(spark, d):
         "pairs vdocs users",
         """SELECT "user", qid, md5('Answer the question using ONLY the passages below. Cite every claim as [n]. If the passages do not answer it, say so.'
         || chr(10) || chr(10) || 'Question: question ' || qid || chr(10) || chr(10) || 'Passages:' || chr(10)
-        || string_agg('[' || rank || '] ' || snippet, chr(10) ORDER BY rank) || chr(10) || chr(10) || 'Answer:') AS prompt, count(*) AS n_citations
+        || string_agg('[' || rank || '] ' || passage, chr(10) ORDER BY rank) || chr(10) || chr(10) || 'Answer:') AS prompt, count(*) AS n_citations
         FROM shown GROUP BY 1, 2""",
         _SHOWN,
     ),

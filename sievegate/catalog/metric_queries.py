@@ -313,6 +313,45 @@ def class_intervals(spark, d):
     return scoring.class_intervals(t.predictions(spark, d))
 
 
+@query(
+    "class_interval_bounds",
+    t.with_tables(
+        "predictions",
+        """SELECT method, class, kind, count(*) AS n, round(avg(hit), 6) AS mean, true AS inside FROM (
+        SELECT method, pred AS class, 'precision' AS kind, (gold = pred)::INT AS hit FROM predictions
+        UNION ALL SELECT method, gold, 'recall', (gold = pred)::INT FROM predictions) GROUP BY 1, 2, 3""",
+    ),
+)
+def class_interval_bounds(spark, d):
+    """Means and counts of the class intervals, and whether each interval holds its mean."""
+    found = scoring.class_intervals(t.predictions(spark, d))
+    inside = (F.col("lo") <= F.col("mean") + 1e-9) & (F.col("mean") <= F.col("hi") + 1e-9)
+    return found.select(
+        "method", "class", "kind", F.col("n").cast("bigint").alias("n"), F.round("mean", 6).alias("mean"),
+        inside.alias("inside"),
+    )
+
+
+@query(
+    "method_comparison_scores",
+    t.with_tables(
+        "predictions",
+        """SELECT method, n, accuracy, macro_f1, ece, true AS inside, NULL::DOUBLE AS p50
+        FROM (SELECT method, count(*) AS n, round(avg((gold = pred)::INT), 6)::DOUBLE AS accuracy FROM predictions GROUP BY method)
+        JOIN (SELECT method, round(sum(f1) / 3, 6) AS macro_f1 FROM f1s GROUP BY method) USING (method)
+        JOIN (SELECT method, round(sum(n * abs(acc - mean_conf)) / sum(n), 6)::DOUBLE AS ece FROM bins GROUP BY method) USING (method)""",
+        f"{_SCORED}, {_BINNED}",
+    ),
+)
+def method_comparison_scores(spark, d):
+    """The comparison of methods of which none reports a latency."""
+    silent = t.predictions(spark, d).withColumn("latency_ms", F.lit(None).cast("double"))
+    found = scoring.method_summary(silent)
+    inside = (F.col("accuracy_lo") <= F.col("accuracy")) & (F.col("accuracy") <= F.col("accuracy_hi"))
+    rounded = [F.round(c, 6).alias(c) for c in ("accuracy", "macro_f1", "ece")]
+    return found.select("method", "n", *rounded, inside.alias("inside"), "p50")
+
+
 @query("method_comparison")
 def method_comparison(spark, d):
     return scoring.method_summary(t.predictions(spark, d))

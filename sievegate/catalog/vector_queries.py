@@ -305,7 +305,7 @@ def embedding_batches(spark, d):
     )
 
 
-@query("hashed_embedding")
+@query("hashed_embedding", t.with_tables("corpus", "SELECT doc_id, chunk_ord, 256 AS dim, 1.0::DOUBLE AS norm FROM corpus"))
 def hashed_embedding(spark, d):
     chunks = t.corpus(spark, d).withColumn("_in", encoder_input(F.col("title"), F.col("text")))
     vectors = hashed_vectors(chunks, "_in", 256)

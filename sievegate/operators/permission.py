@@ -26,6 +26,13 @@ def unknown_users(requests: DataFrame, users: DataFrame) -> DataFrame:
     return requests.join(users.select("user"), "user", "left_anti")
 
 
+def named_users(requests: DataFrame, users: DataFrame) -> DataFrame:
+    """Requests of known users under their stored name; case and outer blanks do not matter."""
+    known = users.select(F.col("user").alias("_stored"), F.lower(F.trim("user")).alias("_loose"))
+    found = requests.withColumn("_loose", F.lower(F.trim("user"))).join(known, "_loose")
+    return found.withColumn("user", F.col("_stored")).drop("_stored", "_loose")
+
+
 def signatures(documents: DataFrame) -> DataFrame:
     """Distinct ``acl, label, allowed_roles`` that at least one role can see."""
     return (
@@ -84,8 +91,8 @@ def permitted_hits(
 
 
 def hit_rows(hits: DataFrame, chunks: DataFrame, documents: DataFrame) -> DataFrame:
-    """Hits with title, snippet, modality, label and score; texts join only now."""
-    texts = chunks.select("chunk_id", snippet(F.col("text")).alias("snippet"))
+    """Hits with title, text, snippet, modality, label and score; texts join only now."""
+    texts = chunks.select("chunk_id", "text", snippet(F.col("text")).alias("snippet"))
     shown = documents.select("doc_id", "title", "modality", "label")
     return (
         hits.join(texts, "chunk_id")
@@ -140,7 +147,7 @@ def fetch_documents(requests: DataFrame, documents: DataFrame, users: DataFrame)
     return joined.select("user", "doc_id", "found", *shown)
 
 
-def answer_context(rows: DataFrame, passage_chars: int = 1500, passage: str = "snippet") -> DataFrame:
+def answer_context(rows: DataFrame, passage_chars: int = 1500, passage: str = "text") -> DataFrame:
     """Per (user, qid): passages and citations of its at most k hits, in rank order."""
     entry = F.struct(
         "rank", F.substring(F.col(passage), 1, passage_chars).alias("passage"), "doc_id", "chunk_id", "title"
