@@ -369,3 +369,61 @@ def article_sample(spark, d):
     return sample.select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("digest")
     )
+
+
+# Lines and phrases put into the tables' texts, so that rules fire which the texts alone never trigger.
+PLANTED_LINES = ("> quoted line", "| another one", "----- passed on -----", "On the 3rd the pilot wrote:", "kept\r", "kept too", "--", "cut off")
+PLANTED_PHRASES = (
+    "mate 987-65-4321 aboard", "passport no: XK4471902", "password = gull42", "iban: DE02120300000000202051",
+    "please do not forward", "the forecast of tides", "paid by 5500 0000 0000 0004", "nothing to see",
+)
+_SQL_LINES = " || chr(10) || ".join("'" + line.replace("\r", "' || chr(13) || '") + "'" for line in PLANTED_LINES)
+
+
+@query(
+    "planted_lines",
+    f"SELECT doc_id, length(c) AS n_chars, md5(c) AS digest FROM (SELECT doc_id, {t.sql_clean('body')} AS c FROM "
+    f"(SELECT doc_id, '> first' || chr(13) || chr(10) || text || chr(10) || {_SQL_LINES} AS body FROM documents))",
+)
+def planted_lines(spark, d):
+    """Cleaning where every text has quoted and forwarded lines, a carriage return and a signature."""
+    body = F.concat(F.lit("> first\r\n"), F.col("text"), F.lit("\n" + "\n".join(PLANTED_LINES)))
+    cleaned = t.texts(spark, d).select("doc_id", clean_text(body).alias("c"))
+    return cleaned.select("doc_id", F.length("c").cast("bigint").alias("n_chars"), F.md5("c").alias("digest"))
+
+
+_PLANTED_LIST = "[" + ", ".join(f"'{p}'" for p in PLANTED_PHRASES) + "]"
+
+
+@query(
+    "planted_flags",
+    t.with_tables(
+        "turns",
+        f"SELECT array_to_string({t.SQL_PII}, ',') AS pii, array_to_string({t.SQL_RULE_LIST}, ',') AS rules, {t.SQL_LABEL} AS label, count(*) AS n "
+        "FROM planted_evidence GROUP BY 1, 2, 3",
+        f"planted AS (SELECT doc_id, chunk_ord, title, text || ' ' || {_PLANTED_LIST}[(thread_id::BIGINT % 8 + 1)::INT] AS text FROM turns), "
+        + t.sql_evidence("planted_evidence", "planted", "doc_id, chunk_ord, title, text", "doc_id"),
+    ),
+)
+def planted_flags(spark, d):
+    """Rule labels where every text ends with a phrase for one of the rules, or for none."""
+    phrases = F.array(*map(F.lit, PLANTED_PHRASES))
+    phrase = F.get(phrases, (F.col("thread_id").cast("bigint") % len(PLANTED_PHRASES)).cast("int"))
+    turns = t.turns(spark, d).withColumn("text", F.concat_ws(" ", "text", phrase))
+    labelled = labelling.label_chunks(turns)
+    return labelled.groupBy(F.array_join("pii", ",").alias("pii"), F.array_join("rules", ",").alias("rules"), "label").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query(
+    "planted_copies",
+    r"""SELECT n AS "input", e AS after_exact, m AS after_normalized, n - e AS exact_removed, e - m AS normalized_removed
+    FROM (SELECT count(*) AS n, count(DISTINCT text) AS e, count(DISTINCT lower(regexp_replace(text, '[\s\x0b]+', ' ', 'g'))) AS m
+          FROM (SELECT text FROM documents UNION ALL SELECT replace(text, ' ', chr(9) || ' ') FROM documents))""",
+)
+def planted_copies(spark, d):
+    """Copy counts where every text has a second form that differs in white space only."""
+    texts = t.texts(spark, d).select("text")
+    wider = texts.select(F.replace("text", F.lit(" "), F.lit("\t ")).alias("text"))
+    return dedupe.copy_counts(texts.unionByName(wider), "text")
