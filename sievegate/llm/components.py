@@ -15,7 +15,8 @@ def roots(edges: DataFrame) -> DataFrame:
     smaller ones, to the smallest node it sees. The number of rounds grows with the logarithm of a
     component's width; a hub with very many edges only takes part in joins and minima.
     """
-    current = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
+    first = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = stored(first.filter("a <> b").distinct(), "edges")
     before = None
     while True:
         both = current.select("a", "b").union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
