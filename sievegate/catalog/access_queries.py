@@ -167,6 +167,21 @@ def unknown_users(spark, d):
     return unknown.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "planted_violations",
+    t.with_tables(
+        "vdocs users",
+        f"""SELECT "user", visible, count(*) AS n FROM (SELECT r."user", coalesce({t.SQL_MAY_READ}, false) AS visible
+        FROM requests r LEFT JOIN vdocs v USING (doc_id) LEFT JOIN users u ON u."user" = r."user") GROUP BY 1, 2""",
+        _FETCH,
+    ),
+)
+def planted_violations(spark, d):
+    """The re-check over hits that no filter has seen: forbidden and missing documents, unknown users."""
+    checked = permission.recheck(fetch_requests(spark, d), t.vector_documents(spark, d), users_frame(spark))
+    return checked.groupBy("user", "visible").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "loose_user_lookup",
     t.with_tables(
