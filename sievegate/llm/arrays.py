@@ -11,6 +11,8 @@ import xxhash
 # Bytes of text handled at once; a longer document is handled alone. Most rows handled at once.
 CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 1 << 20
 SPACES = b" \t\n\x0b\x0c\r"
+# White space of Unicode beyond ASCII.
+WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -45,8 +47,22 @@ def _is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13))
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Cuts texts before every run of white space.
+def _is_wide_space(data: np.ndarray) -> np.ndarray:
+    """As ``_is_space``, for all white space of Unicode; every byte of such a character is marked."""
+    space = _is_space(data)
+    leads = {c.encode()[0] for c in WIDE_SPACES}
+    at = np.flatnonzero(np.isin(data, np.array(sorted(leads), np.uint8)))
+    for code in (c.encode() for c in WIDE_SPACES) if len(at) else ():
+        found = at[at + len(code) <= len(data)]
+        for i, byte in enumerate(code):
+            found = found[data[found + i] == byte]
+        for i in range(len(code)):
+            space[found + i] = True
+    return space
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray, wide: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Cuts texts before every run of white space, of ASCII or (``wide``) of Unicode.
 
     Returns the number of the distinct piece at each place, where each text's pieces begin
     (one more at the end), and the distinct pieces. A piece is white space, possibly none,
@@ -54,7 +70,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """
     if len(data) == 0:
         return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64), []
-    space = _is_space(data)
+    space = _is_wide_space(data) if wide else _is_space(data)
     begins = np.empty(len(data), bool)
     begins[0] = True
     np.logical_and(space[1:], ~space[:-1], out=begins[1:])

@@ -21,12 +21,15 @@ class PieceEncoder:
     """Encodes texts with a tokenizers file, special strings in a text counting as ordinary text.
 
     Both public BPE files used here look at no more than one run of white space and the word after
-    it when they cut a text, so a text cut before every run of ASCII white space gives the same ids
-    piece by piece. Pieces repeat, hence a memory from pieces to ids.
+    it when they cut a text, so a text cut before every run of white space gives the same ids piece
+    by piece. Where spaces matter, a run is one of Unicode white space, which the file merges as a
+    whole (space, U+00A0, space); where they are dropped, a cut inside a run changes nothing, and
+    runs of ASCII white space will do. Pieces repeat, hence a memory from pieces to ids.
     """
 
     def __init__(self, path: str, spaces_matter: bool = True):
         self._key = bytes if spaces_matter else _spaceless
+        self._wide = spaces_matter
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -41,7 +44,7 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids begin (one more)."""
         data, offsets = text_bytes(texts)
-        codes, bounds, distinct = pieces(data, offsets)
+        codes, bounds, distinct = pieces(data, offsets, self._wide)
         distinct = [self._key(p) for p in distinct]
         if len(self._number) > REMEMBERED or len(self._ids) > 8 * REMEMBERED:
             self._forget()

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from sievegate.llm import packing, token_files
+from sievegate.llm import arrays, packing, token_files
 from sievegate.llm.tokens import PieceEncoder, tokenizer_path
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -37,6 +37,17 @@ def test_pieces_give_the_ids_of_the_whole_text(name):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == ids_of(text), repr(text)
 
 
+@pytest.mark.parametrize("name", [WORD_FILE, BYTE_FILE])
+def test_runs_of_mixed_white_space_are_encoded_whole(name):
+    rng, ids_of = random.Random(12), plain(name)
+    texts = [f"x{' \u00a0' * n} y" for n in (1, 2, 4, 8, 16)] + [f"{'\u00a0 ' * n}y" for n in (1, 2, 4)]
+    parts = [*arrays.SPACES.decode(), *arrays.WIDE_SPACES, " ", " ", "\u00a0", "\u00a0", "\x1c", "\u200b", "a", "é", "漢", "1", "'s", "!"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(3000)]
+    ids, bounds = PieceEncoder(tokenizer_path(name), name == BYTE_FILE).encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == ids_of(text), repr(text)
+
+
 def test_codes_round_trip_and_random_access():
     rng = np.random.default_rng(3)
     for ids in (np.zeros(0, int), np.array([0]), np.array([255, 256, 65535, 65536, 2**32 - 1]),
