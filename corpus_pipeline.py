@@ -11,6 +11,8 @@ from sievegate.llm.tokens import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = "byte_bpe_50k.json"
+#: Near copies share 80 of 100 shingles of five words; op8's query has its own numbers.
+SHINGLE_WORDS, LINK, PARTS = 5, 80, 100
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,8 +22,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of every class of documents that link at a similarity of 0.9."""
-    return ngram_join.one_per_class(docs, COLUMNS)
+    """The smallest id of every class of documents whose five-word shingles link at a similarity of 0.8."""
+    return ngram_join.one_per_class(docs, COLUMNS, words=SHINGLE_WORDS, link=LINK, parts=PARTS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

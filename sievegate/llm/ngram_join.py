@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ SHINGLE_WORDS = 3
 LINK, PARTS = 90, 100
 #: Shingles in 2**FREQUENT documents or more are indexed by pairs, rarer ones alone.
 FREQUENT = 6
-#: Frequent shingles form so many classes; a pair lies within one.
+#: Frequent shingles form so many classes, fewer for small sets; a pair lies within one.
 CLASSES = 8
 #: Bits of a set's parity sketch.
 SKETCH = 1024
@@ -36,6 +37,14 @@ _ENTRY = (
 )
 
 
+class Rule(NamedTuple):
+    """Words of a shingle, and when sets link: ``parts`` * intersection >= ``link`` * union."""
+
+    words: int = SHINGLE_WORDS
+    link: int = LINK
+    parts: int = PARTS
+
+
 def shingle_sets(block: repeats.Block, words: int = SHINGLE_WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each document, A-Z lower-cased.
 
@@ -63,9 +72,26 @@ def fewest_missing(size: int, link: int = LINK, parts: int = PARTS) -> int:
     return size - (link * size + parts - 1) // parts
 
 
-def signatures(hashes: np.ndarray, levels: np.ndarray, allowed: int) -> list[int]:
+def bands_of(size: int, link: int = LINK, parts: int = PARTS) -> range:
+    """Size bands (powers of two) that the larger of a set of ``size`` and a set it links with may be in."""
+    return range(size.bit_length() - 1, (parts * size // link).bit_length())
+
+
+def classes_in(band: int) -> int:
+    """Classes of frequent members for pairs of sets whose larger one is in the band.
+
+    The smaller one has link / parts * 2**band members at least and shares as large a part of them;
+    those must be more than the classes, or each could lie alone in its class.
+    """
+    return min(CLASSES, 1 << max(0, band - 1))
+
+
+def signatures(hashes: np.ndarray, levels: np.ndarray, allowed: int, bands: range) -> list[int]:
     """Signatures of one set; two sets that link share at least one.
 
+    There are signatures for every band that the larger set of a pair may be in, since both sets
+    must use as many classes; ``bands_of`` tells the bands.
+
     Members are ordered by level (rare first), then hash. Of a prefix, at most ``allowed`` members
     are missing in a partner. Rare members are signatures themselves. Frequent ones belong to
     classes by their hash, and the pairs within a class are signatures: a class of p members with
@@ -73,24 +99,27 @@ def signatures(hashes: np.ndarray, levels: np.ndarray, allowed: int) -> list[int
     shared signature would miss more than ``allowed`` members. Members of level 0 occur once in
     the corpus: they count as missing and need no signature.
     """
-    found, missing = [], 0
-    classes: dict[int, list[int]] = {}
-    for i in np.lexsort((hashes, levels)):
-        if missing > allowed:
-            break
-        value, level = int(hashes[i]), levels[i]
-        if level < FREQUENT:
-            missing += 1
-            if level:
-                found.append(value)
-        else:
-            members = classes.setdefault(value % CLASSES, [])
-            members.append(value)
-            missing += len(members) > 1
-    for members in classes.values():
-        for x, y in combinations(sorted(members), 2):
-            found.append((x * 0x9E3779B97F4A7C15 + y * 0xC2B2AE3D27D4EB4F + 1) & 0xFFFFFFFFFFFFFFFF)
-    return found
+    found: set[int] = set()
+    order = np.lexsort((hashes, levels))
+    for band in bands:
+        missing, count = 0, classes_in(band)
+        classes: dict[int, list[int]] = {}
+        for i in order:
+            if missing > allowed:
+                break
+            value, level = int(hashes[i]), levels[i]
+            if level < FREQUENT:
+                missing += 1
+                if level:
+                    found.add(value)
+            else:
+                members = classes.setdefault(value % count, [])
+                members.append(value)
+                missing += len(members) > 1
+        for members in classes.values():
+            for x, y in combinations(sorted(members), 2):
+                found.add((x * 0x9E3779B97F4A7C15 + y * 0xC2B2AE3D27D4EB4F + band) & 0xFFFFFFFFFFFFFFFF)
+    return list(found)
 
 
 def sketch_of(hashes: np.ndarray) -> bytes:
@@ -102,22 +131,23 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
 
-def index_entries(blocks: DataFrame) -> DataFrame:
+def index_entries(blocks: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One row per document: its set's size and fingerprint, and what joins need if it may link.
 
     ``alone`` tells that no other set can link, and equal none. Within a block, equal sets have
     their signatures in the first of them only.
     """
     ranges = repeats.range_count(blocks, 1 / 6)
+    words, link, parts = rule
 
     def counts_of(block: repeats.Block) -> tuple[np.ndarray, np.ndarray]:
-        sets = shingle_sets(block)
+        sets = shingle_sets(block, words)
         keys = np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - KEY_BITS)
         return np.unique(keys, return_counts=True)
 
     def entries(mine: pa.Table, told: pa.Table) -> pa.Table:
         block = repeats.Block(mine)
-        sets = shingle_sets(block)
+        sets = shingle_sets(block, words)
         keys = np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - KEY_BITS)
         unique, place = np.unique(keys, return_inverse=True)
         levels = repeats.levels_of(told, unique, ranges, KEY_BITS)[place]
@@ -130,12 +160,13 @@ def index_entries(blocks: DataFrame) -> DataFrame:
                 int(np.bitwise_xor.reduce(arrays.mixed(hashes))) if n else 0,
                 int(hashes.sum(dtype=np.uint64)) if n else 0,
             )
-            allowed = fewest_missing(n)
+            allowed = fewest_missing(n, link, parts)
             alone = n == 0 or int((level == 0).sum()) > allowed
             first = not alone and (n, fingerprint) not in seen
             seen.add((n, fingerprint))
-            # sets of at most eight members only link with equal ones
-            sigs = signatures(hashes, level, allowed) if first and n > 8 else []
+            # smaller sets (up to eight members at 0.9) only link with equal ones
+            links_others = (parts - link) * n >= link
+            sigs = signatures(hashes, level, allowed, bands_of(n, link, parts)) if first and links_others else []
             out["fp_a"].append(fingerprint[0])
             out["fp_b"].append(fingerprint[1])
             out["alone"].append(alone)
@@ -161,11 +192,12 @@ def index_entries(blocks: DataFrame) -> DataFrame:
     return stored(met, "entries")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The pairs (a, b) whose sets link; ``sets`` has ``row``, ``n``, ``sketch`` and ``hashes``."""
     x = sets.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     y = sets.select(F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     narrow = pairs.join(x, "a").join(y, "b")
+    _, least, parts = rule
 
     def may_link(batches):
         for batch in batches:
@@ -173,8 +205,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             b = np.frombuffer(b"".join(batch.column("sketch_b").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
             differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
             size = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            # members that differ, d: 100 * (size - d) / 2 >= 90 * (size + d) / 2
-            kept = np.flatnonzero((PARTS - LINK) * size >= (PARTS + LINK) * differ)
+            # members that differ, d: parts * (size - d) / 2 >= link * (size + d) / 2
+            kept = np.flatnonzero((parts - least) * size >= (parts + least) * differ)
             yield batch.select(["a", "b"]).take(pa.array(kept))
 
     def link(batches):
@@ -183,7 +215,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for i, (a, b) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
                 a, b = np.frombuffer(a.as_py(), "<u8"), np.frombuffer(b.as_py(), "<u8")
                 shared = len(np.intersect1d(a, b, assume_unique=True))
-                if PARTS * shared >= LINK * (len(a) + len(b) - shared):
+                if parts * shared >= least * (len(a) + len(b) - shared):
                     kept.append(i)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
@@ -193,13 +225,16 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return full.mapInArrow(link, "a long, b long")
 
 
-def _near(n_a: str, n_b: str):
+def _near(n_a: str, n_b: str, rule: Rule):
     """Can sets of these sizes link at all?"""
-    return PARTS * F.least(n_a, n_b) >= LINK * F.greatest(n_a, n_b)
+    return rule.parts * F.least(n_a, n_b) >= rule.link * F.greatest(n_a, n_b)
 
 
-def _close_in_bucket(rows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sketches: np.ndarray, left: np.ndarray):
+def _close_in_bucket(
+    rows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sketches: np.ndarray, left: np.ndarray, rule: Rule
+):
     """Pairs of places, one from ``left`` and one from the rest (or both, where all are left), that may link."""
+    _, link, parts = rule
     first = np.flatnonzero(left)
     other = first if len(first) == len(rows) else np.flatnonzero(~left)
     for start in range(0, len(first), 64):
@@ -207,14 +242,14 @@ def _close_in_bucket(rows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sk
         differ = np.bitwise_count(sketches[part, None] ^ sketches[None, other]).sum(axis=2, dtype=np.int64)
         size = sizes[part, None] + sizes[None, other]
         smaller = np.minimum(sizes[part, None], sizes[None, other])
-        near = (PARTS - LINK) * size >= (PARTS + LINK) * differ
-        near &= PARTS * smaller >= LINK * (size - smaller)
+        near = (parts - link) * size >= (parts + link) * differ
+        near &= parts * smaller >= link * (size - smaller)
         near &= labels[part, None] != labels[None, other]
         at = np.nonzero(near)
         yield rows[part[at[0]]], rows[other[at[1]]]
 
 
-def close_pairs(now: DataFrame, sets: DataFrame) -> DataFrame:
+def close_pairs(now: DataFrame, sets: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Pairs (a, b) of different labels that share a signature and whose sketches allow a link.
 
     Buckets are compared inside tasks, which hand on only what the sketches leave. A bucket beyond
@@ -245,7 +280,7 @@ def close_pairs(now: DataFrame, sets: DataFrame) -> DataFrame:
             if column["low"][a] != column["high"][a] and left.all():
                 continue  # nothing in the other cut
             parts = column["row"][a:b], column["n"][a:b], column["label"][a:b], sketches[a:b], left
-            for x, y in _close_in_bucket(*parts):
+            for x, y in _close_in_bucket(*parts, rule):
                 found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
@@ -253,7 +288,7 @@ def close_pairs(now: DataFrame, sets: DataFrame) -> DataFrame:
     return placed.groupBy("task").applyInArrow(meet, "a long, b long").distinct()
 
 
-def link_classes(entries: DataFrame) -> DataFrame:
+def link_classes(entries: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``row`` and ``label``, the same for rows of the same class, of entries that may link.
 
     Equal sets become one. Buckets of equal signatures are tested against one of their members
@@ -281,18 +316,18 @@ def link_classes(entries: DataFrame) -> DataFrame:
         if now.isEmpty():
             break
         if last:
-            pairs = close_pairs(now, sets)
+            pairs = close_pairs(now, sets, rule)
         else:
             order = F.struct(F.xxhash64("row", F.lit(turn)).alias("o"), "row", "n", "label")
             hub = now.groupBy("sig").agg(F.min(order).alias("h")).select("sig", "h.row", "h.n", "h.label")
             hub = hub.select("sig", *[F.col(c).alias(f"{c}_2") for c in ("row", "n", "label")])
-            met = now.join(hub, "sig").filter((F.col("label") != F.col("label_2")) & _near("n", "n_2"))
+            met = now.join(hub, "sig").filter((F.col("label") != F.col("label_2")) & _near("n", "n_2", rule))
             pairs = met.select(F.least("row", "row_2").alias("a"), F.greatest("row", "row_2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
-        links = verified(pairs, sets)
+        links = verified(pairs, sets, rule)
         ends = [labels.select(F.col("row").alias(c), F.col("label").alias(f"l_{c}")) for c in ("a", "b")]
         edges = stored(
             links.join(ends[0], "a").join(ends[1], "b").select(F.col("l_a").alias("a"), F.col("l_b").alias("b")).distinct(),
@@ -306,27 +341,32 @@ def link_classes(entries: DataFrame) -> DataFrame:
     return members.join(final, "label", "left").select("row", F.coalesce("top", "label").alias("label"))
 
 
-def join_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def join_classes(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+    words: int = SHINGLE_WORDS, link: int = LINK, parts: int = PARTS,
+) -> DataFrame:
     """One row per document: its number of shingles and the smallest id in its class.
 
-    Classes are the connected components of documents whose sets of three-word shingles (lower-cased
-    A-Z, words as runs of characters other than space and \\x09-\\x0D) have a Jaccard similarity of
-    0.9 or more. No pair within the threshold is missed: document frequencies of all shingles over
+    Classes are the connected components of documents whose sets of shingles of ``words`` words
+    (lower-cased A-Z, words as runs of characters other than space and \\x09-\\x0D) have a Jaccard
+    similarity of ``link / parts`` or more, which must be above the root of a half. No pair within the threshold is missed: document frequencies of all shingles over
     all documents order the members of a set, prefixes give signatures, and every candidate pair of
     different classes is verified on whole sets of 64-bit hashes.
 
-    A null or empty text has an empty set and is linked with nothing; fewer than three words are one
-    shingle. Rows with the same id are judged each for itself. A null id does not count as smallest;
+    A null or empty text has an empty set and is linked with nothing; fewer words than a
+    shingle's are one shingle. Rows with the same id are judged each for itself. A null id does not count as smallest;
     a class of null ids only has a null ``component_id``. An empty table gives no rows. Other
     columns are ignored.
     """
-    return block_classes(repeats.pack_blocks(docs, id_column, text_column))
+    return block_classes(repeats.pack_blocks(docs, id_column, text_column), Rule(words, link, parts))
 
 
-def block_classes(blocks: DataFrame) -> DataFrame:
+def block_classes(blocks: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The same for packed documents."""
-    entries = index_entries(blocks)
-    classes = link_classes(entries)
+    if 2 * rule.link**2 <= rule.parts**2:
+        raise ValueError("signatures need a similarity above the root of a half")
+    entries = index_entries(blocks, rule)
+    classes = link_classes(entries, rule)
     ids = entries.select("row", "doc_id", "n")
     within = classes.join(ids, "row")
     least = within.groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -341,8 +381,9 @@ def block_classes(blocks: DataFrame) -> DataFrame:
 
 
 def one_per_class(
-    docs: DataFrame, columns: tuple[str, ...], id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
+    docs: DataFrame, columns: tuple[str, ...], id_column: str = "doc_id", text_column: str = "text",
+    words: int = SHINGLE_WORDS, link: int = LINK, parts: int = PARTS,
+) -> DataFrame:
     """The document with the smallest id of every class (the last choice is a null id), whole.
 
     ``columns`` come back as they were; of rows with the same id in one class, one stays. Documents
@@ -351,7 +392,7 @@ def one_per_class(
     types = dict(docs.dtypes)
     blocks = repeats.pack_blocks(docs, id_column, text_column, keep=columns)
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
-    chosen = block_classes(blocks).groupBy("class").agg(F.min(order).alias("best")).select("best.row")
+    chosen = block_classes(blocks, Rule(words, link, parts)).groupBy("class").agg(F.min(order).alias("best")).select("best.row")
 
     def unpack(block: repeats.Block, decided: pa.Table) -> pa.Table:
         at = np.sort(decided.column("row").to_numpy()) - block.rows()[0]

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from sievegate.llm import ngram_join
@@ -96,3 +97,54 @@ def test_roots_of_chains_and_hubs(spark):
     got = {r.node: r.root for r in roots(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(1, 30))
     assert got[300] == got[250] == got[200] == 200
+
+
+def linked_sets(rng, link):
+    """Two sets of hashes as different as two sets that link may be."""
+    n = rng.randint(1, 60)
+    shared = [rng.getrandbits(64) for _ in range(n)]
+    spare = 100 * n // link - n
+    own = rng.randint(0, spare)
+    a = shared + [rng.getrandbits(64) for _ in range(own)]
+    return a, shared + [rng.getrandbits(64) for _ in range(spare - own)]
+
+
+@pytest.mark.parametrize("link", [80, 90])
+def test_sets_that_link_share_a_signature(link):
+    rng = random.Random(link)
+
+    def signed(members):
+        hashes = np.sort(np.array(members, np.uint64))
+        n, levels = len(hashes), np.full(len(hashes), ngram_join.FREQUENT)
+        allowed = ngram_join.fewest_missing(n, link)
+        return set(ngram_join.signatures(hashes, levels, allowed, ngram_join.bands_of(n, link)))
+
+    for _ in range(5000):
+        a, b = linked_sets(rng, link)
+        assert set(a) == set(b) or signed(a) & signed(b), (len(a), len(b))
+
+
+@pytest.mark.parametrize("frequent", [6, 1])
+def test_five_words_at_four_fifths(rows_of, monkeypatch, frequent):
+    monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    rng = random.Random(5)
+    texts = []
+    for size in [*range(5, 22), 40, 100, 260]:
+        base = [f"s{size}w{i}" for i in range(size)]
+        texts += [" ".join(base), " ".join(base[1:]), " ".join(["new", *base]), " ".join(base[:-2])]
+        texts += [" ".join(edited(base, rng.randint(1, max(1, size // 30)), rng)) for _ in range(4)]
+    rows = list(enumerate(texts))
+    sets = []
+    for text in texts:
+        words = text.split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if label[i] != label[j] and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    got = ngram_join.join_classes(rows_of(rows), words=5, link=80).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [
+        (i, len(s), label[i]) for i, s in enumerate(sets)
+    ]

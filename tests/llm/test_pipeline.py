@@ -119,3 +119,10 @@ def test_stages_take_odd_rows_and_none(spark, rows_of, number):
         assert set(ids) == {r[0] for r in ODD}
     none = stage(spark, docs.limit(0), FOLDER)
     assert none.count() == 0
+
+
+def test_join_stage_drops_copies_with_two_edits_in_a_hundred_words(spark, rows_of):
+    words = [f"w{i}" for i in range(100)]
+    near = [*words[:30], "x", *words[31:65], "y", *words[66:]]
+    docs = rows_of([(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(words[50:]))])
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_near_copies(spark, docs, FOLDER).collect()) == [1, 3]
