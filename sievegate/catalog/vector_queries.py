@@ -316,9 +316,9 @@ def hashed_embedding(spark, d):
 
 @query("text_retrieval")
 def text_retrieval(spark, d):
-    """Subjects and passages of held-out documents against all chunks, hashed vectors."""
+    """Subjects and passages of all held-out documents against all chunks, hashed vectors."""
     chunks = t.stored_corpus(spark, d)
-    queries = cut_lineage(frozen(chunks))
+    queries = cut_lineage(frozen(chunks, None))
     asked = hashed_vectors(queries, "text", 256)
     items = hashed_vectors(
         chunks.withColumn("_in", encoder_input(F.col("title"), F.col("text"))), "_in", 256
@@ -335,9 +335,9 @@ def corpus_documents(corpus):
     return corpus.groupBy("doc_id").agg(F.min("title").alias("title"), F.lit("text").alias("modality"))
 
 
-def frozen(corpus):
+def frozen(corpus, per_kind=bench.PER_KIND):
     chunks = corpus.withColumnRenamed("chunk_ord", "ord")
-    return bench.freeze_queries(corpus_documents(corpus), chunks)
+    return bench.freeze_queries(corpus_documents(corpus), chunks, per_kind)
 
 
 _STRIPPED = t.sql_strip("title")

@@ -297,6 +297,17 @@ def test_frozen_queries(spark, tmp_path):
     assert files.read_frozen_queries(spark, str(tmp_path / "q")).count() == 2
 
 
+def test_all_held_out_documents_are_asked(spark):
+    ids = [f"test:{i * 7919 % 4096:03x}{i:02x}" for i in range(170)]
+    documents = spark.createDataFrame([(i, "A long enough subject", "text") for i in ids], "doc_id string, title string, modality string")
+    chunks = spark.createDataFrame([(i, 1, "cut words " * 20) for i in ids], "doc_id string, ord int, text string")
+    got = {r.qid: r.relevant_doc for r in bench.freeze_queries(documents, chunks, None).collect()}
+    want = [(f"{kind}-{at:03d}", i) for kind in ("subj", "chunk") for at, i in enumerate(sorted(ids))]
+    assert got == dict(want)
+    first = bench.freeze_queries(documents, chunks).collect()
+    assert {r.qid: r.relevant_doc for r in first} == {q: i for q, i in want if int(q.split("-")[1]) < 150}
+
+
 def test_articles(spark):
     rows = spark.createDataFrame([(3, " " + "a" * 3000), (1, "b" * 499 + "  "), (2, "c" * 500)], "id int, text string")
     got = files.sample_articles(rows, "id", 5).collect()
