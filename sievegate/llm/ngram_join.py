@@ -19,7 +19,7 @@ SHINGLE_WORDS = 3
 LINK, PARTS = 90, 100
 #: Shingles in 2**FREQUENT documents or more are indexed by pairs, rarer ones alone.
 FREQUENT = 6
-#: Frequent shingles form so many classes, fewer for small sets; a pair lies within one.
+#: Frequent shingles form so many classes, fewer for small sets and more for large ones; a pair lies within one.
 CLASSES = 8
 #: Bits of a set's parity sketch.
 SKETCH = 1024
@@ -81,9 +81,10 @@ def classes_in(band: int) -> int:
     """Classes of frequent members for pairs of sets whose larger one is in the band.
 
     The smaller one has link / parts * 2**band members at least and shares as large a part of them;
-    those must be more than the classes, or each could lie alone in its class.
+    those must be more than the classes, or each could lie alone in its class. From sets of 128 on
+    the classes grow with the band, so that a set has about as many signatures as members at most.
     """
-    return min(CLASSES, 1 << max(0, band - 1))
+    return max(min(CLASSES, 1 << max(0, band - 1)), 1 << max(0, band - 3))
 
 
 def signatures(hashes: np.ndarray, levels: np.ndarray, allowed: int, bands: range) -> list[int]:

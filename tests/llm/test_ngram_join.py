@@ -148,3 +148,19 @@ def test_five_words_at_four_fifths(rows_of, monkeypatch, frequent):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [
         (i, len(s), label[i]) for i, s in enumerate(sets)
     ]
+
+
+@pytest.mark.parametrize("link", [80, 90])
+def test_a_very_long_text_in_many_copies_has_no_more_signatures_than_shingles(link):
+    rng = np.random.default_rng(3)
+    base, own = rng.integers(0, 2**64, 20_000, np.uint64), rng.integers(0, 2**64, 800, np.uint64)
+    near = np.concatenate([base[400:], own[:400]])
+
+    def signed(members):
+        hashes = np.unique(members)
+        n, levels = len(hashes), np.full(len(hashes), ngram_join.FREQUENT)
+        allowed = ngram_join.fewest_missing(n, link)
+        return ngram_join.signatures(hashes, levels, allowed, ngram_join.bands_of(n, link))
+
+    a, b = signed(base), signed(near)
+    assert len(a) <= len(base) and len(b) <= len(near) and set(a) & set(b)
