@@ -61,12 +61,15 @@ def _is_wide_space(data: np.ndarray) -> np.ndarray:
     return space
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray, wide: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def pieces(
+    data: np.ndarray, offsets: np.ndarray, wide: bool = False, blank: bool = False
+) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Cuts texts before every run of white space, of ASCII or (``wide``) of Unicode.
 
     Returns the number of the distinct piece at each place, where each text's pieces begin
     (one more at the end), and the distinct pieces. A piece is white space, possibly none,
-    followed by a word, or the white space that ends a text.
+    followed by a word, or the white space that ends a text. With ``blank`` only runs that begin
+    with a blank (U+0020) count.
     """
     if len(data) == 0:
         return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64), []
@@ -74,6 +77,8 @@ def pieces(data: np.ndarray, offsets: np.ndarray, wide: bool = False) -> tuple[n
     begins = np.empty(len(data), bool)
     begins[0] = True
     np.logical_and(space[1:], ~space[:-1], out=begins[1:])
+    if blank:
+        begins[1:] &= data[1:] == 32
     starts = offsets[:-1]
     begins[starts[starts < offsets[1:]]] = True
     at = np.flatnonzero(begins)
@@ -108,6 +113,14 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+def unmixed(values: np.ndarray) -> np.ndarray:
+    """The inverse of ``mixed``, which loses nothing."""
+    for shift, factor in ((31, 0x94D049BB133111EB), (27, 0xBF58476D1CE4E5B9), (30, 1)):
+        values = values ^ (values >> np.uint64(shift)) ^ (values >> np.uint64(2 * shift))
+        values = values * np.uint64(pow(factor, -1, 1 << 64))
+    return values
+
+
 def rolling_hashes(values: np.ndarray, length: int, base: int = _GOLDEN) -> np.ndarray:
     """Rabin-Karp hash modulo 2**64 of every window of ``length`` values, mixed.
 

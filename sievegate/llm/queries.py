@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from sievegate.llm.alignment import align_documents
 from sievegate.llm.mixing import mix_sources
 from sievegate.llm.ngram_join import join_classes
 from sievegate.llm.packing import pack_documents
@@ -17,6 +20,7 @@ from sievegate.llm.topk import exact_top_k
 
 #: Names of the public tokenizer files.
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def op1_substring_dedup(spark, sf_dir):
@@ -59,6 +63,12 @@ def op10_quality_rules(spark, sf_dir):
     return judged(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark, sf_dir):
+    found = align_documents(documents(spark, sf_dir), tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_top_k": op2_exact_top_k,
@@ -70,6 +80,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_shard_tree": op9_shard_tree,
     "op10_quality_rules": op10_quality_rules,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -135,7 +135,7 @@ class Answers:
         return other, first
 
 
-_COUNTED = "range int, block long, n long, blob binary, counts binary"
+COUNTED = _COUNTED = "range int, block long, n long, blob binary, counts binary"
 _LEVELS = "block long, range int, levels binary"
 
 
@@ -201,6 +201,68 @@ def levels_of(table: pa.Table, keys: np.ndarray, ranges: int, bits: int) -> np.n
     return out
 
 
+_TOTALS = "block long, range int, totals binary"
+#: The block number of rows that hold a range's summary instead of an answer.
+SUMMARY = -1
+
+
+def ask_totals(
+    sent: DataFrame, name: str, summary_of: Callable[[np.ndarray, np.ndarray], bytes] | None = None
+) -> DataFrame:
+    """Tells every block the corpus-wide sums for its keys, as sent by ``counted_keys``.
+
+    ``summary_of`` makes one more row for each range, of block ``SUMMARY``, from its distinct keys
+    and their sums.
+    """
+
+    def tell(key: tuple, sent: pa.Table) -> pa.Table:
+        rows = sent.to_pylist()
+        parts = [_expand(row["blob"], row["n"]) for row in rows]
+        counts = [
+            np.frombuffer(pa.decompress(row["counts"], row["n"] * 4, _ZSTD, asbytes=True), "<u4") for row in rows
+        ]
+        every = np.concatenate(parts)
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        heads = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        sums = np.add.reduceat(np.concatenate(counts)[order].astype(np.int64), heads)
+        distinct = every[heads]
+        told = [sums[np.searchsorted(distinct, part)].astype("<i8").tobytes() for part in parts]
+        blobs = [pa.compress(x, _ZSTD, asbytes=True) for x in told]
+        numbers = [row["block"] for row in rows]
+        if summary_of is not None:
+            numbers.append(SUMMARY)
+            blobs.append(summary_of(distinct, sums))
+        return pa.table(
+            {
+                "block": pa.array(numbers, pa.int64()),
+                "range": pa.array([key[0].as_py()] * len(numbers), pa.int32()),
+                "totals": pa.array(blobs, pa.binary()),
+            }
+        )
+
+    return stored(sent.groupBy("range").applyInArrow(tell, _TOTALS), f"totals-{name}")
+
+
+def counted_keys(block: int, keys: np.ndarray, counts: np.ndarray, ranges: int, bits: int) -> pa.Table:
+    """Rows of ``COUNTED`` with a block's sorted distinct keys below ``2**bits`` and their counts."""
+    cuts, own = _cuts(keys, ranges, bits), counts.astype("<u4")
+    extra = [
+        pa.compress(own[a:b].tobytes(), _ZSTD, asbytes=True) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b
+    ]
+    return _send(block, keys, ranges, bits).append_column("counts", pa.array(extra, pa.binary()))
+
+
+def totals_of(table: pa.Table, keys: np.ndarray, ranges: int, bits: int) -> np.ndarray:
+    """The sums that a block was told, in the order of its keys."""
+    cuts = _cuts(keys, ranges, bits)
+    out = np.zeros(len(keys), np.int64)
+    for row in table.to_pylist():
+        lo, hi = cuts[row["range"]], cuts[row["range"] + 1]
+        out[lo:hi] = np.frombuffer(pa.decompress(row["totals"], int(hi - lo) * 8, _ZSTD, asbytes=True), "<i8")
+    return out
+
+
 _SENT = "range int, block long, n long, blob binary"
 _TOLD = "block long, round string, range int, repeated binary, first binary"
 

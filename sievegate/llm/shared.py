@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievegate.session import scratch_path
 
+# Paths written in the scopes that are open, innermost last.
+_SCOPES: list[list[str]] = []
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet below ``spark.checkpoint.dir`` and read back.
@@ -16,7 +22,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Removes tables that ``stored`` wrote, once nothing that is still to run reads them."""
+    for table in tables:
+        _remove(table.sparkSession, table.stored_at)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes every table stored inside the block at its end, also after an error."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            _remove(spark, path)
 
 
 def words_of(text: Column) -> Column:
