@@ -8,6 +8,7 @@ from sievegate.llm.alignment import align_documents
 from sievegate.llm.mixing import mix_sources
 from sievegate.llm.ngram_join import join_classes
 from sievegate.llm.packing import pack_documents
+from sievegate.llm.phrases import mine_phrases
 from sievegate.llm.quality import judged
 from sievegate.llm.secret_scan import scan
 from sievegate.llm.shared import documents
@@ -69,6 +70,10 @@ def op11_token_alignment(spark, sf_dir):
     return found.withColumn("groups_sha256", digest).drop("groups")
 
 
+def op12_phrase_mining(spark, sf_dir):
+    return mine_phrases(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_top_k": op2_exact_top_k,
@@ -81,6 +86,7 @@ QUERIES = {
     "op9_shard_tree": op9_shard_tree,
     "op10_quality_rules": op10_quality_rules,
     "op11_token_alignment": op11_token_alignment,
+    "op12_phrase_mining": op12_phrase_mining,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -184,6 +190,37 @@ SELECT doc_id, size, source_size, target, source, source_rank,
   (epochs * size + greatest(0, least(size, budget - epochs * source_size - before)))::BIGINT AS taken
 FROM placed""",
     "op10_quality_rules": QUALITY_SQL.format(table="documents"),
+    "op12_phrase_mining": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+sized AS (SELECT lang, w, unnest(range(1, 6)) AS m FROM words),
+placed AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM sized WHERE len(w) >= m),
+frequent AS MATERIALIZED (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m, count(*) AS a FROM placed
+  GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT *, string_split(phrase, ' ') AS s, unnest(range(1, m)) AS k FROM frequent WHERE m > 1),
+scores AS (
+  SELECT c.lang, c.phrase, c.m, c.a, c.k, x.a AS l, y.a AS r, sizes.n,
+    CAST((CAST(1000 AS HUGEINT) * c.a * sizes.n) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(s[1:k], ' ')
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(s[k + 1:c.m], ' ') JOIN sizes ON sizes.lang = c.lang),
+best AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+spans AS (SELECT lang, s, m, a, unnest(range(2, m)) AS part FROM cuts WHERE k = 1 AND m > 2),
+inner_parts AS (SELECT lang, s, a, part, unnest(range(1, m - part + 2)) AS i FROM spans),
+held AS (
+  SELECT lang, array_to_string(s[i:i + part - 1], ' ') AS phrase, max(a) AS most FROM inner_parts GROUP BY ALL)
+SELECT best.lang, CAST(row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS BIGINT) AS rank,
+  best.phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, score
+FROM best LEFT JOIN held ON held.lang = best.lang AND held.phrase = best.phrase
+WHERE most IS NULL OR 100 * most < 100 * a
+QUALIFY rank <= 2000""",
     "op8_ngram_join": rf"""
 WITH RECURSIVE texts AS (
   SELECT row_number() OVER () AS r, doc_id,
