@@ -7,6 +7,7 @@ import re
 import sys
 import types
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -15,13 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievegate.llm import arrays, repeats
-from sievegate.llm.shared import stored
+from sievegate.llm.shared import drop, stored
+from sievegate.llm.tokens import Growing, PieceMemory
 
-# Distinct pieces that an aligner remembers before it starts afresh.
-REMEMBERED = 600_000
+# Distinct pieces that an aligner remembers before it starts afresh, and learns at once.
+REMEMBERED = 800_000
+_PART = 16_384
 #: Distinct id pairs for each byte of text, for the number of ranges.
 PAIRS_PER_BYTE = 0.05
 _ID_BITS = 32
+_KEPT = "kept_aligners"
 _STATE = (
     "block long, ids array<bigint>, counts binary, bounds binary, codes binary, groups binary, "
     "links binary, pairs binary, documents binary"
@@ -59,67 +63,73 @@ class Aligner:
         self._a.encode_special_tokens = True
         self._b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
         alphabet, vocabulary = byte_alphabet(), self._a.get_vocab()
-        self._bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
-            self._bytes_a[number] = bytes(alphabet[c] for c in token) if set(token) <= set(alphabet) else token.encode()
+            bytes_a[number] = bytes(alphabet[c] for c in token) if set(token) <= set(alphabet) else token.encode()
         names = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
         if any(re.search("[^▁]▁", name) for name in names):
             raise ValueError("this piece file has pieces across blanks")
-        self._bytes_b = [
+        bytes_b = [
             bytes([int(name[3:-1], 16)]) if self._b.is_byte(i) else name.replace("▁", " ").encode()
             for i, name in enumerate(names)
         ]
-        self._size_a = np.array([len(x) for x in self._bytes_a], np.int64)
-        self._size_b = np.array([len(x) for x in self._bytes_b], np.int64)
+        self._spelled = [arrays.text_bytes(pa.array(x, pa.large_binary())) for x in (bytes_a, bytes_b)]
+        self._digits = [b"%d" % i for i in range(max(len(bytes_a), len(bytes_b)))]
         self._blank = [self._b.piece_to_id("▁")]
         self._forget()
 
     def _forget(self) -> None:
-        self._number: dict[bytes, int] = {}
-        self.groups: list[bytes] = []  # group strings, by piece
-        self._odd: list[int] = []  # pieces that their tokens do not spell
-        self._sizes: list[np.ndarray] = []  # tokens of both sides, groups and links, by piece
-        self._links: list[np.ndarray] = []
-
-    def numbers(self, distinct: list[bytes], document: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Number of every distinct piece; the new ones lie in ``document`` at ``place``, in order."""
-        if len(self._number) > REMEMBERED:
+        self._memory = PieceMemory()
+        # by piece: its tokens spell something else; tokens A, tokens B, groups and links; group strings; links
+        self._odd, self._sizes = Growing(bool), [Growing(np.int32) for _ in range(4)]
+        self._groups, self._ends, self._links = Growing(np.uint8), Growing(np.int64), Growing(np.int64)
+        self._ends.append(np.zeros(1, np.int64))
+
+    def numbers(self, distinct: pa.Array, document: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Number of every distinct piece; the new ones lie in ``document`` at ``place``."""
+        if len(self._memory) > REMEMBERED:
             self._forget()
-        known = self._number
-        fresh = [i for i, p in enumerate(distinct) if p not in known]
-        for first in range(0, len(fresh), 20_000):
-            part = fresh[first : first + 20_000]
-            self._learn([distinct[i] for i in part], document[part], place[part])
-        return np.fromiter((known[p] for p in distinct), np.int64, len(distinct))
-
-    def _learn(self, pieces: list[bytes], document: np.ndarray, place: np.ndarray) -> None:
-        texts = [p.decode() for p in pieces]
+        data, bounds = arrays.text_bytes(distinct)
+        known, fresh = self._memory.numbers(data, bounds)
+        for first in range(0, len(fresh), _PART):
+            part = fresh[first : first + _PART]
+            self._learn(distinct.take(pa.array(part)), document[part], place[part])
+        return known
+
+    def _learn(self, pieces: pa.Array, document: np.ndarray, place: np.ndarray) -> None:
+        texts, n = pieces.cast(pa.large_string()).to_pylist(), len(pieces)
         found_a = [e.ids for e in self._a.encode_batch_fast(texts, add_special_tokens=False)]
-        found_b = self._b.encode([t[1:] for t in texts], num_threads=1)
-        base = len(self.groups)
-        for i, piece in enumerate(pieces):
-            self._number[piece] = base + i
-            if piece == b" ":
-                found_b[i] = self._blank
-            a = b"".join([self._bytes_a[t] for t in found_a[i]])
-            b = b"".join([self._bytes_b[t] for t in found_b[i]])
-            if a != piece or b != piece:
-                self._odd.append(base + i)
-                found_a[i], found_b[i] = [], []
-        sides = []
-        for found, sizes in ((found_a, self._size_a), (found_b, self._size_b)):
-            count = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter((t for ids in found for t in ids), np.int64, int(count.sum()))
-            piece = np.repeat(np.arange(len(found)), count)
-            ends = np.cumsum(sizes[ids])
-            begins = ends - sizes[ids]
-            # positions in the block: the piece's place plus what lies before in the piece
+        found_b = [ids or self._blank for ids in self._b.encode([t[1:] for t in texts], num_threads=1)]
+        data, bounds = arrays.text_bytes(pieces)
+        lengths, odd, sides = np.diff(bounds), np.zeros(n, bool), []
+        for found, (letters, at) in zip((found_a, found_b), self._spelled, strict=True):
+            count = np.fromiter(map(len, found), np.int64, n)
+            ids = np.fromiter(chain.from_iterable(found), np.int64, int(count.sum()))
+            sizes, piece = at[ids + 1] - at[ids], np.repeat(np.arange(n), count)
+            same = np.bincount(piece, sizes, minlength=n).astype(np.int64) == lengths
+            spelled = arrays.gather(letters, at[ids][same[piece]], sizes[same[piece]])
+            wrong = spelled != arrays.gather(data, bounds[:-1][same], lengths[same])
+            odd |= ~same
+            odd[np.repeat(np.flatnonzero(same), lengths[same])[wrong]] = True
+            sides.append((ids, piece, sizes))
+        for i, side in enumerate(sides):
+            ids, piece, sizes = (x[~odd[side[1]]] for x in side)
+            count = np.bincount(piece, minlength=n)
+            ends = np.cumsum(sizes)
+            # positions in the block: the piece's place and what lies before in the piece
             before = np.concatenate([[0], ends])[np.cumsum(count) - count]
-            start = place[piece] + begins - before[piece]
-            sides.append((ids, piece, start, start + sizes[ids], document[piece], count))
-        text, sizes, links = align(*sides, len(pieces))
-        self.groups.extend(text)
-        self._sizes.append(sizes)
+            start = place[piece] + ends - sizes - before[piece]
+            sides[i] = ids, piece, start, start + sizes, document[piece], count
+        text, sizes, links = align(*sides, n, self._digits)
+        if odd.any():
+            lines = iter(text.split(b"\n"))
+            text = b"\n".join([b"" if o else next(lines) for o in odd.tolist()]) + b"\n"
+        letters = np.frombuffer(text, np.uint8)
+        self._odd.append(odd)
+        for column, values in zip(self._sizes, sizes, strict=True):
+            column.append(values)
+        self._ends.append(len(self._groups) + np.flatnonzero(letters == 10) + 1)
+        self._groups.append(letters)
         self._links.append(links)
 
     def odd(self, numbers: np.ndarray) -> np.ndarray:
@@ -127,25 +137,35 @@ class Aligner:
 
         That makes a text shorter, so no other piece can make up for it.
         """
-        return np.isin(numbers, np.array(self._odd, np.int64))
+        return self._odd.values[numbers]
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of (tokens A, tokens B, groups, links) by piece, and all links one after the other."""
-        self._sizes = [np.concatenate(self._sizes or [np.zeros((0, 4), np.int64)])]
-        self._links = [np.concatenate(self._links or [np.zeros(0, np.int64)])]
-        return self._sizes[0], self._links[0]
+    def sizes(self, numbers: np.ndarray) -> list[np.ndarray]:
+        """Tokens A, tokens B, groups and links of pieces."""
+        return [column.values[numbers].astype(np.int64) for column in self._sizes]
+
+    def groups(self, numbers: np.ndarray) -> bytes:
+        """The groups of pieces, each with a line end behind."""
+        begins = self._ends.values[numbers]
+        return arrays.gather(self._groups.values, begins, self._ends.values[numbers + 1] - begins).tobytes()
+
+    def links(self, numbers: np.ndarray) -> np.ndarray:
+        """All links of pieces, one piece after the other."""
+        sizes = self._sizes[3].values
+        begins = (np.cumsum(sizes, dtype=np.int64) - sizes)[numbers]
+        return arrays.gather(self._links.values, begins, sizes[numbers].astype(np.int64))
 
 
 Side = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def align(a: Side, b: Side, n: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def align(a: Side, b: Side, n: int, digits: list[bytes]) -> tuple[bytes, list[np.ndarray], np.ndarray]:
     """Groups and links of ``n`` pieces, given ids, pieces, starts, ends, documents and counts of both sides.
 
     As-of joins keyed by document find the covering token: for every start of A the last start of B
     at or before it, and the other way round. The union of both directions holds every pair whose
     byte ranges overlap; pairs with equal starts come from both and are kept once. Ends that both
-    sides have cut the tokens into groups.
+    sides have cut the tokens into groups, which are written with ``digits`` for the ids, a line for each
+    piece that has tokens.
     """
     ids_a, piece_a, start_a, end_a, document_a, count_a = a
     ids_b, piece_b, start_b, end_b, document_b, count_b = b
@@ -159,15 +179,9 @@ def align(a: Side, b: Side, n: int) -> tuple[list[bytes], np.ndarray, np.ndarray
     order = np.argsort(left, kind="stable")
     left, right = left[order], right[order]
     links = (ids_a[left] << _ID_BITS) | ids_b[right]
-    common = np.intersect1d(end_a, end_b)
-    sizes = np.stack(
-        [
-            count_a, count_b,
-            np.bincount(piece_a[np.searchsorted(end_a, common)], minlength=n),
-            np.bincount(piece_a[left], minlength=n),
-        ],
-        axis=1,
-    )
+    common = np.intersect1d(end_a, end_b, assume_unique=True)
+    piece_of_end = piece_a[np.searchsorted(end_a, common)]
+    sizes = [count_a, count_b, np.bincount(piece_of_end, minlength=n), np.bincount(piece_a[left], minlength=n)]
     # tokens by group, A before B; what follows a token: the next of its side, the other side, a group, a piece
     group = np.concatenate([np.searchsorted(common, end_a), np.searchsorted(common, end_b)])
     side = np.repeat([0, 1], [len(ids_a), len(ids_b)])
@@ -180,17 +194,15 @@ def align(a: Side, b: Side, n: int) -> tuple[list[bytes], np.ndarray, np.ndarray
     kind[:-1][piece[1:] != piece[:-1]] = 3
     kind[-1:] = 3
     ids = np.concatenate([ids_a, ids_b])[order].tolist()
-    marks = (b",", b"|", b";", b"\n")
-    flat = b"".join([b"%d%b" % (i, marks[k]) for i, k in zip(ids, kind.tolist(), strict=True)]).split(b"\n")
-    text = [b""] * n
-    for i, found in zip(piece[kind == 3].tolist(), flat, strict=False):
-        text[i] = found
-    return text, sizes, links
+    parts = [b""] * (2 * len(ids))
+    parts[::2] = map(digits.__getitem__, ids)
+    parts[1::2] = map((b",", b"|", b";", b"\n").__getitem__, kind.tolist())
+    return b"".join(parts), sizes, links
 
 
 def aligner_for(byte_file: str, piece_file: str) -> Aligner:
     """The aligner of this Python worker, whose memory serves all tasks that the worker runs."""
-    kept = sys.modules.setdefault("kept_aligners", types.ModuleType("kept_aligners"))
+    kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT))
     name = f"{byte_file}:{piece_file}"
     if not hasattr(kept, name):
         setattr(kept, name, Aligner(byte_file, piece_file))
@@ -209,42 +221,35 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel().astype(np.int64)
 
 
-def _gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """``flat[b : b + s]`` for every begin and size, one after the other."""
-    ends = np.cumsum(sizes)
-    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - ends + sizes, sizes)]
-
-
 def _aligned_block(number: int, ids: list, texts: pa.Array, aligner: Aligner) -> dict:
     """The state of a block: tokens, groups and links of its documents, with every distinct piece once."""
     raw, raw_offsets = arrays.text_bytes(texts)
     some = np.diff(raw_offsets) > 0
     data = np.insert(raw, raw_offsets[:-1][some], 32)
     offsets = raw_offsets + np.concatenate([[0], np.cumsum(some)])
-    codes, bounds, distinct = arrays.pieces(data, offsets, wide=True, blank=True)
-    document = np.repeat(np.arange(len(ids)), np.diff(bounds))
-    lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
-    sizes = lengths[codes]
-    first = np.unique(codes, return_index=True)[1]
+    codes, bounds, distinct = arrays.coded_pieces(data, offsets, wide=True, blank=True)
+    n, document = len(distinct), np.repeat(np.arange(len(ids)), np.diff(bounds))
+    _, ends = arrays.text_bytes(distinct)
+    sizes = np.diff(ends)[codes]
+    first = np.zeros(n, np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
     numbers = aligner.numbers(distinct, document[first], (np.cumsum(sizes) - sizes)[first])
-    table, links = aligner.tables()
     keep = arrays.sums(aligner.odd(numbers)[codes], bounds)[document] == 0
     codes, document = codes[keep], document[keep]
     bounds = np.searchsorted(document, np.arange(len(ids) + 1))
-    counts = np.stack([arrays.sums(table[numbers[codes], i], bounds) for i in range(4)])
-    begins = np.concatenate([[0], np.cumsum(table[:, 3])])[numbers]
-    n_links = table[numbers, 3]
-    pairs, place = np.unique(_gather(links, begins, n_links), return_inverse=True)
+    by_piece = aligner.sizes(numbers)
+    counts = np.stack([arrays.sums(size[codes], bounds) for size in by_piece])
+    n_links = by_piece[3]
+    pairs, place = np.unique(aligner.links(numbers), return_inverse=True)
     # documents that hold a pair: distinct (document, piece), then distinct (document, pair)
-    held = np.unique(document * max(1, len(distinct)) + codes)
-    in_document, piece = np.divmod(held, max(1, len(distinct)))
-    origin = np.cumsum(n_links) - n_links
-    pair = _gather(place, origin[piece], n_links[piece])
-    both = np.unique(np.repeat(in_document, n_links[piece]) * max(1, len(pairs)) + pair)
+    held = arrays.distinct_of(document * max(1, n) + codes)
+    in_document, piece = np.divmod(held, max(1, n))
+    pair = arrays.gather(place, (np.cumsum(n_links) - n_links)[piece], n_links[piece])
+    both = arrays.distinct_of(np.repeat(in_document, n_links[piece]) * max(1, len(pairs)) + pair)
     documents = np.bincount(both % max(1, len(pairs)), minlength=len(pairs))
     used = documents > 0  # pieces of left-out documents may have pairs that no other has
     renumbered = np.where(used, np.cumsum(used) - 1, 0)
-    text = b"\n".join([aligner.groups[i] for i in numbers.tolist()])
+    text = aligner.groups(numbers)
     return {
         "block": number, "ids": ids, "counts": counts.tobytes(), "bounds": bounds.tobytes(), "codes": _packed(codes),
         "groups": len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True),
@@ -301,6 +306,7 @@ def align_documents(
     blocks = repeats.pack_blocks(docs, id_column, text_column)
     ranges = repeats.range_count(blocks, PAIRS_PER_BYTE)
     state = stored(blocks.mapInArrow(states, _STATE), "aligned")
+    drop(blocks)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,6 +337,7 @@ def align_documents(
     shared_best = docs.sparkSession.sparkContext.broadcast(best)
 
     def result(mine: pa.Table, answers: pa.Table) -> pa.Table:
+        sys.modules.pop(_KEPT, None)  # this worker's aligner is done
         row = mine.to_pylist()[0]
         keys, order = _mixed_order(row)
         totals = np.zeros(len(keys), np.int64)

@@ -32,7 +32,7 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
-        texts = texts.fill_null("")
+        texts = texts.fill_null(b"" if pa.types.is_large_binary(texts.type) or pa.types.is_binary(texts.type) else "")
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     if len(texts) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
@@ -61,9 +61,10 @@ def _is_wide_space(data: np.ndarray) -> np.ndarray:
     return space
 
 
-def pieces(
-    data: np.ndarray, offsets: np.ndarray, wide: bool = False, blank: bool = False
-) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+Coded = tuple[np.ndarray, np.ndarray, pa.Array]
+
+
+def coded_pieces(data: np.ndarray, offsets: np.ndarray, wide: bool = False, blank: bool = False) -> Coded:
     """Cuts texts before every run of white space, of ASCII or (``wide``) of Unicode.
 
     Returns the number of the distinct piece at each place, where each text's pieces begin
@@ -72,7 +73,7 @@ def pieces(
     with a blank (U+0020) count.
     """
     if len(data) == 0:
-        return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64), []
+        return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64), pa.array([], pa.large_binary())
     space = _is_wide_space(data) if wide else _is_space(data)
     begins = np.empty(len(data), bool)
     begins[0] = True
@@ -82,11 +83,51 @@ def pieces(
     starts = offsets[:-1]
     begins[starts[starts < offsets[1:]]] = True
     at = np.flatnonzero(begins)
-    bounds = np.append(at, len(data)).astype(np.int64)
-    buffers = [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]
-    coded = pa.Array.from_buffers(pa.large_binary(), len(at), buffers).dictionary_encode()
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    return codes, np.searchsorted(at, offsets), coded.dictionary.to_pylist()
+    codes, distinct = _coded(data, np.append(at, len(data)))
+    return codes, np.searchsorted(at, offsets), distinct
+
+
+def _coded(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    buffers = [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def coded_words(data: np.ndarray, offsets: np.ndarray) -> Coded:
+    """As ``coded_pieces``, for words alone; A-Z are lower-cased in words of ASCII characters only."""
+    inside = ~_is_space(data)
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
+    begins[heads] = inside[heads]
+    at = np.flatnonzero(begins)
+    letters = np.concatenate([[0], np.cumsum(inside)])
+    bounds, kept = np.append(letters[at], letters[-1]), data[inside]
+    upper = np.flatnonzero((kept >= 65) & (kept <= 90))
+    beyond = np.zeros(len(at), bool)
+    beyond[np.searchsorted(bounds, np.flatnonzero(kept >= 128), side="right") - 1] = True
+    upper = upper[~beyond[np.searchsorted(bounds, upper, side="right") - 1]]
+    kept[upper] += 32
+    codes, distinct = _coded(kept, bounds)
+    return codes, np.searchsorted(at, offsets), distinct
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray, wide: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """As ``coded_pieces``, with the distinct pieces as a list."""
+    codes, bounds, distinct = coded_pieces(data, offsets, wide)
+    return codes, bounds, distinct.to_pylist()
+
+
+def distinct_of(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting beats the hash table that numpy's ``unique`` uses."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``flat[b : b + s]`` for every begin and size, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - ends + sizes, sizes)]
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:

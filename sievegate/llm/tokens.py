@@ -6,15 +6,100 @@ import os
 import sys
 import types
 import zlib
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from sievegate.llm.arrays import SPACES, pieces, text_bytes
+from sievegate.llm.arrays import coded_pieces, coded_words, gather, mixed, text_bytes
 
-# Distinct pieces and ids that an encoder remembers before it starts afresh.
+# Distinct pieces that an encoder remembers before it starts afresh.
 REMEMBERED = 1_500_000
+_PART = 4096
+
+
+class Growing:
+    """An array to which parts are appended."""
+
+    def __init__(self, kind: type):
+        self._values, self._n = np.zeros(1024, kind), 0
+
+    def append(self, part: np.ndarray) -> None:
+        size = self._n + len(part)
+        if size > len(self._values):
+            larger = np.zeros(max(size, len(self._values) * 3 // 2), self._values.dtype)
+            larger[: self._n] = self._values[: self._n]
+            self._values = larger
+        self._values[self._n : size] = part
+        self._n = size
+
+    def __len__(self) -> int:
+        return self._n
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._values[: self._n]
+
+
+class PieceMemory:
+    """Numbers for the byte strings seen so far, without a Python object for each.
+
+    Strings are found by a 64-bit hash and then compared byte by byte, so equal hashes of
+    different strings do no harm.
+    """
+
+    def __init__(self):
+        self._hashes, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._data, self._ends = Growing(np.uint8), Growing(np.int64)
+        self._ends.append(np.zeros(1, np.int64))
+
+    def __len__(self) -> int:
+        return len(self._ends) - 1
+
+    @staticmethod
+    def _hash(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        sizes = np.diff(bounds)
+        place = np.arange(len(data), dtype=np.uint64) - np.repeat(bounds[:-1], sizes).astype(np.uint64)
+        values = _LETTERS[data] * (mixed(place + np.uint64(1)) | np.uint64(1))
+        before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+        return mixed(before[bounds[1:]] - before[bounds[:-1]] + sizes.astype(np.uint64))
+
+    def numbers(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of every string ``data[bounds[i] : bounds[i + 1]]`` and which of them are new.
+
+        The strings must be distinct; the new ones get the next numbers, in their order.
+        """
+        hashes, sizes = self._hash(data, bounds), np.diff(bounds)
+        found = np.full(len(sizes), -1, np.int64)
+        low, high = (np.searchsorted(self._hashes, hashes, side=side) for side in ("left", "right"))
+        turn = 0
+        while True:
+            open_ = np.flatnonzero((found < 0) & (low + turn < high))
+            if not len(open_):
+                break
+            guess = self._numbers[low[open_] + turn]
+            begins, ends = self._ends.values[guess], self._ends.values[guess + 1]
+            same = ends - begins == sizes[open_]
+            open_, guess, begins = open_[same], guess[same], begins[same]
+            own = gather(data, bounds[:-1][open_], sizes[open_])
+            differs = own != gather(self._data.values, begins, sizes[open_])
+            before = np.concatenate([[0], np.cumsum(differs)])
+            ends = np.cumsum(sizes[open_])
+            same = before[ends] == before[ends - sizes[open_]]
+            found[open_[same]] = guess[same]
+            turn += 1
+        fresh = np.flatnonzero(found < 0)
+        found[fresh] = len(self) + np.arange(len(fresh))
+        self._data.append(gather(data, bounds[:-1][fresh], sizes[fresh]))
+        self._ends.append(self._ends.values[-1] + np.cumsum(sizes[fresh]))
+        order = np.argsort(hashes[fresh])
+        at = np.searchsorted(self._hashes, hashes[fresh][order])
+        self._hashes = np.insert(self._hashes, at, hashes[fresh][order])
+        self._numbers = np.insert(self._numbers, at, found[fresh][order])
+        return found, fresh
+
+
+_LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 class PieceEncoder:
@@ -23,12 +108,11 @@ class PieceEncoder:
     Both public BPE files used here look at no more than one run of white space and the word after
     it when they cut a text, so a text cut before every run of white space gives the same ids piece
     by piece. Where spaces matter, a run is one of Unicode white space, which the file merges as a
-    whole (space, U+00A0, space); where they are dropped, a cut inside a run changes nothing, and
-    runs of ASCII white space will do. Pieces repeat, hence a memory from pieces to ids.
+    whole (space, U+00A0, space); where they are dropped, words without white space are enough, in
+    lower case where they are ASCII. Pieces repeat, hence a memory from pieces to ids.
     """
 
     def __init__(self, path: str, spaces_matter: bool = True):
-        self._key = bytes if spaces_matter else _spaceless
         self._wide = spaces_matter
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -38,36 +122,31 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._number: dict[bytes, int] = {}
-        self._ids, self._begins = array("I"), array("q", [0])
+        self._memory = PieceMemory()
+        self._ids, self._begins = Growing(np.uint32), Growing(np.int64)
+        self._begins.append(np.zeros(1, np.int64))
+
+    def _learn(self, fresh: list[str]) -> None:
+        for first in range(0, len(fresh), _PART):
+            encoded = self._tokenizer.encode_batch_fast(fresh[first : first + _PART], add_special_tokens=False)
+            lists = [e.ids for e in encoded]
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self._begins.append(len(self._ids) + np.cumsum(sizes))
+            self._ids.append(np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids begin (one more)."""
         data, offsets = text_bytes(texts)
-        codes, bounds, distinct = pieces(data, offsets, self._wide)
-        distinct = [self._key(p) for p in distinct]
-        if len(self._number) > REMEMBERED or len(self._ids) > 8 * REMEMBERED:
+        codes, bounds, distinct = coded_pieces(data, offsets, True) if self._wide else coded_words(data, offsets)
+        if len(self._memory) > REMEMBERED or len(self._ids) > 8 * REMEMBERED:
             self._forget()
-        fresh = list({p for p in distinct if p not in self._number})
-        for first in range(0, len(fresh), 4096):
-            part = fresh[first : first + 4096]
-            encoded = self._tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-            for piece, found in zip(part, encoded, strict=True):
-                self._number[piece] = len(self._begins) - 1
-                self._ids.extend(found.ids)
-                self._begins.append(len(self._ids))
-        flat, begins = np.array(self._ids, np.uint32), np.array(self._begins)
-        known = np.fromiter((self._number[p] for p in distinct), np.int64, len(distinct))[codes]
+        known, fresh = self._memory.numbers(*text_bytes(distinct))
+        self._learn(distinct.take(pa.array(fresh)).cast(pa.large_string()).to_pylist())
+        begins = self._begins.values
+        known = known[codes]
         sizes = begins[known + 1] - begins[known]
         ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        at = np.arange(ends[-1]) + np.repeat(begins[known] - ends[:-1], sizes)
-        return flat[at], ends[bounds]
-
-
-def _spaceless(piece: bytes) -> bytes:
-    """For tokenizers that drop white space and case; case is left to them outside of ASCII."""
-    piece = piece.strip(SPACES)
-    return piece.lower() if piece.isascii() else piece
+        return gather(self._ids.values, begins[known], sizes), ends[bounds]
 
 
 def encoder_for(path: str, spaces_matter: bool = True) -> PieceEncoder:
