@@ -20,8 +20,8 @@ from sievegate.llm.shared import drop, stored
 from sievegate.llm.tokens import Growing, PieceMemory
 
 # Distinct pieces that an aligner remembers before it starts afresh, and learns at once.
-REMEMBERED = 800_000
-_PART = 16_384
+REMEMBERED = 500_000
+_PART = 8_192
 #: Distinct id pairs for each byte of text, for the number of ranges.
 PAIRS_PER_BYTE = 0.05
 _ID_BITS = 32
