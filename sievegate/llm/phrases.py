@@ -13,20 +13,28 @@ from pyspark.sql import functions as F
 
 from sievegate.llm import arrays, repeats
 from sievegate.llm.shared import drop, stored
-from sievegate.operators.ranking import number_rows, top_k_per_group
+from sievegate.operators.ranking import top_k_per_group
 
 LONGEST = 5
 LEAST_COUNT = 100
 MOST_PHRASES = 2_000
 #: Language of documents without one.
 NO_LANGUAGE = "und"
-#: Entries that a range of a level gets for each word of the corpus, for the number of ranges.
+#: Entries that blocks send for each word of the corpus, for the number of ranges.
 ENTRIES_PER_WORD = 0.2
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
-_STATE = "block long, langs array<string>, totals binary, text binary, of binary, counts binary, codes binary"
-_LEVEL = "block long, words binary, places binary, found binary"
+_STATE = (
+    "block long, langs array<string>, totals binary, hashes binary, lengths binary, text binary, "
+    "of binary, counts binary, codes binary"
+)
+_LEVEL = "block long, places binary, found binary, last binary"
+_SENT_WORDS = (
+    "range int, block long, head long, langs array<string>, lengths binary, text binary, of binary, counts binary"
+)
 _SENT = "range int, block long, filter binary"
-_TOLD = "block long, range int, n long, told binary"
+_WORDS = "array<struct<id:bigint,lang:string,word:string,a:bigint>>"
+_PHRASES = "array<struct<id:bigint,first:bigint,last:bigint,a:bigint>>"
+_TOLD = "block long, range int, head long, told binary, rows "
 
 
 class CountingFilter:
@@ -154,10 +162,19 @@ def words_and_gaps(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Dictionary
     return pa.Array.from_buffers(pa.large_binary(), len(at), buffers).dictionary_encode(), gaps, text
 
 
+def _text(data: np.ndarray) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data.tobytes(), "zstd", asbytes=True)
+
+
+def _untext(blob: bytes) -> np.ndarray:
+    size = int.from_bytes(blob[:8], "little")
+    return np.frombuffer(pa.decompress(blob[8:], size, "zstd", asbytes=True), np.uint8)
+
+
 def _state(number: int, texts: pa.Array, langs: pa.Array) -> dict:
     """A block's words: the distinct (word, language) pairs with their counts, and the text as their codes.
 
-    Codes start at 1; a 0 stands between pieces.
+    Pairs are in the order of a hash. Codes start at 1; a 0 stands between pieces.
     """
     data, offsets = arrays.text_bytes(texts)
     words, gaps, text = words_and_gaps(data, offsets)
@@ -167,88 +184,143 @@ def _state(number: int, texts: pa.Array, langs: pa.Array) -> dict:
     keys = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * max(1, len(names)) + lang
     unique, codes, counts = np.unique(keys, return_inverse=True, return_counts=True)
     word, of = np.divmod(unique, max(1, len(names)))
+    seeds = np.array([xxhash.xxh3_64_intdigest(name) for name in names], np.uint64)
+    hashes = arrays.mixed(hash_strings(*arrays.text_bytes(words.dictionary))[word] ^ seeds[of])
+    order = np.argsort(hashes, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
     steps = np.zeros(len(gaps), np.int64)
     steps[1:] = gaps[1:] != gaps[:-1]
     line = np.zeros(len(codes) + int(steps.sum()), np.int64)
-    line[np.arange(len(codes)) + np.cumsum(steps)] = codes + 1
-    chosen = b"\n".join(words.dictionary.take(pa.array(word)).to_pylist())  # no word holds a line end
+    line[np.arange(len(codes)) + np.cumsum(steps)] = rank[codes] + 1
+    letters, bounds = arrays.text_bytes(words.dictionary.take(pa.array(word[order])))
     return {
         "block": number, "langs": names, "totals": np.bincount(lang, minlength=len(names)).tobytes(),
-        "text": len(chosen).to_bytes(8, "little") + pa.compress(chosen, "zstd", asbytes=True),
-        "of": _squeeze(of), "counts": _squeeze(counts), "codes": _squeeze(line),
+        "hashes": hashes[order].tobytes(), "lengths": _squeeze(np.diff(bounds)), "text": _text(letters),
+        "of": _squeeze(of[order]), "counts": _squeeze(counts[order]), "codes": _squeeze(line),
     }
 
 
-def _word_hashes(row: dict) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """A state's words, the language number of each, and a hash of both."""
-    size = int.from_bytes(row["text"][:8], "little")
-    of = _expand(row["of"])
-    words = pa.decompress(row["text"][8:], size, "zstd", asbytes=True).split(b"\n") if len(of) else []
-    seeds = [xxhash.xxh3_64_intdigest(name) for name in row["langs"]]
-    hashes = (xxhash.xxh3_64_intdigest(w, seeds[o]) for w, o in zip(words, of.tolist(), strict=True))
-    return words, of, np.fromiter(hashes, np.uint64, len(words))
-
+def _first_level(state: DataFrame, least: int, range_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Texts as ids of frequent words, and the table of these words.
 
-def _frequent_words(state: DataFrame, least: int, ranges: int) -> DataFrame:
-    """``block, code, lang, word, n``: a block's count of every word that may be frequent.
-
-    Hashes of words are summed over all blocks first; equal hashes of different words only add up,
-    so no frequent word is lost, and the words themselves are counted afterwards.
+    Every block sends its distinct words with their counts, cut by ranges of a hash that only
+    spreads them; a range compares the words themselves.
     """
+    ranges = 1 << range_bits
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                hashes = _word_hashes(row)[2]
-                keys, place = np.unique(hashes, return_inverse=True)
-                counts = np.zeros(len(keys), np.int64)
-                np.add.at(counts, place, _expand(row["counts"]))
-                yield from repeats.counted_keys(row["block"], keys, counts, ranges, 64).to_batches()
-
-    def maybe(mine: pa.Table, told: pa.Table) -> pa.Table:
-        row = mine.to_pylist()[0]
-        words, of, hashes = _word_hashes(row)
-        keys, place = np.unique(hashes, return_inverse=True)
-        chosen = np.flatnonzero(repeats.totals_of(told, keys, ranges, 64)[place] >= least)
-        return pa.table(
-            {
-                "block": pa.array([row["block"]] * len(chosen), pa.int64()),
-                "code": pa.array(chosen + 1, pa.int64()),
-                "lang": pa.array([row["langs"][of[i]] for i in chosen.tolist()], pa.string()),
-                "word": pa.array([words[i].decode() for i in chosen.tolist()], pa.string()),
-                "n": pa.array(_expand(row["counts"])[chosen], pa.int64()),
-            }
-        )
-
-    narrow = state.select("block", "langs", "text", "of", "counts")
-    told = repeats.ask_totals(narrow.mapInArrow(send, repeats.COUNTED), "words")
-    found = narrow.groupBy("block").cogroup(told.groupBy("block"))
-    found = stored(found.applyInArrow(maybe, "block long, code long, lang string, word string, n long"), "words")
-    drop(told)
-    return found
-
+                hashes = np.frombuffer(row["hashes"], np.uint64)
+                lengths, of, counts = (_expand(row[c]) for c in ("lengths", "of", "counts"))
+                text, ends = _untext(row["text"]), np.concatenate([[0], np.cumsum(lengths)])
+                lowest = np.arange(ranges, dtype=np.uint64) << np.uint64(64 - range_bits)
+                cuts = np.append(np.searchsorted(hashes, lowest), len(hashes))
+                filled = np.flatnonzero(np.diff(cuts))
+                parts = [(int(cuts[r]), int(cuts[r + 1])) for r in filled]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "range": pa.array(filled, pa.int32()),
+                        "block": pa.array([row["block"]] * len(parts), pa.int64()),
+                        "head": pa.array([lo for lo, _ in parts], pa.int64()),
+                        "langs": pa.array([row["langs"]] * len(parts), pa.list_(pa.string())),
+                        "lengths": pa.array([_squeeze(lengths[lo:hi]) for lo, hi in parts], pa.binary()),
+                        "text": pa.array([_text(text[ends[lo] : ends[hi]]) for lo, hi in parts], pa.binary()),
+                        "of": pa.array([_squeeze(of[lo:hi]) for lo, hi in parts], pa.binary()),
+                        "counts": pa.array([_squeeze(counts[lo:hi]) for lo, hi in parts], pa.binary()),
+                    }
+                )
 
-def _first_level(state: DataFrame, known: DataFrame) -> DataFrame:
-    """Texts as ids of frequent words, 0 for all others and between pieces."""
+    def tell(key: tuple, sent: pa.Table) -> pa.Table:
+        number, names, words, langs, counts = key[0].as_py(), {}, [], [], []
+        for row in sent.select(["langs", "lengths", "text", "of", "counts"]).to_pylist():
+            bounds = np.concatenate([[0], np.cumsum(_expand(row["lengths"]))]).astype(np.int64)
+            buffers = [None, pa.py_buffer(bounds), pa.py_buffer(_untext(row["text"]))]
+            words.append(pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers))
+            known = np.array([names.setdefault(name, len(names)) for name in row["langs"]], np.int64)
+            langs.append(known[_expand(row["of"])])
+            counts.append(_expand(row["counts"]))
+        coded = pa.concat_arrays(words).dictionary_encode()
+        keys = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(names) + np.concatenate(langs)
+        unique, place = np.unique(keys, return_inverse=True)
+        totals = np.bincount(place, np.concatenate(counts), minlength=len(unique)).astype(np.int64)
+        frequent = totals >= least
+        ids = np.where(frequent, np.cumsum(frequent) * ranges + number, 0)
+        ends = np.cumsum([len(x) for x in words])
+        told = [_squeeze(part, "<i8") for part in np.split(ids[place], ends[:-1])]
+        word, lang = np.divmod(unique[frequent], len(names))
+        spelled = coded.dictionary.take(pa.array(word)).to_pylist()
+        called = list(names)
+        rows = [
+            {"id": i, "lang": called[o], "word": w.decode(), "a": a}
+            for i, o, w, a in zip(
+                ids[frequent].tolist(), lang.tolist(), spelled, totals[frequent].tolist(), strict=True
+            )
+        ]
+        return _answer(number, sent.column("block"), sent.column("head"), told, rows, _WORD_ROWS)
 
-    def number(mine: pa.Table, ids: pa.Table) -> pa.Table:
+    def number(mine: pa.Table, answers: pa.Table) -> pa.Table:
         line = _expand(mine.column("codes")[0].as_py())
         table = np.zeros(int(line.max(initial=0)) + 1, np.int64)
-        table[ids.column("code").to_numpy()] = ids.column("id").to_numpy()
+        for answer in answers.to_pylist():
+            ids = _expand(answer["told"], "<i8")
+            table[answer["head"] + 1 : answer["head"] + 1 + len(ids)] = ids
         line = table[line]
         places = np.flatnonzero(line)
-        row = {
-            "block": mine.column("block")[0].as_py(), "words": _squeeze(line),
-            "places": _squeeze(places), "found": _squeeze(line[places], "<i8"),
-        }
-        return pa.Table.from_pylist([row], schema=_level_schema())
+        return _level(mine.column("block")[0].as_py(), places, line[places], line[places])
+
+    narrow = state.select("block", "langs", "hashes", "lengths", "text", "of", "counts")
+    sent = narrow.mapInArrow(send, _SENT_WORDS)
+    told = stored(sent.groupBy("range").applyInArrow(tell, _TOLD + _WORDS), "told-1")
+    answers = told.filter(F.col("block") != repeats.SUMMARY).select("block", "head", "told")
+    met = state.select("block", "codes").groupBy("block").cogroup(answers.groupBy("block"))
+    level = stored(met.applyInArrow(number, _LEVEL), "level-1")
+    words = told.filter(F.col("block") == repeats.SUMMARY).selectExpr("inline(rows)")
+    words = stored(words, "vocabulary")
+    drop(told)
+    return level, words
+
+
+def hash_strings(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A hash of each string ``data[bounds[i] : bounds[i + 1]]`` that spreads them; equal strings agree."""
+    sizes = np.diff(bounds)
+    place = np.arange(len(data), dtype=np.uint64) - np.repeat(bounds[:-1], sizes).astype(np.uint64)
+    values = arrays.mixed(data.astype(np.uint64) + np.uint64(1)) * (arrays.mixed(place + np.uint64(1)) | np.uint64(1))
+    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    return arrays.mixed(before[bounds[1:]] - before[bounds[:-1]] + sizes.astype(np.uint64))
+
 
-    met = state.select("block", "codes").groupBy("block").cogroup(known.groupBy("block"))
-    return stored(met.applyInArrow(number, _LEVEL), "level-1")
+_WORD_ROWS = pa.struct([("id", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("a", pa.int64())])
+_PHRASE_ROWS = pa.struct([(c, pa.int64()) for c in ("id", "first", "last", "a")])
 
 
-def _level_schema() -> pa.Schema:
-    return pa.schema([("block", pa.int64()), ("words", pa.binary()), ("places", pa.binary()), ("found", pa.binary())])
+def _answer(number: int, blocks, heads, told: list[bytes], rows: list, kind: pa.DataType) -> pa.Table:
+    """What a range tells each block, and one more row with its table of frequent entries."""
+    n = len(told)
+    return pa.table(
+        {
+            "block": pa.array([*blocks.to_pylist(), repeats.SUMMARY], pa.int64()),
+            "range": pa.array([number] * (n + 1), pa.int32()),
+            "head": pa.array([*heads.to_pylist(), 0], pa.int64()),
+            "told": pa.array([*told, b""], pa.binary()),
+            "rows": pa.array([None] * n + [rows], pa.list_(kind)),
+        }
+    )
+
+
+def _level(block: int, places: np.ndarray, found: np.ndarray, last: np.ndarray) -> pa.Table:
+    """Places of frequent phrases, their ids and their last words' ids; single ones are of no more use."""
+    near = np.diff(places) == 1
+    kept = np.concatenate([near, [False]]) | np.concatenate([[False], near]) if len(places) else np.zeros(0, bool)
+    row = {
+        "block": block, "places": _squeeze(np.diff(places[kept], prepend=0)),
+        "found": _squeeze(found[kept], "<i8"), "last": _squeeze(last[kept], "<i8"),
+    }
+    return pa.Table.from_pylist([row], schema=_LEVEL_SCHEMA)
+
+
+_LEVEL_SCHEMA = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in ("places", "found", "last"))])
 
 
 class _Packing:
@@ -259,13 +331,13 @@ class _Packing:
         self.permutation = Permutation(max(highest.bit_length() + word_bits, range_bits + 1))
         self.bits = self.permutation.bits - range_bits  # in the filter of one range
 
-    def candidates(self, row: dict) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the phrases whose first and last words are frequent phrases too, and their keys."""
-        words, places, found = _expand(row["words"]), _expand(row["places"]), _expand(row["found"], "<i8")
+    def candidates(self, row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of phrases whose parts without the last and the first word are frequent, last words, and keys."""
+        places, found, last = np.cumsum(_expand(row["places"])), _expand(row["found"], "<i8"), _expand(row["last"], "<i8")
         follows = np.flatnonzero(np.diff(places) == 1)
-        last = words[places[follows] + self.size - 1]
+        last = last[follows + 1]
         packed = (found[follows].astype(np.uint64) << np.uint64(self.word_bits)) | last.astype(np.uint64)
-        return places[follows], self.permutation(packed)
+        return places[follows], last, self.permutation(packed)
 
     def parts(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         packed = self.permutation.inverse(keys)
@@ -289,7 +361,7 @@ def _next_level(level: DataFrame, packing: _Packing, least: int) -> tuple[DataFr
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys, counts = np.unique(packing.candidates(row)[1], return_counts=True)
+                keys, counts = np.unique(packing.candidates(row)[2], return_counts=True)
                 cuts = packing.cuts(keys)
                 filled = np.flatnonzero(np.diff(cuts))
                 blobs = [
@@ -313,44 +385,28 @@ def _next_level(level: DataFrame, packing: _Packing, least: int) -> tuple[DataFr
         told = [_squeeze(ids[np.searchsorted(whole.keys, f.keys)], "<i8") for f in filters]
         full = whole.keys[frequent] | np.uint64(number << packing.bits)
         first, last = packing.parts(full)
-        table = np.stack([ids[frequent], first.astype(np.int64), last.astype(np.int64), whole.counts[frequent]])
-        blocks = [*sent.column("block").to_pylist(), repeats.SUMMARY]
-        return pa.table(
-            {
-                "block": pa.array(blocks, pa.int64()),
-                "range": pa.array([number] * len(blocks), pa.int32()),
-                "n": pa.array([0] * len(filters) + [int(frequent.sum())], pa.int64()),
-                "told": pa.array([*told, table.tobytes()], pa.binary()),
-            }
-        )
+        columns = (x.tolist() for x in (ids[frequent], first, last, whole.counts[frequent]))
+        rows = [dict(zip(("id", "first", "last", "a"), row, strict=True)) for row in zip(*columns, strict=True)]
+        heads = pa.array([0] * len(told), pa.int64())
+        return _answer(number, sent.column("block"), heads, told, rows, _PHRASE_ROWS)
 
     def number(mine: pa.Table, answers: pa.Table) -> pa.Table:
         row = mine.to_pylist()[0]
-        places, keys = packing.candidates(row)
+        places, last, keys = packing.candidates(row)
         unique, place = np.unique(keys, return_inverse=True)
         cuts, ids = packing.cuts(unique), np.zeros(len(unique), np.int64)
         for answer in answers.to_pylist():
             ids[cuts[answer["range"]] : cuts[answer["range"] + 1]] = _expand(answer["told"], "<i8")
         found = ids[place]
-        out = {
-            "block": row["block"], "words": row["words"],
-            "places": _squeeze(places[found > 0]), "found": _squeeze(found[found > 0], "<i8"),
-        }
-        return pa.Table.from_pylist([out], schema=_level_schema())
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob in batch.column("told").to_pylist():
-                columns = np.frombuffer(blob, np.int64).reshape(4, -1)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "first", "last", "a"])
+        hit = found > 0
+        return _level(row["block"], places[hit], found[hit], last[hit])
 
     sent = level.mapInArrow(send, _SENT)
-    told = stored(sent.groupBy("range").applyInArrow(tell, _TOLD), f"told-{packing.size}")
+    told = stored(sent.groupBy("range").applyInArrow(tell, _TOLD + _PHRASES), f"told-{packing.size}")
     answers = told.filter(F.col("block") != repeats.SUMMARY).select("block", "range", "told")
     met = level.groupBy("block").cogroup(answers.groupBy("block"))
     longer = stored(met.applyInArrow(number, _LEVEL), f"level-{packing.size}")
-    summaries = told.filter(F.col("block") == repeats.SUMMARY)
-    table = summaries.select("told").mapInArrow(rows, "id long, first long, last long, a long")
+    table = told.filter(F.col("block") == repeats.SUMMARY).selectExpr("inline(rows)")
     table = stored(table, f"phrases-{packing.size}")
     drop(told)
     return longer, table
@@ -374,9 +430,9 @@ def frequent_phrases(
                 yield pa.RecordBatch.from_pylist([_state(block, part.column("text"), part.column("lang"))], schema)
                 block += 1
 
+    names = ("totals", "hashes", "lengths", "text", "of", "counts", "codes")
     schema = pa.schema(
-        [("block", pa.int64()), ("langs", pa.list_(pa.string()))]
-        + [(c, pa.binary()) for c in ("totals", "text", "of", "counts", "codes")]
+        [("block", pa.int64()), ("langs", pa.list_(pa.string()))] + [(c, pa.binary()) for c in names]
     )
     source = docs.select(
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
@@ -396,14 +452,8 @@ def frequent_phrases(
     ranges = max(repeats.LEAST_RANGES, int(words * ENTRIES_PER_WORD) // repeats.RANGE_KEYS + 1)
     range_bits = (ranges - 1).bit_length()
 
-    maybe = _frequent_words(state, least, ranges)
-    known = maybe.groupBy("lang", "word").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-    digest = F.md5(F.concat_ws("\n", "lang", "word"))
-    known = number_rows(known, [digest, F.col("lang"), F.col("word")], F.substring(digest, 1, 3), name="id")
-    known = stored(known.withColumn("id", F.col("id") + 1), "vocabulary")
-    numbered = maybe.join(known, ["lang", "word"]).select("block", "code", "id")
-    level = _first_level(state, numbered)
-    drop(state, maybe)
+    level, known = _first_level(state, least, range_bits)
+    drop(state)
     highest = known.agg(F.max("id")).first()[0] or 0
     word_bits = max(1, highest.bit_length())
     phrases = known.select("id", "lang", F.array("word").alias("words"), "a")
