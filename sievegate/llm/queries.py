@@ -8,9 +8,10 @@ from sievegate.llm.alignment import align_documents
 from sievegate.llm.mixing import mix_sources
 from sievegate.llm.ngram_join import join_classes
 from sievegate.llm.packing import pack_documents
+from sievegate.llm.personal import KINDS, find_personal_data, fit_field
 from sievegate.llm.phrases import mine_phrases
 from sievegate.llm.quality import judged
-from sievegate.llm.secret_scan import scan
+from sievegate.llm.secret_scan import joined, scan
 from sievegate.llm.shared import documents
 from sievegate.llm.sharding import assign_shards
 from sievegate.llm.substring_dedup import remove_repeated_windows
@@ -74,6 +75,14 @@ def op12_phrase_mining(spark, sf_dir):
     return mine_phrases(documents(spark, sf_dir))
 
 
+def op13_personal_data(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = find_personal_data(docs, fit_field(docs))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    base, spans = F.sha2(joined(F.col("base")), 256), joined(F.col("spans"))
+    return found.select("doc_id", *map(count, KINDS), base.alias("base_sha256"), spans.alias("spans"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_top_k": op2_exact_top_k,
@@ -87,6 +96,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_token_alignment": op11_token_alignment,
     "op12_phrase_mining": op12_phrase_mining,
+    "op13_personal_data": op13_personal_data,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
