@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievegate.llm.shared import stored
+from sievegate.llm.shared import drop, stored
 
 
 def _are_stars(edges: DataFrame) -> bool:
@@ -17,7 +17,7 @@ def _are_stars(edges: DataFrame) -> bool:
 
 
 def roots(edges: DataFrame) -> DataFrame:
-    """``node`` and ``root``, the smallest node it reaches, for every node of ``edges`` (a, b).
+    """Stored ``node`` and ``root``, the smallest node it reaches, for every node of ``edges`` (a, b).
 
     Alternates two steps until only stars are left: every node ties its larger neighbours, then its
     smaller ones, to the smallest node it sees. The number of rounds grows with the logarithm of a
@@ -32,7 +32,11 @@ def roots(edges: DataFrame) -> DataFrame:
         large = large.filter("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.toDF("a", "b"))
-        current = stored(small.filter("a <> b").distinct(), "edges")
+        smaller = stored(small.filter("a <> b").distinct(), "edges")
+        drop(current)
+        current = smaller
     children = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     tops = current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return children.union(tops)
+    found = stored(children.union(tops), "roots")
+    drop(current)
+    return found

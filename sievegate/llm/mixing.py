@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from itertools import islice
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievegate.llm import arrays, repeats
-from sievegate.llm.shared import slice_bits, stored, sums_before, words_of
+from sievegate.llm.shared import drop, slice_bits, stored, sums_before, words_of
 
 #: Weights that sources take in turn, in their order.
 WEIGHTS = (1, 2, 3)
 #: No source and no document counts more often than this.
 MOST_EPOCHS = 3
 _KEY_DIGITS = 8
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def source_targets(sizes: DataFrame, most: int = MOST_EPOCHS) -> DataFrame:
@@ -76,32 +68,37 @@ def mix_sources(
     )
 
 
-def mix_sizes(narrow: DataFrame, seed: int = 0) -> DataFrame:
-    """The same for a stored table of ``doc_id``, ``source`` and ``size``; its columns stay."""
+def _targets(narrow: DataFrame) -> tuple[DataFrame, int]:
+    """A row per source: rank, size, target, full epochs and the words of the last one; and bits that slice rows."""
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
     ranks = Window.orderBy(F.col("source").asc_nulls_last())
     sizes = sizes.withColumn("source_rank", F.row_number().over(ranks))
     turn = (F.col("source_rank") - 1) % len(WEIGHTS)
     sizes = sizes.withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), (turn + 1).cast("int")))
-    targets = stored(source_targets(sizes), "targets")
-    bits = slice_bits(targets.agg(F.max("_rows")).first()[0] or 0)
+    budget = F.floor(F.col("target") + 0.5)
+    epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
+    shared = source_targets(sizes).withColumn("epochs", epochs)
+    targets = stored(shared.withColumn("rest", budget - F.col("epochs") * F.col("source_size")), "targets")
+    return targets, slice_bits(targets.agg(F.max("_rows")).first()[0] or 0)
+
+
+def mix_sizes(narrow: DataFrame, seed: int = 0) -> DataFrame:
+    """The same for a stored table of ``doc_id``, ``source`` and ``size``; its columns stay."""
+    targets, bits = _targets(narrow)
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))
     head = F.conv(F.substring(key, 1, _KEY_DIGITS), 16, 10).cast("long")
     keyed = narrow.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
     keyed = keyed.withColumn("key", key).withColumn("piece", F.shiftright(head, 4 * _KEY_DIGITS - bits))
     placed = sums_before(keyed, "source_rank", "piece", ["key", "doc_id", "size"], "size", "before")
-    budget = F.floor(F.col("target") + 0.5)
-    epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
-    rest = budget - epochs * F.col("source_size")
-    last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    taken = (epochs * F.col("size") + last).cast("long").alias("taken")
+    last = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before")))
+    taken = (F.col("epochs") * F.col("size") + last).cast("long").alias("taken")
     return placed.select(*narrow.columns, "source_size", "source_rank", "target", taken)
 
 
-def first_words(text: bytes, count: int) -> bytes:
-    """``text`` up to the end of its word number ``count``."""
-    found = islice(_WORD.finditer(text), count - 1, None)
-    return text[: next(found).end()]
+def _cut_after(text: Column, words: Column) -> Column:
+    """``text`` up to the end of its word number ``words``."""
+    rest = F.element_at(F.split(text, r"[^\x20\x09-\x0D]+", words + 1), -1)
+    return F.substr(text, F.lit(1), F.length(text) - F.length(rest))
 
 
 def mixed_documents(
@@ -110,49 +107,53 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: every document as often as the mix takes it, whole or cut after a word.
 
+    In the order of keys a source's last epoch ends inside one document, so one row for each source
+    (full epochs, and where and after how many words the last one ends) decides all: texts are read,
+    compared with the row of their source and written, without a shuffle.
+
     ``columns`` come back; the text of a cut copy ends with its last taken word and its length
     column is counted anew. Documents of which nothing is taken, those without words among them,
-    are left out.
+    are left out. Null texts and sources, null ids and empty tables are as in ``mix_sources``. Rows
+    equal in id and text share what their source takes of them in the last epoch in equal parts,
+    rounded down. Other columns are ignored.
     """
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(f"`{id_column}`").cast("long").cast("string")))
+    text = F.col(f"`{text_column}`").cast("string")
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), text.alias("words"),
+        F.col(f"`{source_column}`").cast("string").alias("source"),
+        F.size(words_of(text)).cast("long").alias("size"),
+        F.struct(key.alias("key"), F.xxhash64(text).alias("digest")).alias("place"),
+    )
+    narrow = stored(keyed.select("source", "size", "place"), "sizes")
+    ends = stored(last_epochs(narrow), "ends")
+    drop(narrow)
+    met = keyed.filter("size > 0").join(ends, F.col("source").eqNullSafe(F.col("_source")))
+    part = F.when(F.col("place") < F.col("end"), F.col("size")).when(F.col("place") == F.col("end"), F.col("part"))
+    whole, part = F.col("epochs") + F.when(part == F.col("size"), 1).otherwise(0), F.coalesce(part, F.lit(0))
+    cut = F.when((part > 0) & (part < F.col("size")), F.array(_cut_after(F.col("words"), part.cast("int"))))
+    copies = F.concat(F.array_repeat("words", whole.cast("int")), F.coalesce(cut, F.array().cast("array<string>")))
+    taken = met.select("row", F.explode(copies).alias("copy"))
     types = dict(docs.dtypes)
-    blocks = repeats.pack_blocks(docs, id_column, text_column, keep=columns)
-
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                block = repeats.Block(batch, i)
-                bounds = arrays.words(block.data, block.offsets)[1]
-                rest = block.rest(columns).combine_chunks()
-                yield from pa.table(
-                    {
-                        "row": pa.array(block.rows()),
-                        "doc_id": pa.array(block.ids, pa.int64()),
-                        "source": rest.column(source_column).cast(pa.string()),
-                        "size": pa.array(np.diff(bounds), pa.int64()),
-                    }
-                ).to_batches()
-
-    narrow = stored(blocks.mapInArrow(sizes, "row long, doc_id long, source string, size long"), "sizes")
-    wanted = mix_sizes(narrow, seed).filter("taken > 0").select("row", "size", "taken")
-
-    def copies(block: repeats.Block, decided: pa.Table) -> pa.Table:
-        rest = block.rest(columns)
-        at, texts = [], []
-        base = int(block.rows()[0]) if len(block.ids) else 0
-        for r in sorted(decided.to_pylist(), key=lambda r: r["row"]):
-            i = r["row"] - base
-            text = block.data[block.offsets[i] : block.offsets[i + 1]].tobytes()
-            whole, part = divmod(r["taken"], r["size"])
-            for copy in [text] * whole + ([first_words(text, part)] if part else []):
-                at.append(i)
-                texts.append(copy.decode())
-        out = rest.take(pa.array(at, pa.int64()))
-        text = pa.array(texts, pa.string())
-        lengths = pa.array([len(t) for t in texts], pa.int64())
-        for name, values in ((text_column, text), (length_column, lengths)):
-            if name in columns:
-                place = out.schema.get_field_index(name)
-                out = out.set_column(place, name, values.cast(out.schema.field(name).type))
-        return out
-
-    return repeats.by_block(blocks, wanted, copies, ", ".join(f"`{c}` {types[c]}" for c in columns))
+    fresh = {text_column: F.col("copy"), length_column: F.length("copy")}
+    return taken.select(*[fresh.get(c, F.col(f"row.`{c}`")).cast(types[c]).alias(c) for c in columns])
+
+
+def last_epochs(narrow: DataFrame) -> DataFrame:
+    """One row per source: ``_source``, full ``epochs``, and the ``end`` of the last one.
+
+    ``narrow`` has ``source``, ``size`` and ``place``, the order of rows. The last epoch takes all
+    places before ``end`` and ``part`` words of each row there.
+    """
+    targets, bits = _targets(narrow)
+    head = F.conv(F.substring("place.key", 1, _KEY_DIGITS), 16, 10).cast("long")
+    rows = narrow.groupBy("source", "place", "size").agg(F.count("*").alias("copies"))
+    rows = rows.withColumn("sum", F.col("size") * F.col("copies"))
+    rows = rows.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+    rows = rows.withColumn("piece", F.shiftright(head, 4 * _KEY_DIGITS - bits))
+    placed = sums_before(rows, "source_rank", "piece", ["place", "size"], "sum", "before")
+    open_ = (F.col("before") < F.col("rest")) & (F.col("rest") <= F.col("before") + F.col("sum"))
+    part = F.floor((F.col("rest") - F.col("before")) / F.col("copies"))
+    ends = placed.filter(open_).select("source_rank", F.col("place").alias("end"), part.alias("part"))
+    every = targets.select("source_rank", F.col("source").alias("_source"), "epochs")
+    return every.join(ends, "source_rank", "left").drop("source_rank")

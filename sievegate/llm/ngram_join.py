@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievegate.llm import arrays, repeats
 from sievegate.llm.components import roots
-from sievegate.llm.shared import stored
+from sievegate.llm.shared import drop, stored
 
 SHINGLE_WORDS = 3
 #: Two sets link when PARTS * intersection >= LINK * union.
@@ -58,7 +58,7 @@ def shingle_sets(block: repeats.Block, words: int = SHINGLE_WORDS) -> list[np.nd
     sets = []
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if hi - lo >= words:
-            found = np.unique(rolled[lo : hi - words + 1])
+            found = arrays.distinct_of(rolled[lo : hi - words + 1])
         elif hi > lo:
             found = arrays.rolling_hashes(hashed[lo:hi], hi - lo, base=2 * (hi - lo) + 0x9E3779B97F4A7C01)
         else:
@@ -190,7 +190,9 @@ def index_entries(blocks: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     told = repeats.ask_levels(blocks, "shingles", counts_of, ranges, KEY_BITS)
     met = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(entries, _ENTRY)
-    return stored(met, "entries")
+    entries = stored(met, "entries")
+    drop(told)
+    return entries
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -308,13 +310,14 @@ def link_classes(entries: DataFrame, rule: Rule = Rule()) -> DataFrame:
     shared = by_sig.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")
     buckets = stored(by_sig.join(shared, "sig", "left_semi"), "buckets")
     labels = stored(buckets.select("row").distinct().withColumn("label", F.col("row")), "labels")
-    tested = None
+    tested, used = None, [sets, buckets]
     for turn in range(HUB_ROUNDS + 1):
         last = turn == HUB_ROUNDS
         now = buckets.join(labels, "row")
         mixed = now.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
         now = stored(now.join(mixed.select("sig"), "sig", "left_semi"), "open")
         if now.isEmpty():
+            drop(now)
             break
         if last:
             pairs = close_pairs(now, sets, rule)
@@ -327,6 +330,8 @@ def link_classes(entries: DataFrame, rule: Rule = Rule()) -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        drop(now)
+        used.append(pairs)
         tested = pairs if tested is None else tested.union(pairs)
         links = verified(pairs, sets, rule)
         ends = [labels.select(F.col("row").alias(c), F.col("label").alias(f"l_{c}")) for c in ("a", "b")]
@@ -335,11 +340,17 @@ def link_classes(entries: DataFrame, rule: Rule = Rule()) -> DataFrame:
             "links",
         )
         if not edges.isEmpty():
-            moved = roots(edges).select(F.col("node").alias("label"), "root")
-            labels = labels.join(moved, "label", "left").select("row", F.coalesce("root", "label").alias("label"))
+            before, moved = labels, roots(edges)
+            to = moved.select(F.col("node").alias("label"), "root")
+            labels = labels.join(to, "label", "left").select("row", F.coalesce("root", "label").alias("label"))
             labels = stored(labels, "labels")
+            drop(before, moved)
+        drop(edges)
+    drop(*used)
     final = labels.select(F.col("row").alias("label"), F.col("label").alias("top"))
-    return members.join(final, "label", "left").select("row", F.coalesce("top", "label").alias("label"))
+    classes = stored(members.join(final, "label", "left").select("row", F.coalesce("top", "label").alias("label")), "classes")
+    drop(members, labels)
+    return classes
 
 
 def join_classes(
@@ -359,16 +370,20 @@ def join_classes(
     a class of null ids only has a null ``component_id``. An empty table gives no rows. Other
     columns are ignored.
     """
-    return block_classes(repeats.pack_blocks(docs, id_column, text_column), Rule(words, link, parts))
+    blocks = repeats.pack_blocks(docs, id_column, text_column)
+    classes = block_classes(blocks, Rule(words, link, parts))
+    drop(blocks)
+    return classes
 
 
 def block_classes(blocks: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """The same for packed documents."""
+    """The same for packed documents; of the tables on the way only those of one row a document stay."""
     if 2 * rule.link**2 <= rule.parts**2:
         raise ValueError("signatures need a similarity above the root of a half")
     entries = index_entries(blocks, rule)
     classes = link_classes(entries, rule)
-    ids = entries.select("row", "doc_id", "n")
+    ids = stored(entries.select("row", "doc_id", "n"), "ids")
+    drop(entries)
     within = classes.join(ids, "row")
     least = within.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     linked = classes.join(least, "label").select("row", "component_id", "label")
@@ -393,7 +408,9 @@ def one_per_class(
     types = dict(docs.dtypes)
     blocks = repeats.pack_blocks(docs, id_column, text_column, keep=columns)
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
-    chosen = block_classes(blocks, Rule(words, link, parts)).groupBy("class").agg(F.min(order).alias("best")).select("best.row")
+    classes = block_classes(blocks, Rule(words, link, parts))
+    chosen = classes.groupBy("class").agg(F.min(order).alias("best")).select("best.row")
+    chosen = stored(chosen, "chosen")
 
     def unpack(block: repeats.Block, decided: pa.Table) -> pa.Table:
         at = np.sort(decided.column("row").to_numpy()) - block.rows()[0]

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievegate.llm.arrays import CHUNK_BYTES, chunks_of, text_bytes
+from sievegate.llm.arrays import CHUNK_BYTES, chunks_of, distinct_of, text_bytes
 from sievegate.llm.shared import stored
 
 # Keys in a range, on average; one task sorts a range at a time.
@@ -309,7 +309,7 @@ def ask(
         rows = sorted(sent.to_pylist(), key=lambda row: row["block"])
         parts = [_expand(row["blob"], row["n"]) for row in rows]
         every = np.sort(np.concatenate(parts))
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        twice = distinct_of(every[1:][every[1:] == every[:-1]])
         taken = np.zeros(len(twice), bool)
         out: dict[str, list] = {"block": [], "round": [], "range": [], "repeated": [], "first": []}
         for row, part in zip(rows, parts, strict=True):

@@ -14,15 +14,15 @@ from sievegate.session import scratch_path
 _SCOPES: list[list[str]] = []
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written once as Parquet below ``spark.checkpoint.dir`` and read back.
 
     Later reads prune columns and never run ``df`` again, so values that depend on the order
-    of rows or on partition numbers are fixed from here on.
+    of rows or on partition numbers are fixed from here on. ``keep`` lets it outlive its scope.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    if _SCOPES:
+    if _SCOPES and not keep:
         _SCOPES[-1].append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path

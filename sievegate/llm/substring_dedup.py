@@ -39,7 +39,7 @@ def remove_repeated_windows(
         return codes, bounds, distinct, np.flatnonzero(whole), hashes[whole]
 
     def keys(block: repeats.Block, _) -> np.ndarray:
-        return np.unique(windows(block)[4])
+        return arrays.distinct_of(windows(block)[4])
 
     def result(block: repeats.Block, answers: repeats.Answers) -> pa.Table:
         codes, bounds, distinct, at, hashes = windows(block)

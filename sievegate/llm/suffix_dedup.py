@@ -113,14 +113,14 @@ def remove_repeated_strings(
         return sort, hashes.of(sort, length), inner
 
     def rank_keys(block: repeats.Block, _) -> np.ndarray:
-        return np.unique(ranks(hashes_of(block), cover_places(block)))
+        return arrays.distinct_of(ranks(hashes_of(block), cover_places(block)))
 
     def stretch_keys(block: repeats.Block, answers: repeats.Answers) -> np.ndarray:
         hashes = hashes_of(block)
-        return np.unique(stretches(block, hashes, repeated_places(block, hashes, answers))[1])
+        return arrays.distinct_of(stretches(block, hashes, repeated_places(block, hashes, answers))[1])
 
     def suffix_keys(block: repeats.Block, answers: repeats.Answers) -> np.ndarray:
-        return np.unique(open_suffixes(block, answers)[1])
+        return arrays.distinct_of(open_suffixes(block, answers)[1])
 
     def result(block: repeats.Block, answers: repeats.Answers) -> pa.Table:
         at, keys, starts = open_suffixes(block, answers)

@@ -13,13 +13,13 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def set_of(text):
+def set_of(text, size=3):
     words = WORD.findall((text or "").translate(LOWER))
-    return {tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def brute(rows):
-    sets = [set_of(text) for _, text in rows]
+def brute(rows, words=3, link=90):
+    sets = [set_of(text, words) for _, text in rows]
     parent = list(range(len(rows)))
 
     def top(i):
@@ -30,7 +30,7 @@ def brute(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and 10 * min(len(a), len(b)) >= 9 * max(len(a), len(b)) and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and 100 * min(len(a), len(b)) >= link * max(len(a), len(b)) and 100 * len(a & b) >= link * len(a | b):
                 parent[top(i)] = top(j)
     smallest = {}
     for i, (doc_id, _) in enumerate(rows):

@@ -1,13 +1,16 @@
 """The stages one by one on small corpora, and the whole run, against plain versions."""
 
+import os
 from collections import Counter, defaultdict
 
 import pytest
 
 import corpus_pipeline
+from sievegate.session import shared_folder
 from test_ngram_join import brute
 from test_quality_secrets import measured, plain_spans
 from test_shares import targets_of
+from test_tokens import checksum, plain
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -36,7 +39,7 @@ def test_quality_stage(tables):
 
 def test_join_stage(tables):
     docs, kept = tables[1], tables[2]
-    want, _ = brute([(r.doc_id, r.text) for r in docs])
+    want, _ = brute([(r.doc_id, r.text) for r in docs], corpus_pipeline.SHINGLE_WORDS, corpus_pipeline.LINK)
     stay = {component for _, _, component in want}
     assert sorted(map(tuple, kept)) == sorted(tuple(r) for r in docs if r.doc_id in stay)
 
@@ -73,21 +76,52 @@ def test_mixing_stage(tables):
         assert len(texts) <= 3 and sum(t != docs[doc_id].text for t in texts) <= 1
 
 
-def test_packing_stage(tables):
-    mixed, pieces = tables[4], tables[5]
-    assert Counter(p.doc_id for p in pieces if p.start == 0) == Counter(r.doc_id for r in mixed)
-    sequences = defaultdict(list)
+def check_packing(mixed, pieces):
+    """Every id of every document lies in one piece, and sequences are full without gaps."""
+    ids_of, documents, sequences = plain("byte_bpe_50k.json"), defaultdict(list), defaultdict(list)
     for p in pieces:
+        documents[p.doc_id, p.doc_tokens].append((p.start, p.length, p.ids_crc32))
         sequences[p.sequence_id].append((p.offset, p.length))
+    want = defaultdict(list)
+    for r in mixed:
+        ids = ids_of(r.text) + [1]
+        want[r.doc_id, len(ids)].append(ids)
+    assert set(want) == set(documents)
+    for key, copies in want.items():
+        found = sorted(documents[key])
+        assert sum(n for _, n, _ in found) == key[1] * len(copies)
+        assert sum(start == 0 for start, _, _ in found) == len(copies)
+        assert set(found) <= {(start, n, checksum(ids[start : start + n])) for ids in copies for start, n, _ in found}
     for parts in sequences.values():
-        assert sorted(parts)[0][0] == 0 and sum(n for _, n in parts) in {1 << i for i in range(12)}
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at in {1 << i for i in range(12)}
+
+
+def test_packing_stage(tables):
+    check_packing(tables[4], tables[5])
 
 
 def test_run_is_the_stages_in_turn(spark, tables):
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
-    got = corpus_pipeline.run(spark, FOLDER).collect()
-    size = lambda rows: (sum(r.length for r in rows), len({(r.doc_id, r.start, r.ids_crc32) for r in rows}))
-    assert size(got)[0] == size(tables[-1])[0]
+    check_packing(tables[4], corpus_pipeline.run(spark, FOLDER).collect())
+    folder = shared_folder(spark)
+    left = {name.rsplit("-", 1)[0] for name in os.listdir(folder)}
+    before = corpus_pipeline.run(spark, FOLDER)
+    assert before.count() and {n.rsplit("-", 1)[0] for n in os.listdir(folder)} == left
+
+
+def test_ties_share_their_words(spark, rows_of):
+    """Rows equal in id and text cannot be told apart: they share the last epoch in equal parts."""
+    rows = [(1, "one two three four five", "a"), (1, "one two three four five", "a"), (2, "six seven", "b"), (3, None, "c")]
+    mixed = corpus_pipeline.mix(spark, rows_of(rows), FOLDER).collect()
+    taken = Counter()
+    for r in mixed:
+        taken[r.source] += len(r.text.split())
+    for source, target in targets_of({"a": 10, "b": 2, "c": 0}).items():
+        assert target - 2 < taken[source] <= target + 0.5
 
 
 ODD = [(1, None, "a"), (2, "", None), (2, "", None), (3, "many words in this text are good enough to stay here " * 2, None),
