@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievegate.llm import mixing, ngram_join, packing, quality, secret_scan
-from sievegate.llm.shared import stored
+from sievegate.llm.shared import drop, scratch, stored
 from sievegate.llm.tokens import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -60,7 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The pieces of the packed corpus. A stage's tables go once its result is stored, that once the next one is."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{number}")
+        with scratch(spark):
+            rows = stage(spark, docs, sf_dir)
+            docs = stored(rows, f"stage-{number}", keep=True)
+        if last is not None:
+            drop(last)
+        last = docs
     return docs
