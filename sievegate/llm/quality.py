@@ -58,16 +58,22 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < WINDOW + 1, F.lit(0)).otherwise(let(hashes, from_hashes)).cast("long")
 
 
+#: Columns that measuring adds.
+MEASURED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "failed")
+
+
 def measurements(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with the measured values that rules look at."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in MEASURED])
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    first = docs.withColumn("_words", words_of(F.col(text_column))).withColumn("_lines", lines)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = docs.select(row.alias("_row"), text.alias("_text"), words_of(F.col(text_column)).alias("_words"), lines.alias("_lines"))
     return first.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        "_row.*",
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
+        F.length(F.regexp_replace("_text", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.size("_lines").cast("long").alias("n_lines"),
         repeated_words(F.col("_words")).alias("n_repeat_words"),
@@ -112,8 +118,8 @@ def ledger(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with measurements and ``failed``, one bit per rule, each evaluated once.
 
     A null or empty text has no words and fails ``too_few_words`` alone. Rows are judged one by one,
-    so repeated rows get equal entries; other columns pass through, but must not bear the name of a
-    measurement. An empty table gives no rows. Nothing is shuffled.
+    so repeated rows get equal entries; other columns pass through, those with the name of a
+    measurement or ``failed`` are replaced. An empty table gives no rows. Nothing is shuffled.
     """
     bits = [F.when(rule.fails, F.lit(1 << bit)).otherwise(F.lit(0)) for bit, rule in enumerate(rules())]
     failed = bits[0]
@@ -146,7 +152,10 @@ def ablation(entries: DataFrame, policy: int = CURRENT) -> DataFrame:
 
 
 def judged(docs: DataFrame, policy: int = CURRENT) -> DataFrame:
-    """The ledger of ``doc_id`` and ``text`` with the base rules' and the policy's verdict."""
+    """The ledger of ``doc_id`` and ``text`` with the base rules' and the policy's verdict.
+
+    Nulls, empty texts, repeated rows and empty tables are as in ``ledger``; a null id stays null.
+    """
     entries = ledger(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     base = F.col("failed").bitwiseAND(F.lit(mask_of(POLICIES[1]))) != 0
     return entries.select(

@@ -27,39 +27,58 @@ CANDIDATE = f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{CANDIDATE_LENGTH},}}"
 #: that train the other. Both bounds hold at any input size.
 SAMPLE_DOCUMENTS, SAMPLE_STRINGS = 2_000, 20_000
 
+#: Code points of the parts that a text is put together from.
+_PART = 1_000
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
+def running(values: Column, combine) -> Column:
+    """For every place of an array, the combination of all values up to it.
+
+    Every step combines with what lies 1, 2, 4, ... places before, so an array of n values takes
+    about n * log(n) steps and no array grows on the way.
+    """
+    last = F.floor(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    shifts = F.transform(F.sequence(F.lit(0), last), lambda k: F.pow(F.lit(2.0), k).cast("int"))
+
+    def step(state: Column, shift: Column) -> Column:
+        return F.transform(state, lambda x, i: combine(x, F.when(i >= shift, F.get(state, i - shift))))
+
+    return F.aggregate(shifts, values, step)
+
+
+def running_sum(values: Column) -> Column:
+    return running(values, lambda x, before: x + F.coalesce(before, F.lit(0)))
+
+
 def _spans(text: Column, pattern: str, rank: int, kind: str, keeps=None, guard: Column | None = None) -> Column:
     """Spans of all matches of ``pattern``, by code point; ``keeps`` judges the matched text.
 
-    The text between matches and the matches themselves, in turn, give every place by their lengths.
+    The text between matches and the matches themselves, in turn, give every place by the running
+    sum of their lengths.
     """
 
     def located(found: Column, between: Column) -> Column:
-        pairs = F.arrays_zip(
-            F.transform(F.slice(between, F.lit(1), F.size(found)), lambda s: F.length(s)).alias("gap"),
-            F.transform(found, lambda m: F.length(m)).alias("size"),
-            found.alias("match"),
-        )
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
-
-        def step(state: Column, x: Column) -> Column:
-            begin = state["at"] + x["gap"]
-            span = F.struct(
-                begin.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
-                (begin + x["size"]).alias("end"),
-            )
-            wanted = F.lit(True) if keeps is None else keeps(x["match"])
-            spans = F.when(wanted, F.array_append(state["spans"], span)).otherwise(state["spans"])
-            return F.struct((begin + x["size"]).alias("at"), spans.alias("spans"))
-
-        return F.aggregate(pairs, start, step, lambda state: state["spans"])
+        sizes = F.transform(found, lambda m: F.length(m))
+        steps = F.zip_with(F.slice(between, F.lit(1), F.size(found)), sizes, lambda gap, size: F.length(gap) + size)
+        return let(running_sum(steps), lambda ends: placed(found, ends))
+
+    def placed(found: Column, ends: Column) -> Column:
+        pairs = F.arrays_zip(found.alias("match"), ends.alias("end"))
+        if keeps is not None:
+            pairs = F.filter(pairs, lambda x: keeps(x["match"]))
+        return F.transform(
+            pairs,
+            lambda x: F.struct(
+                (x["end"] - F.length(x["match"])).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
+                x["end"].alias("end"),
+            ),
+        )
 
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     spans = let(F.struct(found.alias("f"), F.split(text, pattern).alias("b")), lambda x: located(x["f"], x["b"]))
     here = text.rlike(pattern) if guard is None else guard
-    return F.when(here, spans).otherwise(F.array().cast(_SPAN))
+    return F.when(here, spans.cast(_SPAN)).otherwise(F.array().cast(_SPAN))
 
 
 def base_spans(text: Column) -> Column:
@@ -142,29 +161,59 @@ def ordinary_identifiers(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_
 
 
 def labelled_models(docs: DataFrame, labels: DataFrame) -> Models:
+    """Models of random strings and of identifiers from documents labelled as good.
+
+    Labels without a document, and null or empty texts, give no samples; without any sample of a
+    class its steps are all equally likely.
+    """
     return fit_models(random_strings(docs.sparkSession).union(ordinary_identifiers(docs, labels)))
 
 
+def _apart(base: Column, more: Column) -> Column:
+    """Those of ``more`` that touch no span of ``base``; both are sorted, and spans of ``more`` do not overlap.
+
+    Both are merged in the order of starts. A span is touched if a base span before it ends
+    behind its start, or the next base span starts before its end.
+    """
+
+    def judged(every: Column) -> Column:
+        ends = F.transform(every, lambda s: F.when(s["rank"] < 3, s["end"]))
+        starts = F.transform(F.reverse(every), lambda s: F.when(s["rank"] < 3, s["start"]))
+        furthest = running(ends, lambda x, before: F.greatest(x, before))
+        nearest = F.reverse(running(starts, lambda x, before: F.least(x, before)))
+        marked = F.arrays_zip(every.alias("span"), furthest.alias("end"), nearest.alias("start"))
+        alone = F.filter(
+            marked,
+            lambda x: (x["span"]["rank"] == 3)
+            & (F.coalesce(x["end"], F.lit(0)) <= x["span"]["start"])
+            & (F.coalesce(x["start"], x["span"]["end"]) >= x["span"]["end"]),
+        )
+        return F.transform(alone, lambda x: x["span"])
+
+    merged = let(F.array_sort(F.concat(base, more)), judged)
+    return F.when((F.size(base) > 0) & (F.size(more) > 0), merged).otherwise(more)
+
+
 def find_secrets(docs: DataFrame, models: Models, text_column: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``, sorted arrays of (start, rank, kind, end).
 
     To the spans of the fixed patterns come those of candidates, maximal runs of 20 or more known
     characters, whose mean log-likelihood ratio of the two models reaches the threshold and that
-    touch no base span (kind markov). Places count code points, ends are exclusive.
+    touch no base span (kind markov). Places count code points, ends are exclusive. A text with n
+    matches takes about n * log(n) steps.
 
     A null or empty text has no spans. Rows are judged one by one, so repeated rows get equal
-    results; other columns pass through, but must not be called base, spans or end in ``__text``.
-    An empty table gives no rows. Nothing is shuffled.
+    results; other columns pass through, those called base or spans are replaced. An empty table
+    gives no rows. Nothing is shuffled.
     """
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("base", "spans")]
+    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
     likely = lambda m: models.score(m) >= THRESHOLD
-    first = docs.withColumn("__text", text)
+    first = docs.select(F.struct(*kept).alias("__row"), text.alias("__text"))
     first = first.withColumn("base", F.array_sort(base_spans(F.col("__text"))))
     first = first.withColumn("__more", _spans(F.col("__text"), CANDIDATE, 3, "markov", likely))
-    apart = F.filter(
-        "__more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    )
-    return first.withColumn("spans", F.array_sort(F.concat("base", apart))).drop("__text", "__more")
+    spans = F.array_sort(F.concat("base", _apart(F.col("base"), F.col("__more"))))
+    return first.select("__row.*", "base", spans.alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -175,26 +224,49 @@ def joined(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """``text`` with every span, or union of overlapping spans, replaced by ``mark``."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state: Column, s: Column) -> Column:
-        before = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        parts = F.concat(state["parts"], F.array(before, F.lit(mark)))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= state["at"], parts).otherwise(state["parts"]).alias("parts"),
-        )
+    """``text`` with every span, or union of overlapping spans, replaced by ``mark``; ``spans`` are sorted.
 
-    def whole(state: Column) -> Column:
-        rest = F.substring(text, state["at"] + 1, F.length(text))
-        return F.concat(F.array_join(state["parts"], ""), rest)
+    The text is cut into parts of equal length once, and what stays is put together from them.
+    """
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, whole)).otherwise(text)
+    def between(parts: Column, begin: Column, end: Column) -> Column:
+        """The text from ``begin`` to ``end``."""
+        first, last = F.floor(begin / _PART), F.floor(end / _PART)
+        head = lambda n: F.coalesce(F.get(parts, n), F.lit(""))
+        middle = F.array_join(F.slice(parts, (first + 2).cast("int"), F.greatest(last - first - 1, F.lit(0)).cast("int")), "")
+        several = F.concat(
+            F.substr(head(first), (begin % _PART + 1).cast("int")), middle,
+            F.substr(head(last), F.lit(1), (end % _PART).cast("int")),
+        )
+        one = F.substr(head(first), (begin % _PART + 1).cast("int"), (end - begin).cast("int"))
+        return F.when(first == last, one).otherwise(several)
+
+    def whole(x: Column) -> Column:
+        spans, furthest, parts = x["s"], x["e"], x["p"]
+        heads = F.filter(
+            F.transform(spans, lambda s, i: F.when((i == 0) | (s["start"] >= F.get(furthest, i - 1)), i)),
+            lambda i: i.isNotNull(),
+        )
+        kept = F.transform(
+            heads,
+            lambda i: F.concat(
+                between(parts, F.when(i == 0, F.lit(0)).otherwise(F.get(furthest, i - 1)), F.get(spans, i)["start"]),
+                F.lit(mark),
+            ),
+        )
+        return F.concat(F.array_join(kept, ""), between(parts, F.element_at(furthest, -1), x["n"]))
+
+    ends = running(F.transform(spans, lambda s: s["end"]), lambda a, before: F.greatest(a, before))
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PART}}}"), F.lit(0))
+    state = F.struct(spans.alias("s"), ends.alias("e"), parts.alias("p"), F.length(text).alias("n"))
+    return F.when(F.size(spans) > 0, let(state, whole)).otherwise(text)
 
 
 def scan(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document with the numbers of base spans by kind and all spans."""
+    """One row per document with the numbers of base spans by kind and all spans.
+
+    Nulls, empty texts, repeated rows and empty tables are as in ``find_secrets``; a null id stays null.
+    """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = find_secrets(narrow, labelled_models(narrow, labels))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from sievegate.llm import quality, secret_scan
 
@@ -130,3 +132,49 @@ def test_models_tell_held_out_strings_apart(spark, models):
     ordinary = secret_scan.ordinary_identifiers(docs, labels).filter("length(token) >= 20").limit(2_000).collect()
     hit = lambda rows: sum(plain_score(models, r.token) >= secret_scan.THRESHOLD for r in rows) / len(rows)
     assert hit(random_half) > 0.97 and hit(ordinary) < 0.03
+
+
+def test_a_text_with_a_hundred_thousand_matches(spark, rows_of, models):
+    """Time grows little more than in proportion to the matches of one text."""
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rng = random.Random(11)
+    lines = ["".join(rng.choices(base64, k=30)) for _ in range(98_000)] + ["token = abcdefgh12", "a" * 40] * 1_000
+    rng.shuffle(lines)
+    text = "\n".join(lines)
+    frame = rows_of([(1, text), (2, "\n".join(lines[:50]))], 1)
+    started = time.monotonic()
+    found = {r.doc_id: r for r in secret_scan.find_secrets(frame, models).collect()}
+    spent = time.monotonic() - started
+    assert [tuple(s) for s in found[1].spans] == plain_spans(models, text)[1]
+    started = time.monotonic()
+    spans = secret_scan.find_secrets(frame.filter("doc_id = 1"), models)
+    (row,) = spans.select(secret_scan.redacted(F.col("text"), F.col("spans")).alias("t")).collect()
+    out, at = [], 0
+    for start, _, _, end in found[1].spans:
+        if start >= at:
+            out += [text[at:start], "[secret]"]
+        at = max(at, end)
+    assert row.t == "".join(out) + text[at:] and spent < 60 and time.monotonic() - started < 90
+
+
+def test_redaction_of_overlapping_and_far_spans(spark):
+    rng = random.Random(5)
+    for n in (1, 5, 40):
+        text = "".join(rng.choice("aé漢🙂 \n") for _ in range(6_000))
+        spans = sorted((a, 0, "k", min(6_000, a + rng.choice([1, 7, 900, 2_500]))) for a in rng.sample(range(6_000), n))
+        frame = spark.createDataFrame([(text, spans)], "t string, s array<struct<start:int,rank:int,kind:string,end:int>>")
+        out, at = "", 0
+        for start, _, _, end in spans:
+            if start >= at:
+                out += text[at:start] + "[secret]"
+            at = max(at, end)
+        assert frame.select(secret_scan.redacted(F.col("t"), F.col("s"))).first()[0] == out + text[at:]
+
+
+def test_clashing_names_are_replaced(spark, rows_of, models):
+    frame = rows_of([(1, "token = abcdefgh12 and more words")]).selectExpr(
+        "*", "1 AS base", "2 AS spans", "3 AS n_words", "4 AS failed", "5 AS `a.b`", "6 AS __text", "7 AS _words")
+    (row,) = secret_scan.find_secrets(frame, models).collect()
+    assert len(row.base) == 1 and len(row.spans) == 1 and row["a.b"] == 5 and row["__text"] == 6
+    (entry,) = quality.ledger(frame).collect()
+    assert entry.n_words == 6 and entry.failed == 1 and entry["_words"] == 7
