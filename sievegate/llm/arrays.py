@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import secrets
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -189,26 +192,83 @@ def rolling_hashes(values: np.ndarray, length: int, base: int = _GOLDEN) -> np.n
     return mixed(whole)
 
 
+#: Two primes below 2**32: hashes modulo both, side by side, have 64 bits.
+PRIMES = (4294967291, 4294967279)
+
+
+def drawn_bases() -> tuple[int, ...]:
+    """A base for each prime, drawn anew for every run, so nobody can build texts that collide."""
+    return tuple(secrets.randbelow(p - 65536) + 65535 for p in PRIMES)
+
+
+def _modulo(values: np.ndarray, p: int) -> np.ndarray:
+    p = np.uint64(p)  # dividing by one number is fast, numpy's remainder is not
+    return values - values // p * p
+
+
+def prime_hashes(values: np.ndarray, length: int, bases: tuple[int, ...]) -> np.ndarray:
+    """Rabin-Karp hash, modulo both primes, of every window of ``length`` values, mixed.
+
+    The polynomial of a window comes from those of its halves, as in ``rolling_hashes``.
+    """
+    if len(values) < length:
+        return np.zeros(0, np.uint64)
+    both = np.zeros(len(values) - length + 1, np.uint64)
+    for p, base in zip(PRIMES, bases, strict=True):
+        part, span, power = _modulo(values, p), 1, base
+        whole, done, remaining = None, 0, length
+        while remaining:
+            if remaining & 1:
+                if whole is None:
+                    whole, done = part, span
+                else:
+                    whole = _modulo(_modulo(whole[: len(part) - done] * np.uint64(power), p) + part[done:], p)
+                    done += span
+            remaining >>= 1
+            if remaining:
+                part = _modulo(_modulo(part[: len(part) - span] * np.uint64(power), p) + part[span:], p)
+                span, power = span * 2, power * power % p
+        both = (both << np.uint64(32)) | whole
+    return mixed(both)
+
+
+def _powers(base: int, p: int, n: int) -> np.ndarray:
+    """``base`` to the powers 0 to n - 1 modulo p; the worker keeps the longest list of each base."""
+    kept = sys.modules.setdefault("kept_powers", types.ModuleType("kept_powers")).__dict__.setdefault("lists", {})
+    found = kept.get((base, p))
+    if found is None or len(found) < n:
+        if len(kept) >= 2 * len(PRIMES):
+            kept.clear()
+        found, factor = np.ones(1, np.uint64), base
+        while len(found) < n:
+            found = np.concatenate([found, _modulo(found * np.uint64(factor), p)])
+            factor = factor * factor % p
+        found = kept[base, p] = found.astype(np.uint32)
+    return found[:n].astype(np.uint64)
+
+
 class PlaceHashes:
-    """Rabin-Karp hashes modulo 2**64 of windows of any length at chosen places, mixed.
+    """Rabin-Karp hashes, modulo both primes, of windows of any length at chosen places, mixed.
 
     Prefix sums of value times power give each window's polynomial; multiplying by the inverse
     power makes equal windows agree wherever they start.
     """
 
-    def __init__(self, values: np.ndarray, base: int = _GOLDEN):
-        n = len(values)
-        inverse = pow(base, -1, 1 << 64)
-        powers = np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)
-        powers *= values
-        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(powers, dtype=np.uint64)])
-        self._inverse = np.cumprod(np.full(n, inverse, np.uint64), dtype=np.uint64)
+    def __init__(self, values: np.ndarray, bases: tuple[int, ...]):
+        n, self._tables = len(values), []
+        for p, base in zip(PRIMES, bases, strict=True):
+            terms = _modulo(_modulo(values, p) * _powers(base, p, n), p)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+            self._tables.append((p, sums, pow(base, -1, p)))
+        self._n = n
 
     def of(self, places: np.ndarray, length: int) -> np.ndarray:
-        sums = self._sums[places + length]
-        sums -= self._sums[places]
-        sums *= self._inverse[places]
-        return mixed(sums)
+        both = np.zeros(len(places), np.uint64)
+        for p, sums, inverse in self._tables:
+            window = _modulo(sums[places + length] - sums[places], p)
+            window = _modulo(window * _powers(inverse, p, self._n)[places], p)
+            both = (both << np.uint64(32)) | window
+        return mixed(both)
 
 
 def inside(offsets: np.ndarray, length: int, n: int) -> np.ndarray:

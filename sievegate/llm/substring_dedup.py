@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import secrets
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,9 @@ def remove_repeated_windows(
     Words are runs of characters other than space and \\x09-\\x0D. A Rabin-Karp hash is taken of
     every window of ``window`` words inside one document; all hashes are counted over the whole
     corpus, a window counts as repeated when its hash starts at another place too, and overlapping
-    repeated windows merge into maximal removal intervals (``n_spans``). Hashes have 64 bits: among
-    n windows two different ones agree with probability about n * n / 2**65.
+    repeated windows merge into maximal removal intervals (``n_spans``). Hashes are taken modulo two
+    primes with bases drawn anew for every run, so no text can be built that collides; their 64 bits
+    make any two of n different windows agree with a probability of about n * n / 2**65.
 
     Null and empty texts have no words and keep the empty text; a text shorter than the window
     loses nothing; repeated rows (same id too) repeat each other's windows and give one row each; a
@@ -32,9 +34,11 @@ def remove_repeated_windows(
     blocks = repeats.pack_blocks(docs, id_column, text_column)
     ranges = repeats.range_count(blocks, 1 / 6)
 
+    bases, seed = arrays.drawn_bases(), secrets.randbits(64)
+
     def windows(block: repeats.Block):
         codes, bounds, distinct = arrays.words(block.data, block.offsets)
-        hashes = arrays.rolling_hashes(arrays.hash_words(distinct)[codes], window)
+        hashes = arrays.prime_hashes(arrays.hash_words(distinct, seed)[codes], window, bases)
         whole = arrays.inside(bounds, window, len(hashes))
         return codes, bounds, distinct, np.flatnonzero(whole), hashes[whole]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import secrets
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,10 @@ def remove_repeated_strings(
 ) -> DataFrame:
     """One row per document with the bytes left after removing every repeated string of ``length``.
 
-    The suffixes of all texts are sorted blockwise, one bucket (a range of sort keys) at a time,
-    where neighbours with an equal key of ``length`` bytes are repeats. Only equality of the first
-    ``length`` bytes matters, so the sort key is their 64-bit rolling hash. Three rounds keep the
-    number of sorted suffixes small:
+    Blockwise, one bucket (a range of keys) at a time, suffixes are sorted by a key, and neighbours
+    with an equal key are repeats. Only equality of the first ``length`` bytes matters, so the key is
+    their 64-bit rolling hash and not the bytes: suffixes are counted, never put in the order of
+    their text. Three rounds keep the number of sorted suffixes small:
 
     1. Suffixes at the places of a difference cover (period 73, nine places) are ranked by their
        first ``length - 72`` bytes. Two equal strings of ``length`` bytes have, for some shift below
@@ -40,7 +41,8 @@ def remove_repeated_strings(
     3. The remaining suffixes near the ends of repeated stretches, and those of the stretches'
        representatives, are sorted by their key.
 
-    Two different strings share a 64-bit key with probability about n * n / 2**65.
+    Keys are hashes modulo two primes with bases drawn anew for every run, so no text can be built
+    that collides; any two of n different strings agree with a probability of about n * n / 2**65.
 
     Null and empty texts have no bytes; a text shorter than ``length`` loses nothing; repeated rows
     (same id too) repeat each other and give one row each; a null id stays null. An empty table
@@ -53,10 +55,11 @@ def remove_repeated_strings(
     few = repeats.range_count(blocks, len(COVER) / PERIOD)
     some = repeats.range_count(blocks, 0.05)
     many = repeats.range_count(blocks, 0.15)
-    letters = arrays.mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    bases = arrays.drawn_bases()
+    letters = np.random.default_rng(secrets.randbits(64)).integers(1, min(arrays.PRIMES), 256, dtype=np.uint64)
 
     def hashes_of(block: repeats.Block) -> arrays.PlaceHashes:
-        return arrays.PlaceHashes(letters[block.data])
+        return arrays.PlaceHashes(letters[block.data], bases)
 
     def cover_places(block: repeats.Block) -> np.ndarray:
         """Places of the cover, counted from the start of each document, that have a rank."""

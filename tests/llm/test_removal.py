@@ -88,3 +88,22 @@ def test_repeated_rows_and_no_rows(rows_of):
     assert sorted(r.n_removed for r in remove_repeated_strings(twice).collect()) == [0, removed, removed]
     assert remove_repeated_windows(twice.limit(0)).count() == 0
     assert remove_repeated_strings(twice.limit(0)).count() == 0
+
+
+def thue_morse(first, second, n=32):
+    order = [bin(i).count("1") % 2 for i in range(n)]
+    return [[(first, second)[x ^ flip] for x in order] for flip in (0, 1)]
+
+
+def test_structured_words_that_occur_once_stay(rows_of):
+    """Such orders collide under any polynomial modulo a power of two."""
+    one, other = thue_morse("4a130e", "594a7c")
+    rows = [(i, " ".join([*words, "three", "shared", "words"])) for i, words in enumerate((one, other))]
+    assert [r.n_removed for r in remove_repeated_windows(rows_of(rows)).collect()] == [0, 0]
+
+
+def test_structured_bytes_that_occur_once_stay(rows_of):
+    one, other = thue_morse("P45e", "iQqB")
+    rows = [(i, "xy"[i] + "".join(blocks) + "t" * 72) for i, blocks in enumerate((one, other))]
+    assert all(len(text) == 201 for _, text in rows)
+    assert [r.n_removed for r in remove_repeated_strings(rows_of(rows)).collect()] == [0, 0]
