@@ -352,6 +352,34 @@ def method_comparison_scores(spark, d):
     return found.select("method", "n", *rounded, inside.alias("inside"), "p50")
 
 
+@query(
+    "method_summary_full",
+    t.with_tables(
+        "predictions",
+        """SELECT method, class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support,
+        total AS confused, total AS binned, true AS inside
+        FROM f1s JOIN (SELECT method, count(*) AS total FROM predictions GROUP BY method) USING (method)""",
+        _SCORED,
+    ),
+)
+def method_summary_full(spark, d):
+    """The stored summary opened up: scores and intervals by class, and what the matrix and the bins add up to."""
+    found = scoring.full_summary(t.predictions(spark, d))
+    total = lambda array, field: F.aggregate(
+        F.transform(array, lambda x: x[field]), F.lit(0).cast("bigint"), lambda a, x: a + x
+    )
+    rows = found.select(
+        "method", total("confusion", "n").alias("confused"), total("bins", "count").alias("binned"),
+        F.explode("classes").alias("c"),
+    ).select("method", "confused", "binned", "c.*")
+    holds = lambda c: F.coalesce(F.col(c).between(F.col(f"{c}_lo") - 1e-9, F.col(f"{c}_hi") + 1e-9), F.lit(True))
+    rounded = [F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")]
+    return rows.select(
+        "method", "class", *rounded, "support", "confused", "binned",
+        (holds("precision") & holds("recall")).alias("inside"),
+    )
+
+
 @query("method_comparison")
 def method_comparison(spark, d):
     return scoring.method_summary(t.predictions(spark, d))

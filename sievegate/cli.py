@@ -18,8 +18,12 @@ def _sweep(spark, a):
     """Hashed vectors of the frozen queries against the stored chunks, every variant."""
     _, chunks = index.read_index(spark, a.index)
     frozen = files.read_frozen_queries(spark, a.queries)
-    asked = hashed_vectors(frozen, "text", a.dim).select("qid", "vector", "relevant_doc")
-    scores = bench.sweep_scores(bench.VARIANTS, {"prompted": asked, "plain": asked}, chunks, a.dim)
+    prompted = frozen.withColumn("text", F.concat(F.lit(bench.QUERY_PROMPT), "text"))
+    asked = {
+        name: hashed_vectors(rows, "text", a.dim).select("qid", "vector", "relevant_doc")
+        for name, rows in (("prompted", prompted), ("plain", frozen))
+    }
+    scores = bench.sweep_scores(bench.VARIANTS, asked, chunks, a.dim)
     summary = bench.sweep_summary(scores)
     files.write_rows(summary, a.out)
     return [r.asDict() for r in spark.read.json(a.out).collect()]

@@ -1,107 +1,297 @@
-"""Approximate nearest-neighbour join with random-hyperplane bands.
+"""Approximate and certified nearest-neighbour join over an inverted file.
 
-Vectors whose signs agree on all hyperplanes of a band share a bucket; only bucket mates
-are compared. Buckets of any size are cut into cells of bounded size, and a cell emits its
-winners, never its pairs. Queries that end up with fewer than k items are answered by the
-exact join, so nothing is missing, only the order of far neighbours may be approximate.
+A coarse quantiser, fitted on a bounded sample, puts every item into the cell of its nearest
+centre. The index keeps items sorted by cell, and for every cell the widest and the mean angle
+between its centre and its items. A query looks into cells in the order of their angles, first
+into a share of them, and then, round by round, into as many more as its k-th distance asks for:
+
+* Angles obey the triangle inequality, so no item of a cell is nearer than the angle to its
+  centre less the widest angle. Once that exceeds the k-th angle for all cells not looked into,
+  the result is certified to be exact.
+* Sooner than that, the number of nearer items expected in those cells falls below a share
+  ``miss`` of k. Seen from its centre, an item lies in any direction; in many dimensions most of
+  them are nearly at right angles to the query, which gives the chance that it is near enough.
+
+Rounds carry only the queries that want more cells. Cells of any size are cut into tiles and a
+tile emits its winners, never its pairs. The distances, ties and errors are those of
+``neighbors``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievegate.operators.neighbors import (
     TILE_ITEMS,
     TILE_QUERIES,
     _local_schema,
+    _matrix,
     join_cells,
     merge_winners,
-    nearest_items,
 )
 from sievegate.session import cut_lineage
 
+#: Items that the quantiser is fitted on, chosen by a hash of their id: a bound at any input size.
+SAMPLE_ITEMS = 20_000
+#: Cells grow with the root of the number of items, up to a share of the sample.
+MOST_CELLS = SAMPLE_ITEMS // 4
+_STEPS = 12
+#: Share of all cells, and number of cells at least, that a query looks into first.
+FIRST_SHARE, FIRST_LEAST = 0.1, 4
+#: Share of the k nearest items that a search may expect to miss.
+MISS = 0.1
+_QUERIES = 2_000  # queries that a task compares with all centres at once
+_SLACK = 1e-6  # angles that close count as equal, so rounding never certifies too early
 
-def band_buckets(vector: Column, dim: int, bands: int, planes: int, seed: int) -> Column:
-    """``array<bigint>`` with one bucket number per band."""
-    normals = np.random.default_rng(seed).standard_normal((dim, bands * planes))
-    powers = 1 << np.arange(planes)
 
-    @F.pandas_udf("array<bigint>")
-    def buckets(vectors: pd.Series) -> pd.Series:
-        if vectors.empty:
-            return pd.Series([], dtype=object)
-        signs = np.stack(vectors.to_numpy()).astype(np.float64) @ normals > 0
-        codes = signs.reshape(len(vectors), bands, planes) @ powers
-        return pd.Series(list(codes.astype(np.int64)), index=vectors.index)
+def _unit(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of the rows that have a direction, and which rows these are."""
+    if not np.isfinite(vectors).all():
+        raise ValueError("non-finite value in a vector")
+    lengths = np.linalg.norm(vectors, axis=1)
+    kept = np.flatnonzero(lengths > 0)
+    return vectors[kept] / lengths[kept, None], kept
 
-    return buckets(vector)
 
+def _with(df: DataFrame, *more: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([*df.schema.fields, *(T.StructField(name, kind) for name, kind in more)])
 
-def approximate_items(
-    queries: DataFrame,
-    items: DataFrame,
-    k: int,
-    dim: int,
-    *,
-    query_id: str = "qid",
-    query_vector: str = "vector",
-    item_id: str = "chunk_id",
-    item_vector: str = "embedding",
-    bands: int = 8,
-    planes: int = 6,
-    seed: int = 7,
-    tile_queries: int = TILE_QUERIES,
-    tile_items: int = TILE_ITEMS,
-) -> DataFrame:
-    """``query_id, item_id, distance, rank, approximate`` with k rows per query."""
-    cell = ["_band", "_bucket"]
-
-    def spread(df: DataFrame) -> DataFrame:
-        codes = band_buckets(F.col("_vector"), dim, bands, planes, seed)
-        banded = df.withColumn("_codes", codes)
-        # Outer: a plain explode would evaluate the codes twice.
-        return banded.select(*df.columns, F.posexplode_outer("_codes").alias("_band", "_bucket"))
-
-    left = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).alias("_vector"))
-    left = spread(left.filter(F.col("_vector").isNotNull()))
-    right = items.select(item_id, F.col(item_vector).alias("_vector"))
-    right = spread(right.filter(F.col("_vector").isNotNull()))
-    query_sizes = left.groupBy(*cell).agg(
-        F.ceil(F.count(F.lit(1)) / tile_queries).cast("int").alias("_nq")
-    )
-    item_sizes = right.groupBy(*cell).agg(
-        F.ceil(F.count(F.lit(1)) / tile_items).cast("int").alias("_ni")
-    )
-    grid = query_sizes.join(item_sizes, cell)  # buckets on both sides
-    whole = F.lit(0)
-    left = left.join(grid, cell).select(
-        *left.columns,
+
+def fit_centres(sample: np.ndarray, cells: int, seed: int = 7) -> np.ndarray:
+    """Unit centres of at most ``cells`` groups of directions (spherical k-means)."""
+    unit, _ = _unit(sample)
+    if not len(unit):
+        return np.zeros((0, sample.shape[1]))
+    rng = np.random.default_rng(seed)
+    centres = unit[rng.permutation(len(unit))[:cells]]
+    for _ in range(_STEPS):
+        nearest = (unit @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, unit)
+        lengths = np.linalg.norm(sums, axis=1)
+        filled = lengths > 0
+        centres = centres.copy()
+        centres[filled] = sums[filled] / lengths[filled, None]
+    return centres
+
+
+@dataclass(frozen=True)
+class Cells:
+    """What a query must know to choose cells."""
+
+    centres: np.ndarray
+    radii: np.ndarray
+    means: np.ndarray
+    sizes: np.ndarray
+    dim: int
+
+
+@dataclass(frozen=True)
+class InvertedFile:
+    """Items by cell, and the cells."""
+
+    cells: Cells
+    items: DataFrame  # kept columns, _vector, _cell
+    item_id: str
+    kept: tuple[str, ...]
+
+
+def build_index(
+    items: DataFrame, dim: int, *, item_id: str = "chunk_id", item_vector: str = "embedding",
+    carry: Sequence[str] = (), cells: int | None = None, seed: int = 7,
+) -> InvertedFile:
+    """Fits the quantiser, assigns every item to a cell and stores the items sorted by cell.
+
+    Null and zero vectors have no direction and are left out. What comes to the driver is the
+    sample and one row for each cell.
+    """
+    kept = tuple(dict.fromkeys([item_id, *carry]))
+    rows = items.select(*kept, F.col(item_vector).alias("_vector"))
+    known = rows.filter(F.col("_vector").isNotNull())
+    if cells is None:
+        cells = int(np.ceil(np.sqrt(max(1, known.count()))))
+    sample = known.orderBy(F.xxhash64(F.col(item_id), F.lit(seed)), item_id).limit(SAMPLE_ITEMS)
+    centres = fit_centres(_matrix(sample.select("_vector").toArrow().column(0), dim), min(cells, MOST_CELLS), seed)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column("_vector").is_valid())
+            unit, kept_rows = _unit(_matrix(batch.column("_vector"), dim))
+            cosine = unit @ centres.T
+            cell = cosine.argmax(axis=1) if len(centres) else np.zeros(len(unit), np.int64)
+            angle = np.arccos(np.clip(np.take_along_axis(cosine, cell[:, None], 1)[:, 0], -1, 1))
+            taken = batch.take(pa.array(kept_rows))
+            yield pa.RecordBatch.from_arrays(
+                [*taken.columns, pa.array(cell, pa.int32()), pa.array(angle, pa.float64())],
+                names=[*taken.schema.names, "_cell", "_angle"],
+            )
+
+    layout = _with(rows, ("_cell", T.IntegerType()), ("_angle", T.DoubleType()))
+    placed = rows.mapInArrow(assign, layout).repartitionByRange("_cell", item_id).sortWithinPartitions("_cell")
+    placed = cut_lineage(placed)
+    radii, means, sizes = np.zeros(len(centres)), np.zeros(len(centres)), np.zeros(len(centres), np.int64)
+    each = (F.max("_angle").alias("r"), F.avg("_angle").alias("m"), F.count(F.lit(1)).alias("n"))
+    for row in placed.groupBy("_cell").agg(*each).collect():
+        radii[row["_cell"]], means[row["_cell"]], sizes[row["_cell"]] = row["r"], row["m"], row["n"]
+    return InvertedFile(Cells(centres, radii, means, sizes, dim), placed.drop("_angle"), item_id, kept)
+
+
+def first_cells(index: InvertedFile, share: float, least: int) -> int:
+    n = len(index.cells.centres)
+    return min(n, max(least, int(np.ceil(share * n))))
+
+
+def _in_order(cells: Cells, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each query all cells in the order of looking, and their angles in that order."""
+    angle = np.arccos(np.clip(vectors @ cells.centres.T, -1, 1))
+    order = np.argsort(angle, axis=1, kind="stable")
+    return order, np.take_along_axis(angle, order, 1)
+
+
+def _may_hold(cells: Cells, order: np.ndarray, angle: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Cells that may hold an item as near as ``reach``."""
+    return (cells.sizes[order] > 0) & (angle - cells.radii[order] <= reach[:, None] + _SLACK)
+
+
+def _expected(cells: Cells, order: np.ndarray, angle: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Number of items nearer than ``reach`` to expect in each cell."""
+    mean = cells.means[order]
+    across = np.maximum(np.sin(angle) * np.sin(mean), 1e-9)
+    x = (np.cos(np.minimum(reach, np.pi))[:, None] - np.cos(angle) * np.cos(mean)) / across * np.sqrt(max(1, cells.dim - 1))
+    # the tail of the normal distribution, to within a few hundredths of itself
+    far = np.minimum(np.abs(x), 30.0)
+    tail = 0.5 * np.exp(-0.717 * far - 0.416 * far * far)
+    chance = np.where(x >= 0, tail, 1 - tail)
+    return cells.sizes[order] * chance * _may_hold(cells, order, angle, reach)
+
+
+def _plan(queries: DataFrame, cells: Cells, wanted: float) -> DataFrame:
+    """``queries`` with ``_next``: cells to have looked into after the next round.
+
+    Enough that fewer than ``wanted`` items are expected beyond them; with 0, that none may be there.
+    Queries have ``_query, _vector, _seen`` and ``_reach``, the angle of the k-th item found (null
+    while there are fewer).
+    """
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, _QUERIES):
+                batch = whole.slice(start, _QUERIES)
+                unit, kept = _unit(_matrix(batch.column("_vector"), cells.dim))
+                batch = batch.take(pa.array(kept))
+                order, angle = _in_order(cells, unit)
+                reach = batch.column("_reach").fill_null(np.inf).to_numpy()
+                left = _expected(cells, order, angle, reach) if wanted else _may_hold(cells, order, angle, reach)
+                beyond = np.cumsum(left[:, ::-1], axis=1)[:, ::-1]
+                more = (beyond > wanted).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(more, pa.int32())], names=[*batch.schema.names, "_next"])
+
+    return queries.mapInArrow(plan, _with(queries, ("_next", T.IntegerType())))
+
+
+def _probes(queries: DataFrame, cells: Cells) -> DataFrame:
+    """One row per query and cell to look into: those from ``_seen`` to ``_next`` that may hold something nearer."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, _QUERIES):
+                batch = whole.slice(start, _QUERIES)
+                unit, kept = _unit(_matrix(batch.column("_vector"), cells.dim))
+                batch = batch.take(pa.array(kept))
+                order, angle = _in_order(cells, unit)
+                place = np.arange(order.shape[1])
+                low, high = (batch.column(c).to_numpy()[:, None] for c in ("_seen", "_next"))
+                reach = batch.column("_reach").fill_null(np.inf).to_numpy()
+                row, at = np.nonzero((place >= low) & (place < high) & _may_hold(cells, order, angle, reach))
+                taken = batch.select(["_query", "_vector"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [*taken.columns, pa.array(order[row, at], pa.int32())], names=["_query", "_vector", "_cell"]
+                )
+
+    layout = _with(queries.select("_query", "_vector"), ("_cell", T.IntegerType()))
+    return queries.select("_query", "_vector", "_seen", "_next", "_reach").mapInArrow(choose, layout)
+
+
+def _look(probes: DataFrame, index: InvertedFile, layout, k: int, tile_queries: int, tile_items: int) -> DataFrame:
+    """Winners of every query in its cells; large cells and cells asked by many queries are cut into tiles."""
+    query_sizes = probes.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / tile_queries).cast("int").alias("_nq"))
+    counts = [(int(c), int(-(-n // tile_items))) for c, n in enumerate(index.cells.sizes) if n]
+    item_sizes = probes.sparkSession.createDataFrame(counts, "_cell int, _ni int")
+    grid = query_sizes.join(item_sizes, "_cell")  # at most one row for each cell
+    left = probes.join(grid, "_cell").select(
+        *probes.columns,
         F.pmod(F.xxhash64("_query"), F.col("_nq")).cast("int").alias("_qt"),
-        F.explode(F.sequence(whole, F.col("_ni") - 1)).alias("_it"),
+        F.explode(F.sequence(F.lit(0), F.col("_ni") - 1)).alias("_it"),
     )
-    right = right.join(grid, cell).select(
-        *right.columns,
-        F.explode(F.sequence(whole, F.col("_nq") - 1)).alias("_qt"),
-        F.pmod(F.xxhash64(item_id), F.col("_ni")).cast("int").alias("_it"),
+    right = index.items.join(grid, "_cell").select(
+        *index.items.columns,
+        F.explode(F.sequence(F.lit(0), F.col("_nq") - 1)).alias("_qt"),
+        F.pmod(F.xxhash64(index.item_id), F.col("_ni")).cast("int").alias("_it"),
     )
-    layout = _local_schema(queries, items, query_id, [item_id])
-    winners = join_cells(left, right, [*cell, "_qt", "_it"], layout, [item_id], dim, k, None)
-    # The same item can win in several bands.
-    merged = winners.groupBy("_query", item_id).agg(F.min("_units").alias("_units"))
-    found = cut_lineage(merge_winners(merged, query_id, item_id, None, k))
-    full = found.groupBy(query_id).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
-    short = queries.join(full.select(query_id), query_id, "left_anti")
-    exact = nearest_items(
-        short, items, k, dim, query_id=query_id, query_vector=query_vector, item_id=item_id,
-        item_vector=item_vector, tile_queries=tile_queries, tile_items=tile_items,
+    return join_cells(left, right, ["_cell", "_qt", "_it"], layout, list(index.kept), index.cells.dim, k, None)
+
+
+def search_index(
+    queries: DataFrame, index: InvertedFile, k: int, *, query_id: str = "qid", query_vector: str = "vector",
+    miss: float = MISS, rounds: int | None = None, share: float = FIRST_SHARE, least: int = FIRST_LEAST,
+    tile_queries: int = TILE_QUERIES, tile_items: int = TILE_ITEMS,
+) -> DataFrame:
+    """``query_id, item_id, carry..., distance, rank, certified`` with the k nearest items found per query.
+
+    With ``miss=0`` a query goes on until its result is certified, which gives the result of the
+    exact join; ``rounds`` ends a search early. Queries whose vector is null or zero have no
+    neighbours; a query with fewer than k items looks into all cells, if rounds allow.
+    """
+    cells, first = index.cells, first_cells(index, share, least)
+    layout = _local_schema(queries.withColumnRenamed(query_id, "_query"), index.items, "_query", list(index.kept))
+    asked = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).alias("_vector"))
+    asked = asked.filter(F.col("_vector").isNotNull())
+    state = asked.select(
+        "*", F.lit(0).alias("_seen"), F.lit(None).cast("double").alias("_reach"), F.lit(first).alias("_next")
     )
-    return (
-        found.join(full.select(query_id), query_id, "left_semi")
-        .withColumn("approximate", F.lit(True))
-        .unionByName(exact.withColumn("approximate", F.lit(False)))
+    found, done, turn = None, None, 0
+    while True:
+        won = _look(_probes(state, cells), index, layout, k, tile_queries, tile_items)
+        if found is not None:
+            won = won.unionByName(found)
+        best = merge_winners(won, "_query", index.item_id, None, k)
+        # as local winners again, for the next round
+        units = F.round(F.col("distance") * 1e9).cast("long").alias("_units")
+        found = cut_lineage(best.select(*index.kept, "_query", units))
+        reach = found.groupBy("_query").agg(F.count(F.lit(1)).alias("_n"), F.max("_units").alias("_far"))
+        angle = F.when(F.col("_n") >= k, F.acos(F.greatest(F.lit(-1.0), 1 - F.col("_far") / 1e9)))
+        seen = state.select("_query", "_vector", F.col("_next").alias("_seen")).join(reach, "_query", "left")
+        state = cut_lineage(_plan(seen.select("_query", "_vector", "_seen", angle.alias("_reach")), cells, miss * k))
+        turn += 1
+        over = state.filter(F.col("_next") <= F.col("_seen")) if turn != rounds else state
+        done = over.drop("_next") if done is None else done.unionByName(over.drop("_next"))
+        state = state.filter(F.col("_next") > F.col("_seen"))
+        if turn == rounds or state.isEmpty():
+            break
+    sure = _plan(done, cells, 0).select(F.col("_query").alias(query_id), (F.col("_next") <= F.col("_seen")).alias("certified"))
+    return merge_winners(found, query_id, index.item_id, None, k).join(sure, query_id)
+
+
+def approximate_items(
+    queries: DataFrame, items: DataFrame, k: int, dim: int, *, query_id: str = "qid", query_vector: str = "vector",
+    item_id: str = "chunk_id", item_vector: str = "embedding", carry: Sequence[str] = (), miss: float = MISS,
+    rounds: int | None = None, share: float = FIRST_SHARE, least: int = FIRST_LEAST, cells: int | None = None, seed: int = 7,
+    tile_queries: int = TILE_QUERIES, tile_items: int = TILE_ITEMS,
+) -> DataFrame:
+    """Builds an index of the items and searches it; see ``build_index`` and ``search_index``."""
+    index = build_index(
+        items, dim, item_id=item_id, item_vector=item_vector, carry=carry, cells=cells, seed=seed
+    )
+    return search_index(
+        queries, index, k, query_id=query_id, query_vector=query_vector, miss=miss, rounds=rounds, share=share, least=least,
+        tile_queries=tile_queries, tile_items=tile_items,
     )
 
 

@@ -8,7 +8,6 @@ its rows' weights. A 0/1 metric over a billion rows is therefore two histogram r
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -18,6 +17,41 @@ from pyspark.sql import types as T
 
 RESAMPLES = 1000
 LEVEL = 0.95
+_TOGETHER = 2048  # values that are drawn for at once
+_TABLED = 32  # counts up to which weights come from a table of the distribution
+
+
+def _uniform(seeds: np.ndarray, resamples: int) -> np.ndarray:
+    """Numbers in (0, 1), a row for each seed: the mixed sum of seed and counter (splitmix64)."""
+    steps = np.arange(1, resamples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = seeds.astype(np.int64).view(np.uint64)[:, None] + steps
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+
+
+def _distribution(n: int) -> np.ndarray:
+    """The cumulative Poisson distribution with mean n, as far as it is below one."""
+    total, term, out, i = 0.0, float(np.exp(-n)), [], 0
+    while i <= n or term > 1e-18:
+        total += term
+        out.append(total)
+        i += 1
+        term *= n / i
+    return np.array(out)
+
+
+def weights_of(counts: np.ndarray, seeds: np.ndarray, resamples: int) -> np.ndarray:
+    """Poisson weights, a row for each value: its count is the mean, its seed fixes the draws."""
+    out = np.empty((len(counts), resamples))
+    for n in np.unique(counts[counts <= _TABLED]):
+        rows = np.flatnonzero(counts == n)
+        out[rows] = np.searchsorted(_distribution(int(n)), _uniform(seeds[rows], resamples))
+    for row in np.flatnonzero(counts > _TABLED):
+        generator = np.random.Generator(np.random.Philox(int(seeds[row]) & (2**64 - 1)))
+        out[row] = generator.poisson(counts[row], resamples)
+    return out
 
 
 def bootstrap_mean(
@@ -50,15 +84,16 @@ def bootstrap_mean(
         """Partial sums per group and partition, one slot per resample."""
         sums: dict[tuple, np.ndarray] = {}
         for pdf in batches:
-            names = zip(*(pdf[g] for g in groups), strict=True) if groups else repeat((), len(pdf))
-            for key, v, n, s in zip(names, pdf["_v"], pdf["_n"], pdf["_seed"], strict=True):
-                weights = np.random.Generator(np.random.Philox(s & (2**64 - 1))).poisson(n, resamples)
-                if key not in sums:
-                    sums[key] = np.zeros((2, resamples))
-                sums[key] += weights * np.array([[v], [1.0]])
-                if len(sums) >= 4096:
-                    yield _rows(sums)
-                    sums = {}
+            parts = pdf.groupby(list(groups), sort=False, dropna=False) if groups else [((), pdf)]
+            for key, part in parts:
+                found = sums.setdefault(key, np.zeros((2, resamples)))
+                for first in range(0, len(part), _TOGETHER):
+                    some = part.iloc[first : first + _TOGETHER]
+                    weights = weights_of(some["_n"].to_numpy(), some["_seed"].to_numpy(), resamples)
+                    found += np.stack([some["_v"].to_numpy(), np.ones(len(some))]) @ weights
+            if len(sums) >= 4096:
+                yield _rows(sums)
+                sums = {}
         if sums:
             yield _rows(sums)
 

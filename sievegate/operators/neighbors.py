@@ -33,26 +33,31 @@ TILE_ITEMS = 200_000
 _UNITS = 10**9  # distances are ranked as integers of this resolution
 _MATRIX_CELLS = 4_000_000
 _FREE = 4 * _UNITS  # farther than any item
-_STATE_BYTES = 256 << 20  # places of the running winners of one group in one task
+_STATE_BYTES = 256 << 20  # places of the running winners in one task, which holds one group at a time
+_TOGETHER_BYTES = 32 << 20  # items that are ranked together
+
+
+def _unit_queries(ids: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors of the queries that have a direction."""
+    if not np.isfinite(matrix).all():
+        raise ValueError("non-finite value in a query vector")
+    lengths = np.linalg.norm(matrix, axis=1)
+    usable = lengths > 0
+    return ids[usable], matrix[usable] / lengths[usable, None]
 
 
 class _Nearest:
-    """Running k nearest items per (group, query) of one task.
+    """Running k nearest items per query of one task (and of one group, where items have groups).
 
-    Each group holds a dense array of k places per query, so a task hands on at most k rows
-    per query and group, once, whatever the number of items it has seen.
+    A dense array of k places per query, so a task hands on at most k rows per query and group,
+    once, whatever the number of items it has seen.
     """
 
-    def __init__(self, query_ids: np.ndarray, query_matrix: np.ndarray, k: int, group: str | None):
-        if not np.isfinite(query_matrix).all():
-            raise ValueError("non-finite value in a query vector")
-        lengths = np.linalg.norm(query_matrix, axis=1)
-        usable = lengths > 0
-        self.ids = query_ids[usable]
-        self.matrix = query_matrix[usable] / lengths[usable, None]
-        self.k, self.group = k, group
-        # per group: distances in units and rows of ``payload``, _FREE where a place is free
-        self.best: dict[object, tuple[np.ndarray, np.ndarray]] = {}
+    def __init__(self, ids: np.ndarray, matrix: np.ndarray, k: int):
+        self.ids, self.matrix, self.k = ids, matrix, k
+        shape = (len(matrix), k)
+        # distances in units and rows of ``payload``, _FREE where a place is free
+        self.units, self.refs = np.full(shape, _FREE, np.int64), np.zeros(shape, np.int64)
         self.payload: pd.DataFrame | None = None
 
     def add(self, vectors: np.ndarray, items: pd.DataFrame, item_id: str) -> None:
@@ -60,6 +65,8 @@ class _Nearest:
             raise ValueError("non-finite value in an item vector")
         lengths = np.linalg.norm(vectors, axis=1)
         keep = np.flatnonzero(lengths > 0)
+        if not len(keep):
+            return
         unit = vectors[keep] / lengths[keep, None]
         items = items.iloc[keep]
         before = 0 if self.payload is None else len(self.payload)
@@ -67,45 +74,30 @@ class _Nearest:
         self.payload = self.payload.reset_index(drop=True)
         # ties go to the smaller id: its rank among the ids at hand
         rank = self.payload[item_id].rank(method="dense").to_numpy(np.int64)
-        if self.group is None:
-            members = {None: np.arange(len(items))}
-        else:
-            members = items.reset_index(drop=True).groupby(self.group, sort=False).indices
-        for name, rows in members.items():
-            self._add_block(name, unit[rows], before + np.asarray(rows), rank)
-        self._forget()
-
-    def _add_block(self, name: object, unit: np.ndarray, rows: np.ndarray, rank: np.ndarray) -> None:
-        if len(rows) == 0:
-            return
-        shape = (len(self.matrix), self.k)
-        if name not in self.best:
-            self.best[name] = np.full(shape, _FREE, np.int64), np.zeros(shape, np.int64)
-        units, refs = self.best[name]
+        rows = before + np.arange(len(items))
         spread = int(rank.max()) + 1
         step = max(1, _MATRIX_CELLS // (len(rows) + self.k))
         for start in range(0, len(self.matrix), step):
             part = slice(start, start + step)
             distance = np.rint((1.0 - self.matrix[part] @ unit.T) * _UNITS).astype(np.int64)
-            all_units = np.concatenate([units[part], distance], axis=1)
-            all_refs = np.concatenate([refs[part], np.broadcast_to(rows, distance.shape)], axis=1)
+            all_units = np.concatenate([self.units[part], distance], axis=1)
+            all_refs = np.concatenate([self.refs[part], np.broadcast_to(rows, distance.shape)], axis=1)
             order = np.argpartition(all_units * spread + rank[all_refs], self.k - 1, axis=1)[:, : self.k]
-            units[part] = np.take_along_axis(all_units, order, axis=1)
-            refs[part] = np.take_along_axis(all_refs, order, axis=1)
+            self.units[part] = np.take_along_axis(all_units, order, axis=1)
+            self.refs[part] = np.take_along_axis(all_refs, order, axis=1)
+        self._forget()
 
     def _forget(self) -> None:
         """Drops the payload of items that no place refers to."""
-        live = np.unique(np.concatenate([refs[units != _FREE] for units, refs in self.best.values()] or [np.zeros(0, np.int64)]))
+        live = np.unique(self.refs[self.units != _FREE])
         self.payload = self.payload.take(live).reset_index(drop=True)
-        for units, refs in self.best.values():
-            refs[:] = np.where(units == _FREE, 0, np.searchsorted(live, refs))
+        self.refs[:] = np.where(self.units == _FREE, 0, np.searchsorted(live, self.refs))
 
     def winners(self) -> Iterator[pd.DataFrame]:
-        for units, refs in self.best.values():
-            query, place = np.nonzero(units != _FREE)
-            if len(query):
-                out = self.payload.take(refs[query, place]).reset_index(drop=True)
-                yield out.assign(_query=self.ids[query], _units=units[query, place])
+        query, place = np.nonzero(self.units != _FREE)
+        if len(query):
+            out = self.payload.take(self.refs[query, place]).reset_index(drop=True)
+            yield out.assign(_query=self.ids[query], _units=self.units[query, place])
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -133,11 +125,25 @@ def _broadcast_join(
 ) -> DataFrame:
     queries = queries.filter(queries.column(1).is_valid())
     ids, vectors = queries.column(0).to_pandas().to_numpy(), _matrix(queries.column(1), dim)
-    shared = items.sparkSession.sparkContext.broadcast((ids, vectors))
+    shared = items.sparkSession.sparkContext.broadcast(_unit_queries(ids, vectors))
     arrow_layout = to_arrow_schema(layout)
 
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Batches of some size, so that winners are ranked once for many items."""
+        waiting, size = [], 0
+        for batch in batches:
+            batch = batch.filter(batch.column("_vector").is_valid())
+            if batch.num_rows:
+                waiting.append(batch)
+                size += batch.nbytes
+            if size > _TOGETHER_BYTES:
+                yield pa.Table.from_batches(waiting)
+                waiting, size = [], 0
+        if waiting:
+            yield pa.Table.from_batches(waiting)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Nearest(*shared.value, k, group)
+        best, current = None, None
 
         def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
             for frame in frames:
@@ -145,16 +151,34 @@ def _broadcast_join(
                     frame[arrow_layout.names], schema=arrow_layout, preserve_index=False
                 )
 
-        for batch in batches:
-            batch = batch.filter(batch.column("_vector").is_valid())
-            if batch.num_rows:
-                table = batch.select(kept).to_pandas()
-                best.add(_matrix(batch.column("_vector"), dim), table, kept[0])
-        yield from emit(best.winners())
-
+        for table in gathered(batches):
+            rows, matrix = table.select(kept).to_pandas(), _matrix(table.column("_vector"), dim)
+            # items come sorted by group: a group's state goes as soon as the next one begins
+            for name, start, stop in _stretches(rows, group):
+                if best is None or name != current:
+                    if best is not None:
+                        yield from emit(best.winners())
+                    best, current = _Nearest(*shared.value, k), name
+                best.add(matrix[start:stop], rows.iloc[start:stop], kept[0])
+        if best is not None:
+            yield from emit(best.winners())
+
+    if group is not None:
+        items = items.sortWithinPartitions(group)
     return items.mapInArrow(scan, layout)
 
 
+def _stretches(rows: pd.DataFrame, group: str | None) -> Iterator[tuple[object, int, int]]:
+    """(group, start, stop) of consecutive rows of the same group."""
+    if group is None:
+        yield None, 0, len(rows)
+        return
+    names = rows[group].to_numpy()
+    edges = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
+    for start, stop in zip(edges[:-1], edges[1:], strict=True):
+        yield names[start], start, stop
+
+
 def join_cells(
     queries: DataFrame, items: DataFrame, cell: Sequence[str], layout: T.StructType,
     kept: list[str], dim: int, k: int, group: str | None,
@@ -171,12 +195,15 @@ def join_cells(
             return pd.DataFrame(columns=columns)
         if not (right["_vector"].map(len) == dim).all() or not (left["_vector"].map(len) == dim).all():
             raise ValueError(f"vectors are not all {dim} wide")
-        best = _Nearest(
-            left["_query"].to_numpy(), np.stack(left["_vector"].to_numpy()).astype(np.float64), k, group
-        )
+        asked = _unit_queries(left["_query"].to_numpy(), np.stack(left["_vector"].to_numpy()).astype(np.float64))
+        if group is not None:
+            right = right.sort_values(group, kind="stable")
         vectors = np.stack(right["_vector"].to_numpy()).astype(np.float64)
-        best.add(vectors, right[kept], kept[0])
-        frames = [*best.winners()]
+        rows, frames = right[kept].reset_index(drop=True), []
+        for _, start, stop in _stretches(rows, group):
+            best = _Nearest(*asked, k)
+            best.add(vectors[start:stop], rows.iloc[start:stop], kept[0])
+            frames.extend(best.winners())
         return pd.concat(frames)[columns] if frames else pd.DataFrame(columns=columns)
 
     return (

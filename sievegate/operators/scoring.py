@@ -185,16 +185,18 @@ def class_weights(rows: DataFrame, label: str = "label") -> DataFrame:
 
 
 def class_intervals(
-    rows: DataFrame, groups: Sequence[str] = ("method",), resamples: int = 1000, seed: int = 42
-) -> DataFrame:
+    rows: DataFrame, groups: Sequence[str] = ("method",), resamples: int = 1000, seed: int = 42,
+    weight: str | None = None,
+) -> DataFrame:
     """Bootstrap intervals of precision (rows predicted as the class) and recall (gold rows)."""
     hit = (F.col("gold") == F.col("pred")).cast("double").alias("hit")
     sides = F.array(
         F.struct(F.lit("precision").alias("kind"), F.col("pred").alias("class"), hit),
         F.struct(F.lit("recall").alias("kind"), F.col("gold").alias("class"), hit),
     )
-    long = rows.select(*groups, F.explode(sides).alias("_s")).select(*groups, "_s.*")
-    return bootstrap_mean(long, [*groups, "class", "kind"], "hit", resamples, seed)
+    long = rows.select(*groups, *([weight] if weight else []), F.explode(sides).alias("_s"))
+    long = long.select(*groups, *([weight] if weight else []), "_s.*")
+    return bootstrap_mean(long, [*groups, "class", "kind"], "hit", resamples, seed, weight=weight)
 
 
 def latency_summary(rows: DataFrame, groups: Sequence[str] = ("method",), value: str = "latency_ms") -> DataFrame:
@@ -270,3 +272,34 @@ def method_summary(rows: DataFrame, groups: Sequence[str] = ("method",)) -> Data
         .join(calibration_error(bins_from_counts(counts, keys), keys), keys)
         .join(latency_summary(rows, keys), keys, "left")  # a method may report no latency
     )
+
+
+def full_summary(rows: DataFrame, groups: Sequence[str] = ("method",), resamples: int = 1000) -> DataFrame:
+    """``method_summary`` with everything behind it: one row per method.
+
+    ``classes`` holds precision, recall, F1 and support of every class, with the bounds of the first
+    two (null for a class that no row is predicted as, or belongs to), ``confusion`` all nine cells
+    and ``bins`` the reliability bins. All of it comes from the counts of outcomes, which are
+    written once; the arrays have at most ten entries.
+    """
+    keys = list(groups)
+    counts = cut_lineage(outcome_counts(rows, keys))
+    sides = class_intervals(counts, keys, resamples, weight="n").groupBy(*keys, "class").agg(
+        *[
+            F.max(F.when(F.col("kind") == kind, F.col(side))).alias(f"{kind}_{side}")
+            for kind in ("precision", "recall")
+            for side in ("lo", "hi")
+        ]
+    )
+    scores = class_scores(counts, keys, "n").join(sides, [*keys, "class"], "left")
+
+    def gathered(part: DataFrame, name: str) -> DataFrame:
+        inner = F.struct(*[c for c in part.columns if c not in keys])
+        return part.groupBy(*keys).agg(F.array_sort(F.collect_list(inner)).alias(name))
+
+    return (
+        method_summary(rows, keys)
+        .join(gathered(scores, "classes"), keys)
+        .join(gathered(confusion_matrix(counts, keys, "n"), "confusion"), keys)
+        .join(gathered(bins_from_counts(counts, keys), "bins"), keys)
+    )

@@ -10,15 +10,24 @@ from pyspark.sql import functions as F
 from sievegate.functions.acl import assigned_roles, role_set_key
 
 
+def _unique(rows: DataFrame, key: str) -> DataFrame:
+    """``rows``; running it fails if a key comes twice, which would multiply stored rows."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_times"))
+    message = F.concat(F.lit(f"{key} comes more than once: "), F.col(key).cast("string"))
+    once = F.when(F.col("_times") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return rows.join(counts, key).filter(once).select(*rows.columns)
+
+
 def upsert(
     stored: DataFrame, incoming: DataFrame, key: str, updated: Sequence[str], defaults: dict | None = None
 ) -> DataFrame:
     """Insert new keys; for known keys replace only the ``updated`` columns.
 
-    ``incoming`` has one row per key. Columns it lacks keep their stored value, and new
-    rows take them from ``defaults``.
+    ``incoming`` has one row per key, more are an error. Columns it lacks keep their stored
+    value, and new rows take them from ``defaults``.
     """
     defaults = defaults or {}
+    incoming = _unique(incoming, key)
     joined = stored.withColumn("_old", F.lit(True)).alias("s").join(
         incoming.withColumn("_new", F.lit(True)).alias("i"), key, "full_outer"
     )
@@ -38,8 +47,8 @@ def upsert(
 
 
 def update_vectors(chunks: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
-    """Vectors replaced by staged ones; staged keys without a chunk are ignored."""
-    stage = staged.select(key, F.col("embedding").alias("_staged"))
+    """Vectors replaced by staged ones; staged keys without a chunk are ignored, repeated ones an error."""
+    stage = _unique(staged.select(key, F.col("embedding").alias("_staged")), key)
     return (
         chunks.join(stage, key, "left")
         .withColumn("embedding", F.coalesce("_staged", "embedding"))

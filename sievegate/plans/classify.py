@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sievegate.operators import linear_model
 from sievegate.operators.labelling import label_distribution
-from sievegate.operators.scoring import method_summary
+from sievegate.operators.scoring import full_summary
 from sievegate.operators.trainset import (
     allowed_documents,
     document_sizes,
@@ -97,7 +97,7 @@ def train_and_score(
 
 
 def compare(spark: SparkSession, results: str, eval_rows: str | None = None, skip: tuple[str, ...] = ()) -> DataFrame:
-    """One summary row per method and subset (``all`` rows, ``test`` rows only)."""
+    """One full summary row per method and subset (``all`` rows, ``test`` rows only)."""
     rows = read_predictions(spark, results, skip)
     labelled = rows.withColumn("subset", F.lit("all"))
     tags = read_split_tags(spark, eval_rows) if eval_rows else None
@@ -105,7 +105,7 @@ def compare(spark: SparkSession, results: str, eval_rows: str | None = None, ski
         test = subset_by_split(rows, tags).withColumn("subset", F.lit("test"))
         labelled = labelled.unionByName(test)
     cost = rows.groupBy("method").agg(F.max("cost_per_1k_usd").alias("cost_per_1k_usd"))
-    return method_summary(labelled, ["method", "subset"]).join(cost, "method")
+    return full_summary(labelled, ["method", "subset"]).join(cost, "method")
 
 
 def comparison_table(summary: DataFrame) -> str:

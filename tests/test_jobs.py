@@ -355,3 +355,17 @@ def test_integrity_profile_finds_planted_faults(spark):
     got = integrity_profile(spark.createDataFrame(rows, schemas.CORPUS)).first()
     assert (got.documents, got.threads, got.chunks, got.empty_texts, got.length_mismatches) == (2, 1, 4, 1, 1)
     assert (got.documents_with_gaps, got.duplicate_keys, got.rows_with_nulls) == (2, 1, 0)
+
+
+def test_repeated_incoming_keys_are_an_error(spark):
+    from sievegate.operators.upsert import update_vectors, upsert
+
+    old = spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int")
+    new = spark.createDataFrame([("b", 5), ("c", 6)], "id string, n int")
+    assert sorted(map(tuple, upsert(old, new, "id", ["n"]).collect())) == [("a", 1), ("b", 5), ("c", 6)]
+    with pytest.raises(Exception, match="more than once"):
+        upsert(old, new.union(new), "id", ["n"]).collect()
+    chunks = spark.createDataFrame([("a", [1.0])], "id string, embedding array<double>")
+    staged = spark.createDataFrame([("a", [2.0]), ("a", [3.0])], "id string, embedding array<double>")
+    with pytest.raises(Exception, match="more than once"):
+        update_vectors(chunks, staged).collect()

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievegate.functions import vectors as v
+from sievegate.operators import approximate
 from sievegate.operators.approximate import approximate_items, recall_against
 from sievegate.operators.encode import as_variant, encoder_column, hashed_vectors, split_malformed
 from sievegate.operators.neighbors import document_ranking, nearest_items
@@ -62,7 +63,7 @@ def test_a_task_hands_on_k_rows_per_query_once(spark, monkeypatch):
 
     monkeypatch.setattr(neighbors, "_MATRIX_CELLS", 20)
     q, _ = cloud(spark, 6, 4, ("qid", "vector"))
-    best = neighbors._Nearest(np.array([f"i{i:04d}" for i in range(6)], dtype=object), q.astype(float), 5, None)
+    best = neighbors._Nearest(*neighbors._unit_queries(np.array([f"i{i:04d}" for i in range(6)], dtype=object), q.astype(float)), 5)
     import pandas as pd
 
     m, _ = cloud(spark, 40, 5, ("chunk_id", "embedding"))
@@ -105,25 +106,67 @@ def test_document_ranking_keeps_first_occurrence(spark):
     assert [(r.doc_id, r["rank"]) for r in got] == [("d1", 1), ("d2", 2)]
 
 
-def test_approximate_join_is_complete_and_close(spark):
-    """Copies of one vector fill a third of the items: their bucket is cut into cells."""
+def test_certified_search_is_exact(spark):
+    """Copies of one vector fill a third of the items: their cell is cut into tiles."""
     q, queries = cloud(spark, 30, 9, ("qid", "vector"))
     m, items = cloud(spark, 300, 9, ("chunk_id", "embedding"), copies=100)
-    found = approximate_items(queries, items, 5, DIM, bands=6, planes=2, tile_queries=10, tile_items=40)
-    counts = {r.qid: r["count"] for r in found.groupBy("qid").count().collect()}
-    assert counts == {f"i{i:04d}": 5 for i in range(30)}
-    exact = nearest_items(queries, items, 5, DIM)
-    recall = recall_against(found, exact).agg(F.avg("recall")).first()[0]
-    assert recall > 0.9
-    first = ranked(found)["i0000"]
-    assert first == brute(q, m, 5)["i0000"]
+    found = approximate_items(queries, items, 5, DIM, miss=0, tile_queries=10, tile_items=40)
+    assert ranked(found) == brute(q, m, 5) and all(r.certified for r in found.collect())
 
 
-def test_approximate_join_falls_back_to_exact(spark):
+def test_fewer_items_than_wanted_and_odd_vectors(spark):
     q, queries = cloud(spark, 5, 10, ("qid", "vector"))
-    m, items = cloud(spark, 40, 11, ("chunk_id", "embedding"))
-    found = approximate_items(queries, items, 20, DIM, bands=1, planes=6)
-    assert ranked(found) == brute(q, m, 20) and not any(r.approximate for r in found.collect())
+    m, items = cloud(spark, 12, 11, ("chunk_id", "embedding"))
+    odd = spark.createDataFrame([("none", 0, None), ("zero", 0, [0.0] * DIM)], items.schema)
+    asked = queries.unionByName(spark.createDataFrame([("none", 0, None), ("zero", 0, [0.0] * DIM)], queries.schema))
+    found = approximate_items(asked, items.unionByName(odd), 20, DIM)
+    assert ranked(found) == brute(q, m, 20)
+    assert approximate_items(asked, items.limit(0), 3, DIM).count() == 0
+    assert approximate_items(asked.limit(0), items, 3, DIM).count() == 0
+    with pytest.raises(Exception, match="non-finite"):
+        bad = spark.createDataFrame([("bad", 0, [float("nan")] * DIM)], items.schema)
+        approximate_items(queries, items.unionByName(bad), 3, DIM).count()
+
+
+def clustered(spark, n, seed, names):
+    rng = np.random.default_rng(seed)
+    middles = np.random.default_rng(1).standard_normal((40, DIM))
+    matrix = middles[rng.integers(0, 40, n)] + 0.1 * rng.standard_normal((n, DIM))
+    rows = [(f"i{i:05d}", [float(x) for x in row]) for i, row in enumerate(matrix)]
+    return spark.createDataFrame(rows, f"{names[0]} string, {names[1]} array<float>")
+
+
+def test_pairs_compared_grow_less_than_the_square(spark, monkeypatch):
+    """Four times the queries and items: less than sixteen times the pairs, and nine of ten found."""
+    compared = []
+    look = approximate._look
+
+    def counting(probes, index, *rest):
+        per_cell = probes.groupBy("_cell").count().collect()
+        compared[-1] += sum(r["count"] * int(index.cells.sizes[r["_cell"]]) for r in per_cell)
+        return look(probes, index, *rest)
+
+    monkeypatch.setattr(approximate, "_look", counting)
+    for n in (500, 2_000):
+        queries, items = clustered(spark, n, 2, ("qid", "vector")), clustered(spark, n, 3, ("chunk_id", "embedding"))
+        compared.append(0)
+        found = approximate_items(queries, items, 5, DIM, least=2, share=0.02)
+        recall = recall_against(found, nearest_items(queries, items, 5, DIM)).agg(F.avg("recall")).first()[0]
+        assert recall > 0.9 and compared[-1] < 0.25 * n * n
+    assert compared[1] < 10 * compared[0]
+
+
+def test_two_hundred_groups_hold_one_state_at_a_time(spark, monkeypatch):
+    q, queries = cloud(spark, 20, 5, ("qid", "vector"))
+    m, items = cloud(spark, 600, 6, ("chunk_id", "embedding"))
+    grouped = items.withColumn("g", F.expr("cast(substring(chunk_id, 2) as int) % 200")).repartition(2)
+    for settings in ({}, {"broadcast_bytes": 0, "tile_queries": 7, "tile_items": 250}):
+        hits = nearest_items(queries, grouped, 2, DIM, group="g", **settings)
+        got = ranked(hits, "g")
+        assert len(got) == 20 * 200
+        for g in (0, 77, 199):
+            want = brute(q, m, 2, keep=lambda j: j % 200 == g)  # noqa: B023
+            assert all(got[qid, g] == names for qid, names in want.items())
 
 
 def values(spark, vector, expression):

@@ -1,6 +1,8 @@
 import math
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +171,24 @@ def test_number_rows_is_global(spark):
     assert [r.row_index for r in sorted(numbered, key=lambda r: r.h)] == list(range(1000))
     parts = number_rows(frame, [F.col("h")], F.substring("h", 1, 1), ["p"]).filter("p = 1").collect()
     assert [r.row_index for r in sorted(parts, key=lambda r: r.h)] == list(range(500))
+
+
+def test_weights_follow_the_poisson_distribution():
+    from sievegate.operators.bootstrap import weights_of
+
+    counts = np.array([1, 3, 32, 33, 1000] * 40)
+    weights = weights_of(counts, np.arange(len(counts)) * 7919, 500)
+    for n in (1, 3, 32, 33, 1000):
+        drawn = weights[counts == n].ravel()
+        assert abs(drawn.mean() - n) < 5 * (n / len(drawn)) ** 0.5 and abs(drawn.var() / n - 1) < 0.06
+    ones = weights[counts == 1].ravel()
+    assert abs((ones == 0).mean() - np.exp(-1)) < 0.01 and abs((ones == 2).mean() - np.exp(-1) / 2) < 0.01
+
+
+def test_a_hundred_thousand_different_values(spark):
+    frame = spark.range(100_000).selectExpr("id / 100000.0D AS x")
+    started = time.monotonic()
+    (row,) = bootstrap_mean(frame, [], "x").collect()
+    assert time.monotonic() - started < 30
+    half = 1.96 * (1 / 12 / 100_000) ** 0.5
+    assert row.n == 100_000 and abs(row.lo - (0.5 - half)) < 0.2 * half and abs(row.hi - (0.5 + half)) < 0.2 * half
