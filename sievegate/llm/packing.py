@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -121,11 +122,13 @@ def pack_documents(
                 lengths = np.diff(bounds)
                 sequences = pack_pool(lengths.tolist(), longest)
                 groups = balanced_groups(sequences)
-                flat = [
-                    (*piece, sequence + s, sum(p[2] for p in row[:i]), sum(p[2] for p in row), group + groups[s])
-                    for s, row in enumerate(sequences)
-                    for i, piece in enumerate(row)
-                ]
+                flat = []
+                for s, row in enumerate(sequences):
+                    ends = [*accumulate(p[2] for p in row)]
+                    flat += [
+                        (*piece, sequence + s, end - piece[2], ends[-1], group + groups[s])
+                        for piece, end in zip(row, ends, strict=True)
+                    ]
                 table = np.array(flat, np.int64).reshape(-1, 7)
                 first = bounds[table[:, 0]] + table[:, 1]
                 sums = [crc(ids[a : a + n]) for a, n in zip(first, table[:, 2], strict=True)]
