@@ -29,6 +29,8 @@ HUB_ROUNDS = 2
 TILE_ROWS = 1024
 #: Bucket rows that a task takes together, on average.
 TASK_ROWS = 20_000
+#: Bytes of text in a block; a task holds the sets of one.
+BLOCK_BYTES = 4 << 20
 #: Bits of the keys by which document frequencies are counted.
 KEY_BITS = 44
 _ENTRY = (
@@ -144,9 +146,12 @@ def index_entries(blocks: DataFrame, rule: Rule = Rule()) -> DataFrame:
     def counts_of(block: repeats.Block) -> tuple[np.ndarray, np.ndarray]:
         sets = shingle_sets(block, words)
         keys = np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - KEY_BITS)
+        del sets
+        arrays.release_memory()
         return np.unique(keys, return_counts=True)
 
     def entries(mine: pa.Table, told: pa.Table) -> pa.Table:
+        arrays.release_memory()
         block = repeats.Block(mine)
         sets = shingle_sets(block, words)
         keys = np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - KEY_BITS)
@@ -268,6 +273,7 @@ def close_pairs(now: DataFrame, sets: DataFrame, rule: Rule = Rule()) -> DataFra
     placed = placed.join(sets.select("row", "sketch"), "row")
 
     def meet(table: pa.Table) -> pa.Table:
+        arrays.release_memory()
         column = {c: table.column(c).to_numpy() for c in ("sig", "low", "high", "tile", "row", "n", "label")}
         sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(column["row"]), -1)
         order = np.lexsort((column["high"], column["low"], column["sig"]))
@@ -370,7 +376,7 @@ def join_classes(
     a class of null ids only has a null ``component_id``. An empty table gives no rows. Other
     columns are ignored.
     """
-    blocks = repeats.pack_blocks(docs, id_column, text_column)
+    blocks = repeats.pack_blocks(docs, id_column, text_column, BLOCK_BYTES)
     classes = block_classes(blocks, Rule(words, link, parts))
     drop(blocks)
     return classes
@@ -406,7 +412,7 @@ def one_per_class(
     with an empty set stay.
     """
     types = dict(docs.dtypes)
-    blocks = repeats.pack_blocks(docs, id_column, text_column, keep=columns)
+    blocks = repeats.pack_blocks(docs, id_column, text_column, BLOCK_BYTES, keep=columns)
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
     classes = block_classes(blocks, Rule(words, link, parts))
     chosen = classes.groupBy("class").agg(F.min(order).alias("best")).select("best.row")

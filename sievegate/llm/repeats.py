@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievegate.llm.arrays import CHUNK_BYTES, chunks_of, distinct_of, text_bytes
+from sievegate.llm.arrays import CHUNK_BYTES, chunks_of, distinct_of, release_memory, text_bytes
 from sievegate.llm.shared import stored
 
 # Keys in a range, on average; one task sorts a range at a time.
@@ -348,6 +348,7 @@ def by_block(
     """``result_of`` for every block and the rows of ``decisions`` whose ``row`` lies in it."""
 
     def result(mine: pa.Table, decided: pa.Table) -> pa.Table:
+        release_memory()
         return result_of(Block(mine), decided)
 
     placed = decisions.withColumn("block", F.shiftright("row", ROW_BITS))
