@@ -14,7 +14,7 @@ import pyarrow as pa
 from sievegate.llm.arrays import coded_pieces, coded_words, gather, mixed, text_bytes
 
 # Distinct pieces that an encoder remembers before it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 2_500_000
 _PART = 4096
 
 
