@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("text_queries", "split_queries", "access_queries", "vector_queries", "metric_queries", "stream_queries")
+_MODULES = ("text_queries", "split_queries", "access_queries", "vector_queries", "metric_queries", "stream_queries", "storage_queries")
 
 
 def _merged(attribute: str) -> dict:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievegate.functions.chunks import CHUNK_OVERLAP, CHUNK_SIZE, chunk_texts
@@ -29,12 +29,16 @@ def explode_chunks(
 def whole_texts(chunks: DataFrame, titles: DataFrame, max_chars: int = 4000) -> DataFrame:
     """Title and chunk texts of a document joined in order, cut to ``max_chars``.
 
-    Chunks that start beyond the cut cannot reach the result, so each document gathers a
-    bounded number of them however long it is.
+    A chunk that begins beyond the cut cannot reach the result. Where it begins is the sum of the
+    lengths before it, so a document gathers ``max_chars`` characters and one chunk at most.
     """
     in_order = F.array_sort(F.collect_list(F.struct("chunk_ord", "text")))
+    before = Window.partitionBy("doc_id").orderBy("chunk_ord").rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.coalesce(F.sum(F.length("text") + 1).over(before), F.lit(0))
     bodies = (
         chunks.filter(F.col("chunk_ord") < max_chars)
+        .select("doc_id", "chunk_ord", "text", begins.alias("_begins"))
+        .filter(F.col("_begins") < max_chars)
         .groupBy("doc_id")
         .agg(F.transform(in_order, lambda c: c["text"]).alias("_texts"))
     )

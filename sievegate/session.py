@@ -55,6 +55,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a table that this session wrote and no longer needs."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so later stages never recompute it."""
     shared_folder(df.sparkSession)

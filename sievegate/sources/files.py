@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +15,7 @@ from sievegate.functions.rules import label_from_tags
 from sievegate.functions.text import strip
 from sievegate.functions.vectors import checked
 from sievegate.schemas import LABELS, check_schema
+from sievegate.session import drop_path
 
 # Names of the raw splits and how image rows are filed.
 RAW_SPLITS = ("train", "validation", "test")
@@ -25,13 +29,13 @@ KEY = ["doc_id", "chunk_ord"]
 
 
 def read_raw_splits(spark: SparkSession, folder: str) -> DataFrame:
-    """All ``<split>-*.parquet`` files in one scan, tagged with their split."""
+    """All ``<split>-*.parquet`` files, or folders of files, in one scan, tagged with their split."""
     pattern = f"{folder.rstrip('/')}/{{{','.join(RAW_SPLITS)}}}-*.parquet"
     try:
         raw = spark.read.parquet(pattern)
     except AnalysisException as error:
         raise FileNotFoundError(f"no <split>-*.parquet below {folder}") from error
-    name = F.regexp_extract("_metadata.file_name", rf"^({'|'.join(RAW_SPLITS)})-", 1)
+    name = F.regexp_extract("_metadata.file_path", rf"/({'|'.join(RAW_SPLITS)})-[^/]*\.parquet(?:/[^/]*)?$", 1)
     return raw.withColumn("split", name)
 
 
@@ -40,21 +44,90 @@ def read_raw_splits(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_table(
     df: DataFrame, path: str, schema: T.StructType, partition_by: tuple[str, ...] = (),
-    sort_by: tuple[str, ...] = (),
+    sort_by: tuple[str, ...] = (), n_files: int | None = None,
 ) -> DataFrame:
     """Overwrite ``path`` with checked columns and return the stored table.
 
-    ``sort_by`` range-partitions on its first column and sorts inside the files, which
-    clusters keys for later scans without a total sort. Partition columns come back last.
+    ``sort_by`` range-partitions on its first column (into at most ``n_files`` files) and sorts
+    inside the files. Finding the ranges needs a look at all rows, so they are written unsorted
+    first: whatever made them is evaluated once. The range of keys in every file is kept in
+    ``<path>-ranges`` for ``read_keys``. Partition columns come back last.
     """
     check_schema(df, schema)
+    spark, place = df.sparkSession, path.rstrip("/")
     if sort_by:
-        df = df.repartitionByRange(F.col(sort_by[0])).sortWithinPartitions(*sort_by)
+        df.write.mode("overwrite").parquet(f"{place}-unsorted")
+        width = (n_files,) if n_files else ()
+        ranged = spark.read.parquet(f"{place}-unsorted").repartitionByRange(*width, F.col(sort_by[0]))
+        df = ranged.sortWithinPartitions(*sort_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return read_table(df.sparkSession, path, schema)
+    if sort_by:
+        drop_path(spark, f"{place}-unsorted")
+        if not partition_by:
+            _file_ranges(spark.read.parquet(path), sort_by[0]).write.mode("overwrite").parquet(f"{place}-ranges")
+    return read_table(spark, path, schema)
+
+
+def _file_ranges(stored: DataFrame, key: str) -> DataFrame:
+    """``file, low, high`` of every file; only the key column is read."""
+    return stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high")
+    )
+
+
+def files_with_keys(spark: SparkSession, path: str, keys: DataFrame) -> tuple[list[str], int]:
+    """Names of the files of a sorted table that can hold any of ``keys`` (one column), and how many there are.
+
+    The ranges are one row per file and do not overlap, so a key has one file at most, found by
+    bisection. Keys are not fetched, only the numbers of the files they fall into. Null keys have none.
+    """
+    ranges = spark.read.parquet(f"{path.rstrip('/')}-ranges").filter(F.col("low").isNotNull()).orderBy("low").collect()
+    lows, highs = [r["low"] for r in ranges], [r["high"] for r in ranges]
+
+    @F.pandas_udf("int")
+    def file_of(values: pd.Series) -> pd.Series:
+        found = [bisect_right(lows, value) - 1 for value in values]
+        return pd.Series([i if i >= 0 and value <= highs[i] else -1 for i, value in zip(found, values, strict=True)], dtype="int32")
+
+    key = F.col(keys.columns[0])
+    hit = keys.filter(key.isNotNull()).select(file_of(key).alias("i")).filter("i >= 0").distinct().collect()
+    return sorted(ranges[r["i"]]["file"] for r in hit), len(ranges)
+
+
+def read_keys(spark: SparkSession, path: str, schema: T.StructType, keys: DataFrame) -> DataFrame:
+    """Rows of a sorted table whose key is among ``keys`` (one column, named as in the table)."""
+    names, _ = files_with_keys(spark, path, keys)
+    if not names:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(schema).parquet(*[f"{path.rstrip('/')}/{name}" for name in names])
+    return stored.join(keys, keys.columns, "left_semi")
+
+
+def order_report(
+    spark: SparkSession, path: str, keys: tuple[str, ...], form: str = "parquet", by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rows, rows that precede the row before them in their file, files that share a range with another.
+
+    One row, or one for each value of ``by``. A file is read in its own order: by the part of it a
+    task read and the row's position there.
+    """
+    rows = spark.read.format(form).load(path).select(
+        *by, F.struct(*keys).alias("_key"), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_part"), F.monotonically_increasing_id().alias("_at"),
+    )
+    before = F.lag("_key").over(Window.partitionBy(*by, "_file").orderBy("_part", "_at"))
+    per_file = rows.withColumn("_late", F.coalesce(before > F.col("_key"), F.lit(False))).groupBy(*by, "_file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_late").alias("late"), F.min("_key").alias("low"), F.max("_key").alias("high")
+    )
+    # One row per file is left here.
+    last = F.lag("high").over(Window.partitionBy(*(by or [F.lit(0)])).orderBy("low"))
+    return per_file.withColumn("_shared", F.coalesce(last >= F.col("low"), F.lit(False))).groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"),
+        F.count_if("_shared").alias("overlapping_files"),
+    )
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
