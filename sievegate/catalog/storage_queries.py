@@ -20,7 +20,7 @@ from sievegate.operators.labelling import label_chunks, label_distribution
 from sievegate.plans import index, labels, prep
 from sievegate.plans.classify import compare
 from sievegate.session import scratch_path
-from sievegate.sources import files
+from sievegate.sources import buckets, files
 
 QUERIES, ORACLES, query = registry()
 
@@ -446,3 +446,45 @@ def weight_files(spark, d):
     return both.select(
         "doc_id", "chunk_ord", (F.col("pred") == F.col("_pred")).alias("same_label"), (gap < 1e-9).alias("same_probs")
     )
+
+
+_BUCKETS = 64
+_BUCKET = f"('0x' || substr(sha256(id), 1, 8))::BIGINT % {_BUCKETS}"
+
+
+@query(
+    "merge_touched_buckets",
+    t.with_tables(
+        "text_evidence",
+        f"""SELECT id, md5(coalesce(i.title, s.title)) AS title, coalesce(i.label, s.label) AS label,
+        {_BUCKET} IN (SELECT {_BUCKET} FROM incoming) AS rewritten, i.id IS NOT NULL AND s.id IS NULL AS added
+        FROM stored s FULL JOIN incoming i USING (id)""",
+        f"""stored AS (SELECT doc_id AS id, title, {t.SQL_LABEL} AS label FROM text_evidence),
+        incoming AS (SELECT doc_id::VARCHAR AS id, 'found toxic' AS title, 'confidential' AS label FROM labels WHERE toxic = 1
+                     UNION ALL SELECT 'page:' || page_id, url, 'internal' FROM pages WHERE contains(lower(html), 'cookie'))""",
+    ),
+)
+def merge_touched_buckets(spark, d):
+    """All documents stored in buckets; then toxic documents change and pages with cookie notes come in."""
+    out = scratch_path(spark, "buckets")
+
+    def shaped(rows):
+        constants = {"source": "test", "modality": "text", "lang": "en", "thread_id": "t"}
+        return rows.select("id", "title", "label", *[F.lit(v).alias(c) for c, v in constants.items()])
+
+    documents = t.text_documents(spark, d).select("doc_id", "chunk_ord", "title", "text")
+    rated = label_chunks(documents).select("doc_id", "label").join(documents, "doc_id")
+    toxic = t.table(spark, d, "labels").filter(F.col("toxic") == 1).select(
+        F.col("doc_id").cast("string").alias("id"), F.lit("found toxic").alias("title"), F.lit("confidential").alias("label")
+    )
+    pages = t.table(spark, d, "pages").filter(F.contains(F.lower("html"), F.lit("cookie"))).select(
+        F.concat(F.lit("page:"), "page_id").alias("id"), F.col("url").alias("title"), F.lit("internal").alias("label")
+    )
+    for incoming in (rated.withColumnRenamed("doc_id", "id"), toxic.unionByName(pages)):
+        buckets.merge_buckets(spark, out, shaped(incoming), "id", schemas.DOCUMENTS, index.refresh_documents, _BUCKETS)
+    since = buckets.read_manifest(spark, out).select("bucket", "since")
+    rows = buckets.read_buckets(spark, out, schemas.DOCUMENTS)
+    return rows.withColumn("bucket", buckets.bucket_of(F.col("id"), _BUCKETS)).join(F.broadcast(since), "bucket").select(
+        "id", F.md5("title").alias("title"), "label", (F.col("since") > 0).alias("rewritten"),
+        F.startswith("id", F.lit("page:")).alias("added"),
+    )

@@ -37,3 +37,27 @@ def incremental_corpus(spark, d):
 def incremental_labels(spark, d):
     stored = spark.read.parquet(f"{_stream(spark, d)}/labels")
     return stored.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Splits arrive one after the other, last name first; of copies the first to arrive stays.
+_ARRIVAL = t.SQL["uniq"].replace("ORDER BY doc_id", "ORDER BY split DESC, doc_id")
+
+
+@query(
+    "incremental_deliveries",
+    t.with_tables(
+        "corpus",
+        """SELECT doc_id, chunk_ord, md5(text) AS digest,
+        CASE split WHEN 'validation' THEN 0 WHEN 'train' THEN 1 ELSE 2 END::BIGINT AS batch FROM corpus""",
+    ).replace(t.SQL["uniq"], _ARRIVAL),
+)
+def incremental_deliveries(spark, d):
+    """Three deliveries in runs of their own, then all files once more, which must add nothing."""
+    out = scratch_path(spark, "deliveries")
+    messages = t.raw_messages(spark, d)
+    for splits in (["validation"], ["train"], ["test"], ["validation", "train", "test"]):
+        messages.filter(F.col("split").isin(splits)).write.mode("append").parquet(f"{out}/inbox")
+        arrived = message_stream(spark, f"{out}/inbox", messages.schema)
+        start_prep(arrived, f"{out}/tables", f"{out}/progress").awaitTermination()
+    stored = spark.read.parquet(f"{out}/tables/corpus")
+    return stored.select("doc_id", "chunk_ord", F.md5("text").alias("digest"), F.col("batch").cast("bigint").alias("batch"))

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.errors import AnalysisException
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sievegate.functions.text import dedupe_key
-from sievegate.operators.dedupe import drop_normalized_copies
 from sievegate.operators.labelling import label_chunks
-from sievegate.operators.upsert import pending_rows
 from sievegate.plans.prep import chunk_messages, clean_messages
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def message_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
     """New Parquet files below ``folder`` as they arrive."""
@@ -27,30 +31,42 @@ def message_stream(spark: SparkSession, folder: str, schema: T.StructType, files
     )
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """What earlier batches wrote; None before the first."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def unseen_messages(cleaned: DataFrame, stored: DataFrame | None, batch_id: int) -> DataFrame:
-    """Unique messages whose text no earlier batch has stored.
+def first_arrivals(cleaned: DataFrame) -> DataFrame:
+    """Unique messages, with their ``digest``, whose text no earlier batch has brought.
 
-    The history is first reduced to the digests of this batch. The batch is the small side
-    there, so the growing history is scanned on one column but neither sorted nor shuffled
-    once the batch is small enough to broadcast.
+    The state is one flag for each digest, kept by key on the executors' disks, so a batch costs
+    what it brings, however long the history. Of copies in one batch the smallest row stays,
+    ``doc_id`` first. Copies collapse in every Arrow batch before the shuffle, and the rows
+    of a group pass one Arrow batch at a time, so a text that fills a third of a batch is no burden.
     """
-    digest = F.sha2(dedupe_key(F.col("cleaned")), 256)
-    unique = drop_normalized_copies(cleaned, "cleaned", "doc_id").withColumn("digest", digest)
-    if stored is None:
-        return unique
-    earlier = stored.filter(F.col("batch") < batch_id).select("digest")
-    seen = earlier.join(unique.select("digest"), "digest", "left_semi").distinct()
-    return pending_rows(unique, seen, ["digest"])
+    order = ["doc_id", *[c for c in cleaned.columns if c != "doc_id"]]
+    keyed = cleaned.withColumn("digest", F.sha2(dedupe_key(F.col("cleaned")), 256))
+    columns = keyed.columns
+
+    def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                by = [(name, "ascending") for name in ["digest", *order]]
+                ordered = batch.take(pc.sort_indices(batch, sort_keys=by, null_placement="at_start"))
+                digests = ordered.column("digest")
+                new = pc.not_equal(digests[1:], digests[:-1])
+                yield ordered.filter(pa.concat_arrays([pa.array([True]), new]))
+
+    def smallest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            return
+        best = None
+        for frame in frames:
+            for row in frame[order].itertuples(index=False, name=None):
+                place = tuple((value is not None, value) for value in row)
+                if best is None or place < best:
+                    best = place
+        state.update((True,))
+        yield pd.DataFrame([(*[value for _, value in best], key[0])], columns=[*order, "digest"])[columns]
+
+    return keyed.mapInArrow(collapse, keyed.schema).groupBy("digest").applyInPandasWithState(
+        smallest, keyed.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout
+    )
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -71,26 +87,34 @@ def start_prep(
 
     ``prepare`` maps stream rows to ``email_body, subject_line, split``. Unique messages,
     corpus and label rows go to ``out/messages``, ``out/corpus`` and ``out/labels``, one folder
-    per batch. A text that an earlier batch stored, up to case and white space, is skipped:
-    files delivered again add nothing, and of all copies the first to arrive stays.
+    per batch. A text that an earlier batch brought, up to case and white space, is skipped:
+    files delivered again add nothing, and of all copies the first to arrive stays. What has
+    been seen is part of ``checkpoint``; its number of partitions is that of the first run.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        arrived = batch
-        cleaned = clean_messages(prepare(arrived) if prepare else arrived)
-        fresh = unseen_messages(cleaned, _stored(spark, f"{out}/messages"), batch_id)
-        write_batch(fresh, f"{out}/messages", batch_id)
+        write_batch(batch, f"{out}/messages", batch_id)
 
-        def written(name: str) -> DataFrame:
-            return spark.read.parquet(f"{out}/{name}").filter(F.col("batch") == batch_id)
+        def written(name: str, columns: T.StructType) -> DataFrame:
+            layout = T.StructType([*columns.fields, T.StructField("batch", T.LongType())])
+            return spark.read.schema(layout).parquet(f"{out}/{name}").filter(F.col("batch") == batch_id)
 
-        write_batch(chunk_messages(written("messages")), f"{out}/corpus", batch_id)
-        write_batch(label_chunks(written("corpus")), f"{out}/labels", batch_id)
+        chunks = chunk_messages(written("messages", batch.schema))
+        write_batch(chunks, f"{out}/corpus", batch_id)
+        write_batch(label_chunks(written("corpus", chunks.schema)), f"{out}/labels", batch_id)
 
-    return (
-        messages.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    spark = messages.sparkSession
+    fresh = first_arrivals(clean_messages(prepare(messages) if prepare else messages))
+    before = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, _ON_DISK)  # A query takes a copy of the settings when it starts.
+    try:
+        return (
+            fresh.writeStream.foreachBatch(process)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(_STATE_STORE, before)
