@@ -41,7 +41,6 @@ def first_arrivals(cleaned: DataFrame) -> DataFrame:
     """
     order = ["doc_id", *[c for c in cleaned.columns if c != "doc_id"]]
     keyed = cleaned.withColumn("digest", F.sha2(dedupe_key(F.col("cleaned")), 256))
-    columns = keyed.columns
 
     def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,12 +56,14 @@ def first_arrivals(cleaned: DataFrame) -> DataFrame:
             return
         best = None
         for frame in frames:
-            for row in frame[order].itertuples(index=False, name=None):
-                place = tuple((value is not None, value) for value in row)
-                if best is None or place < best:
-                    best = place
+            rows = frame if best is None else pd.concat([best, frame])
+            if len(rows) > 1:
+                places = [tuple((v is not None, v) for v in row) for row in rows[order].itertuples(index=False, name=None)]
+                at = min(range(len(places)), key=places.__getitem__)
+                rows = rows.iloc[at : at + 1]
+            best = rows
         state.update((True,))
-        yield pd.DataFrame([(*[value for _, value in best], key[0])], columns=[*order, "digest"])[columns]
+        yield best
 
     return keyed.mapInArrow(collapse, keyed.schema).groupBy("digest").applyInPandasWithState(
         smallest, keyed.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout

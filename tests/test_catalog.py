@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as registered
 from compare import connect, differences
+from sievegate.catalog import storage_queries
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = registered.queries(), registered.oracle_sql()
@@ -43,7 +44,8 @@ def plan(frame):
 def test_no_cross_joins_in_any_lazy_plan(spark):
     eager = ("lr_", "lsh", "incremental", "text_retrieval", "pipeline")
     for name, run in QUERIES.items():
-        if not any(part in name for part in eager):
+        # Storage queries write before they return; what they return only reads files.
+        if not any(part in name for part in eager) and name not in storage_queries.QUERIES:
             text = plan(run(spark, FOLDER))
             assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
