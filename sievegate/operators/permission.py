@@ -86,7 +86,9 @@ def permitted_hits(
         queries.join(asked.select("qid").distinct(), "qid", "left_semi"),
         visible, k, dim, carry=["doc_id"], group="acl",
     )
-    merged = asked.join(wanted, "user").join(per_acl.drop("rank"), ["qid", "acl"]).drop("acl")
+    # Hits are k for each query and signature. The planner takes them for about as many as the items
+    # and would send them all to the driver for a broadcast.
+    merged = asked.join(wanted, "user").join(per_acl.drop("rank").hint("merge"), ["qid", "acl"]).drop("acl")
     return top_k_per_group(merged, ["user", "qid"], [F.col("distance"), F.col("chunk_id")], k)
 
 
