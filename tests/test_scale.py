@@ -23,13 +23,20 @@ def broadcast_parts(plan):
             yield "\n".join(lines[i:stop])
 
 
-def test_hits_are_never_broadcast(spark):
+def test_hits_are_never_broadcast(spark, tmp_path):
     """A file of few bytes leads to many hits, which the planner cannot know."""
-    queries, items = vectors(spark, 60, ("qid", "vector")), vectors(spark, 60, ("chunk_id", "embedding"))
+
+    def from_file(df, name):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    queries = from_file(vectors(spark, 60, ("qid", "vector")), "queries")
+    items = from_file(vectors(spark, 60, ("chunk_id", "embedding")), "items")
     documents = spark.createDataFrame(
         [(i, "public" if i % 2 else "internal", ["Everyone"]) for i in range(15)],
         "doc_id long, label string, allowed_roles array<string>",
     )
+    documents = from_file(documents, "documents")
     requests = audit.all_requests(queries, USERS)
     hits = permission.permitted_hits(
         requests, queries, permission.with_signature(items, documents), documents, users_frame(spark), 20, 8
@@ -82,3 +89,38 @@ def test_single_precision_never_decides(monkeypatch):
     units = np.rint((1 - q @ m.T) * 1e9).astype(int)
     got = pd.concat(best.winners()).sort_values(["_query", "_units", "chunk_id"])
     assert np.abs(got["_units"].to_numpy().reshape(30, 6) - np.sort(units, axis=1)[:, :6]).max() <= 1
+
+
+def test_texts_become_strings_a_few_at_a_time():
+    import pyarrow as pa
+
+    from sievegate.functions.chunks import small_slices
+
+    texts = pa.array(["a" * 30, None, "é" * 20, "", "c" * 300, "d"])
+    parts = list(small_slices(texts, 80))
+    assert pa.concat_arrays(parts).equals(texts)
+    assert all(len(p) == 1 or sum(len((t or "").encode()) for t in p.to_pylist()) <= 80 for p in parts)
+    assert list(small_slices(pa.array([], pa.string()))) == []
+
+
+def test_stream_batches_are_small(spark, tmp_path):
+    """Settings reach the query that starts and are as before afterwards."""
+    from sievegate.streaming import incremental
+
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    schema = "email_body string, subject_line string, split string"
+    spark.createDataFrame([("text", "s", "train")], schema).write.parquet(f"{tmp_path}/in")
+    arrived = incremental.message_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
+    before, write = spark.conf.get(name), incremental.write_batch
+
+    def spying(df, path, batch_id):
+        seen.append(df.sparkSession.conf.get(name))
+        write(df, path, batch_id)
+
+    incremental.write_batch = spying
+    try:
+        incremental.start_prep(arrived, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
+    finally:
+        incremental.write_batch = write
+    assert set(seen) == {str(4 << 20)} and spark.conf.get(name) == before
+    assert spark.read.parquet(f"{tmp_path}/out/corpus").count() == 1
