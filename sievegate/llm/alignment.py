@@ -337,7 +337,8 @@ def align_documents(
     shared_best = docs.sparkSession.sparkContext.broadcast(best)
 
     def result(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        sys.modules.pop(_KEPT, None)  # this worker's aligner is done
+        if sys.modules.pop(_KEPT, None):  # this worker's aligner is done
+            arrays.release_memory()
         row = mine.to_pylist()[0]
         keys, order = _mixed_order(row)
         totals = np.zeros(len(keys), np.int64)
