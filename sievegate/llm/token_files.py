@@ -136,7 +136,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
                 ids = Codes(row["codes"]).all()
                 bounds = np.concatenate([[0], np.cumsum(row["doc_tokens"])]).astype(np.int64)
                 if bounds[-1] != len(ids):

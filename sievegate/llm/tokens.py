@@ -11,10 +11,12 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from sievegate.llm.arrays import coded_pieces, coded_words, gather, mixed, text_bytes
+from sievegate.llm.arrays import chunks_of, coded_pieces, coded_words, gather, mixed, release_memory, text_bytes
 
 # Distinct pieces that an encoder remembers before it starts afresh.
-REMEMBERED = 2_500_000
+REMEMBERED = 1_500_000
+# Bytes of text that an encoder cuts into pieces at once, a longer text alone: each takes some forty bytes more.
+PART_BYTES = 1 << 20
 _PART = 4096
 
 
@@ -27,7 +29,7 @@ class Growing:
     def append(self, part: np.ndarray) -> None:
         size = self._n + len(part)
         if size > len(self._values):
-            larger = np.zeros(max(size, len(self._values) * 3 // 2), self._values.dtype)
+            larger = np.zeros(max(size, len(self._values) * 5 // 4), self._values.dtype)
             larger[: self._n] = self._values[: self._n]
             self._values = larger
         self._values[self._n : size] = part
@@ -49,7 +51,7 @@ class PieceMemory:
     """
 
     def __init__(self):
-        self._hashes, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._hashes, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self._data, self._ends = Growing(np.uint8), Growing(np.int64)
         self._ends.append(np.zeros(1, np.int64))
 
@@ -77,7 +79,7 @@ class PieceMemory:
             open_ = np.flatnonzero((found < 0) & (low + turn < high))
             if not len(open_):
                 break
-            guess = self._numbers[low[open_] + turn]
+            guess = self._numbers[low[open_] + turn].astype(np.int64)
             begins, ends = self._ends.values[guess], self._ends.values[guess + 1]
             same = ends - begins == sizes[open_]
             open_, guess, begins = open_[same], guess[same], begins[same]
@@ -95,7 +97,7 @@ class PieceMemory:
         order = np.argsort(hashes[fresh])
         at = np.searchsorted(self._hashes, hashes[fresh][order])
         self._hashes = np.insert(self._hashes, at, hashes[fresh][order])
-        self._numbers = np.insert(self._numbers, at, found[fresh][order])
+        self._numbers = np.insert(self._numbers, at, found[fresh][order].astype(np.int32))
         return found, fresh
 
 
@@ -136,6 +138,17 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids begin (one more)."""
+        rows = pa.RecordBatch.from_arrays([texts], ["text"])
+        parts = [self._encode_part(part.column(0)) for part in chunks_of(rows, "text", PART_BYTES)]
+        release_memory()
+        ids = np.concatenate([np.zeros(0, np.uint32), *(part for part, _ in parts)])
+        begins, bounds = 0, [np.zeros(1, np.int64)]
+        for part, inner in parts:
+            bounds.append(begins + inner[1:])
+            begins += len(part)
+        return ids, np.concatenate(bounds)
+
+    def _encode_part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_bytes(texts)
         codes, bounds, distinct = coded_pieces(data, offsets, True) if self._wide else coded_words(data, offsets)
         if len(self._memory) > REMEMBERED or len(self._ids) > 8 * REMEMBERED:

@@ -1,6 +1,7 @@
 """Token files and packing against plain encoding."""
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -48,6 +49,19 @@ def test_runs_of_mixed_white_space_are_encoded_whole(name):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == ids_of(text), repr(text)
 
 
+@pytest.mark.parametrize("name", [WORD_FILE, BYTE_FILE])
+def test_memory_of_an_encoder_is_bounded_by_parts_of_a_batch(name):
+    texts = [" ".join(f"word{(i * j) % 977}" for j in range(1000)) for i in range(1000)]
+    encoder = PieceEncoder(tokenizer_path(name), name == BYTE_FILE)
+    tracemalloc.start()
+    ids, bounds = encoder.encode(pa.array(texts))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 80 << 20
+    for i in (0, 1, 500, 999):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == plain(name)(texts[i])
+
+
 def test_codes_round_trip_and_random_access():
     rng = np.random.default_rng(3)
     for ids in (np.zeros(0, int), np.array([0]), np.array([255, 256, 65535, 65536, 2**32 - 1]),
