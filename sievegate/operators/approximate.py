@@ -12,28 +12,37 @@ into a share of them, and then, round by round, into as many more as its k-th di
   ``miss`` of k. Seen from its centre, an item lies in any direction; in many dimensions most of
   them are nearly at right angles to the query, which gives the chance that it is near enough.
 
-Rounds carry only the queries that want more cells. Cells of any size are cut into tiles and a
-tile emits its winners, never its pairs. The distances, ties and errors are those of
-``neighbors``.
+Rounds carry only the queries that want more cells. Queries are cut into blocks, each with a bit for
+every cell that a query looks into, and cells are dealt into shares. A task holds one block and its
+winners while the packed items of one share pass by, cell after cell; it emits winners, never pairs.
+Neither a row nor a vector is made for a query and a cell. The distances, ties and errors are those of ``neighbors``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sievegate.operators.neighbors import (
-    TILE_ITEMS,
+    _LEAST_BLOCK,
+    _TOGETHER_BYTES,
     TILE_QUERIES,
+    _all_of,
+    _frames,
     _local_schema,
     _matrix,
-    join_cells,
+    _Nearest,
+    _pack,
+    _unit_queries,
+    _unpacked,
     merge_winners,
 )
 from sievegate.session import cut_lineage
@@ -47,7 +56,10 @@ _STEPS = 12
 FIRST_SHARE, FIRST_LEAST = 0.1, 4
 #: Share of the k nearest items that a search may expect to miss.
 MISS = 0.1
-_QUERIES = 2_000  # queries that a task compares with all centres at once
+_ANGLES = 1_000_000  # angles between queries and centres that a task holds at once
+#: Items of one cell that stay together; a larger cell is dealt over shares.
+TILE_ITEMS = 20_000
+_BLOCK_BYTES = 32 << 20  # query vectors of one block
 _SLACK = 1e-6  # angles that close count as equal, so rounding never certifies too early
 
 
@@ -60,6 +72,12 @@ def _unit(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return vectors[kept] / lengths[kept, None], kept
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for start in range(0, whole.num_rows, rows):
+            yield whole.slice(start, rows)
+
+
 def _with(df: DataFrame, *more: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([*df.schema.fields, *(T.StructField(name, kind) for name, kind in more)])
 
@@ -121,7 +139,7 @@ def build_index(
     centres = fit_centres(_matrix(sample.select("_vector").toArrow().column(0), dim), min(cells, MOST_CELLS), seed)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, max(1, _ANGLES // max(1, len(centres)))):
             batch = batch.filter(batch.column("_vector").is_valid())
             unit, kept_rows = _unit(_matrix(batch.column("_vector"), dim))
             cosine = unit @ centres.T
@@ -148,6 +166,11 @@ def first_cells(index: InvertedFile, share: float, least: int) -> int:
     return min(n, max(least, int(np.ceil(share * n))))
 
 
+def _together(cells: Cells) -> int:
+    """Queries compared with all centres at once."""
+    return max(1, _ANGLES // max(1, len(cells.centres)))
+
+
 def _in_order(cells: Cells, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each query all cells in the order of looking, and their angles in that order."""
     angle = np.arccos(np.clip(vectors @ cells.centres.T, -1, 1))
@@ -182,8 +205,8 @@ def _plan(queries: DataFrame, cells: Cells, wanted: float) -> DataFrame:
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, _QUERIES):
-                batch = whole.slice(start, _QUERIES)
+            for start in range(0, whole.num_rows, _together(cells)):
+                batch = whole.slice(start, _together(cells))
                 unit, kept = _unit(_matrix(batch.column("_vector"), cells.dim))
                 batch = batch.take(pa.array(kept))
                 order, angle = _in_order(cells, unit)
@@ -196,46 +219,143 @@ def _plan(queries: DataFrame, cells: Cells, wanted: float) -> DataFrame:
     return queries.mapInArrow(plan, _with(queries, ("_next", T.IntegerType())))
 
 
+def _choices(batch: pa.RecordBatch, cells: Cells) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Queries with a direction, some at a time, and the cells each looks into: those from ``_seen`` to ``_next``
+    that may hold something nearer."""
+    step = _together(cells)
+    for start in range(0, batch.num_rows, step):
+        part = batch.slice(start, step)
+        unit, kept = _unit(_matrix(part.column("_vector"), cells.dim))
+        part = part.take(pa.array(kept))
+        order, angle = _in_order(cells, unit)
+        place = np.arange(order.shape[1])
+        low, high = (part.column(c).to_numpy()[:, None] for c in ("_seen", "_next"))
+        reach = part.column("_reach").fill_null(np.inf).to_numpy()
+        wanted = np.zeros(order.shape, bool)
+        np.put_along_axis(wanted, order, (place >= low) & (place < high) & _may_hold(cells, order, angle, reach), 1)
+        yield part, wanted
+
+
 def _probes(queries: DataFrame, cells: Cells) -> DataFrame:
-    """One row per query and cell to look into: those from ``_seen`` to ``_next`` that may hold something nearer."""
+    """``_cell`` once for every query that looks into it."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, _QUERIES):
-                batch = whole.slice(start, _QUERIES)
-                unit, kept = _unit(_matrix(batch.column("_vector"), cells.dim))
-                batch = batch.take(pa.array(kept))
-                order, angle = _in_order(cells, unit)
-                place = np.arange(order.shape[1])
-                low, high = (batch.column(c).to_numpy()[:, None] for c in ("_seen", "_next"))
-                reach = batch.column("_reach").fill_null(np.inf).to_numpy()
-                row, at = np.nonzero((place >= low) & (place < high) & _may_hold(cells, order, angle, reach))
-                taken = batch.select(["_query", "_vector"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(order[row, at], pa.int32())], names=["_query", "_vector", "_cell"]
-                )
+        for batch in batches:
+            for _, wanted in _choices(batch, cells):
+                yield pa.RecordBatch.from_arrays([pa.array(np.nonzero(wanted)[1], pa.int32())], names=["_cell"])
 
-    layout = _with(queries.select("_query", "_vector"), ("_cell", T.IntegerType()))
+    return queries.select("_vector", "_seen", "_next", "_reach").mapInArrow(choose, "_cell int")
+
+
+def _wanted(queries: DataFrame, cells: Cells) -> DataFrame:
+    """Queries with ``_want``: a bit for each cell to look into."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, wanted in _choices(batch, cells):
+                bits = [row.tobytes() for row in np.packbits(wanted, axis=1, bitorder="little")]
+                columns = [part.column("_query"), part.column("_vector"), pa.array(bits, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["_query", "_vector", "_want"])
+
+    layout = _with(queries.select("_query", "_vector"), ("_want", T.BinaryType()))
     return queries.select("_query", "_vector", "_seen", "_next", "_reach").mapInArrow(choose, layout)
 
 
-def _look(probes: DataFrame, index: InvertedFile, layout, k: int, tile_queries: int, tile_items: int) -> DataFrame:
-    """Winners of every query in its cells; large cells and cells asked by many queries are cut into tiles."""
-    query_sizes = probes.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / tile_queries).cast("int").alias("_nq"))
-    counts = [(int(c), int(-(-n // tile_items))) for c, n in enumerate(index.cells.sizes) if n]
-    item_sizes = probes.sparkSession.createDataFrame(counts, "_cell int, _ni int")
-    grid = query_sizes.join(item_sizes, "_cell")  # at most one row for each cell
-    left = probes.join(grid, "_cell").select(
-        *probes.columns,
-        F.pmod(F.xxhash64("_query"), F.col("_nq")).cast("int").alias("_qt"),
-        F.explode(F.sequence(F.lit(0), F.col("_ni") - 1)).alias("_it"),
+def _grid(n_queries: int, dim: int, tasks: int, tile_queries: int) -> tuple[int, int]:
+    """Blocks of queries and shares of cells.
+
+    Items pass once for each block and queries once for each share, so both are about the root of the
+    number of tasks until blocks reach their bound.
+    """
+    most = max(1, min(tile_queries, _BLOCK_BYTES // (8 * dim)))
+    side = int(np.ceil(np.sqrt(tasks)))
+    blocks = max(1, -(-n_queries // most), min(side, -(-n_queries // _LEAST_BLOCK)))
+    return blocks, max(1, -(-tasks // blocks))
+
+
+def _dealt(probes: DataFrame, cells: Cells, shares: int, tile_items: int) -> list[tuple[int, int, int, int]]:
+    """(cell, its tiles, tile, share) of the cells that queries look into, the heaviest dealt first."""
+    work = []
+    for row in probes.groupBy("_cell").count().collect():  # one row for each cell
+        tiles = int(-(-cells.sizes[row["_cell"]] // tile_items))
+        work += [(row["count"] * int(cells.sizes[row["_cell"]]) / tiles, row["_cell"], tiles, tile) for tile in range(tiles)]
+    heap, out = [(0.0, share) for share in range(shares)], []
+    for load, cell, tiles, tile in sorted(work, reverse=True):
+        busy, share = heappop(heap)
+        heappush(heap, (busy + load, share))
+        out.append((cell, tiles, tile, share))
+    return out
+
+
+def _look(
+    probes: DataFrame, index: InvertedFile, queries: DataFrame, layout, k: int, tile_queries: int, tile_items: int
+) -> DataFrame:
+    """Winners of every query in the cells it wants, at most k for each query and share.
+
+    ``probes`` decide how cells are dealt: shares get about the same number of pairs.
+    """
+    cells, kept, spark = index.cells, list(index.kept), queries.sparkSession
+    dim = cells.dim
+    blocks, shares = _grid(queries.count(), dim, 4 * spark.sparkContext.defaultParallelism, tile_queries)
+    dealt = spark.createDataFrame(
+        _dealt(probes, cells, shares, tile_items), "_cell int, _tiles int, _tile int, _share int"
     )
-    right = index.items.join(grid, "_cell").select(
-        *index.items.columns,
-        F.explode(F.sequence(F.lit(0), F.col("_nq") - 1)).alias("_qt"),
-        F.pmod(F.xxhash64(index.item_id), F.col("_ni")).cast("int").alias("_it"),
+    tiles = dealt.select("_cell", "_tiles").distinct()
+    items = index.items.join(F.broadcast(tiles), "_cell")
+    items = items.withColumn("_tile", F.pmod(F.xxhash64(index.item_id), F.col("_tiles")).cast("int")).drop("_tiles")
+    items = items.join(F.broadcast(dealt.drop("_tiles")), ["_cell", "_tile"])
+    left = _pack(_wanted(queries, cells), ["_query", "_want"], F.pmod(F.xxhash64("_query"), F.lit(blocks)), dim, None)
+    right = _pack(items, kept, F.col("_share"), dim, "_cell")
+    left = left.select(F.col("_at").alias("_block"), _all_of(shares).alias("_share"), F.lit(0).alias("_side"), "rows", "matrix")
+    right = right.select(
+        _all_of(blocks).alias("_block"), F.col("_at").alias("_share"), F.lit(1).alias("_side"), "rows", "matrix", "_group"
     )
-    return join_cells(left, right, ["_cell", "_qt", "_it"], layout, list(index.kept), index.cells.dim, k, None)
+    met = left.unionByName(right, allowMissingColumns=True)
+    met = met.withColumn("_at", F.col("_block") * shares + F.col("_share")).drop("_block", "_share")
+    met = met.repartitionById(blocks * shares, F.col("_at"))
+    arrow_layout = to_arrow_schema(layout)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, parts, best, bits, waiting, size, cell = None, [], None, None, [], 0, None
+
+        def take() -> None:
+            if waiting:
+                asked = np.flatnonzero(bits[:, cell >> 3] >> (cell & 7) & 1)
+                if len(asked):
+                    matrix = np.concatenate([m for _, m in waiting]).astype(np.float64)
+                    best.add(matrix, pa.concat_tables([r for r, _ in waiting]).to_pandas(), kept[0], asked)
+                waiting.clear()
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
+                if row["_at"] != here:
+                    if best is not None:
+                        take()
+                        yield from _frames(best.winners(), arrow_layout)
+                    here, parts, best, size = row["_at"], [], None, 0
+                if row["_side"] == 0:
+                    parts.append(_unpacked(row, dim))
+                    continue
+                if best is None:
+                    if not parts:
+                        continue
+                    asked = pa.concat_tables([r for r, _ in parts])
+                    matrix = np.concatenate([m for _, m in parts]).astype(np.float64)
+                    parts = [None]
+                    best = _Nearest(*_unit_queries(asked.column("_query").to_pandas().to_numpy(), matrix), k)
+                    bits = np.frombuffer(b"".join(asked.column("_want").to_pylist()), np.uint8).reshape(len(best.ids), -1)
+                    del asked, matrix
+                if row["_group"] != cell or size >= _TOGETHER_BYTES:
+                    take()
+                    cell, size = row["_group"], 0
+                waiting.append(_unpacked(row, dim))
+                size += waiting[-1][1].nbytes
+        if best is not None:
+            take()
+            yield from _frames(best.winners(), arrow_layout)
+
+    return met.sortWithinPartitions("_at", "_side", "_group").mapInArrow(meet, layout)
 
 
 def search_index(
@@ -258,7 +378,7 @@ def search_index(
     )
     found, done, turn = None, None, 0
     while True:
-        won = _look(_probes(state, cells), index, layout, k, tile_queries, tile_items)
+        won = _look(_probes(state, cells), index, state, layout, k, tile_queries, tile_items)
         if found is not None:
             won = won.unionByName(found)
         best = merge_winners(won, "_query", index.item_id, None, k)

@@ -128,6 +128,21 @@ def test_fewer_items_than_wanted_and_odd_vectors(spark):
         approximate_items(queries, items.unionByName(bad), 3, DIM).count()
 
 
+def test_cells_are_searched_without_a_vector_for_each_query_and_cell(spark):
+    """What is shuffled grows with queries and items: probes are bare cells, blocks and shares few at any size."""
+    q, queries = cloud(spark, 60, 15, ("qid", "vector"))
+    m, items = cloud(spark, 200, 16, ("chunk_id", "embedding"))
+    index = approximate.build_index(items, DIM, cells=9)
+    state = queries.select(F.col("qid").alias("_query"), F.col("vector").alias("_vector"), F.lit(0).alias("_seen"),
+                           F.lit(None).cast("double").alias("_reach"), F.lit(9).alias("_next"))
+    probes = approximate._probes(state, index.cells)
+    assert probes.columns == ["_cell"] and probes.count() == 60 * int((index.cells.sizes > 0).sum())
+    sizes = [approximate._grid(n, 64, 48, approximate.TILE_QUERIES) for n in (10_000, 100_000, 600_000)]
+    assert all(blocks + shares <= 16 and blocks * shares >= 48 for blocks, shares in sizes)
+    found = approximate.search_index(queries, index, 7, miss=0, tile_queries=11, tile_items=6)
+    assert ranked(found) == brute(q, m, 7)
+
+
 def clustered(spark, n, seed, names):
     rng = np.random.default_rng(seed)
     middles = np.random.default_rng(1).standard_normal((40, DIM))
