@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievegate.llm import mixing, ngram_join, packing, quality, secret_scan
-from sievegate.llm.shared import drop, scratch, stored
+from sievegate.llm.shared import drop, scratch, small_batches, stored
 from sievegate.llm.tokens import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -63,7 +65,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of the packed corpus. A stage's tables go once its result is stored, that once the next one is."""
     docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (_, stage) in enumerate(STAGES):
-        with scratch(spark):
+        with scratch(spark), small_batches(spark) if stage is pack else nullcontext():
             rows = stage(spark, docs, sf_dir)
             docs = stored(rows, f"stage-{number}", keep=True)
         if last is not None:

@@ -20,6 +20,8 @@ LONGEST = 2048
 SHORTEST_TIER = 256
 # Sequences in a step group.
 STEP_SEQUENCES = 64
+# Distinct pieces that a worker remembers: few, since the pipeline's executors are nearly full when packing begins.
+REMEMBERED = 300_000
 _RESULT = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, tier int, step_group long"
@@ -114,7 +116,7 @@ def pack_documents(
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_for(tokenizer)
+        encoder = encoder_for(tokenizer, remembered=REMEMBERED)
         sequence = group = TaskContext.get().partitionId() << 36
         for batch in batches:
             for rows in chunks_of(batch, "text"):

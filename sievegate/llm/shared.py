@@ -53,6 +53,18 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             _remove(spark, path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Python workers of the plans that run inside the block get at most 4 MB at a time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(4 << 20))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def words_of(text: Column) -> Column:
     r"""Runs of characters other than space and \x09-\x0D; a null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")

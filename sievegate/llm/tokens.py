@@ -114,8 +114,8 @@ class PieceEncoder:
     lower case where they are ASCII. Pieces repeat, hence a memory from pieces to ids.
     """
 
-    def __init__(self, path: str, spaces_matter: bool = True):
-        self._wide = spaces_matter
+    def __init__(self, path: str, spaces_matter: bool = True, remembered: int = REMEMBERED):
+        self._wide, self._remembered = spaces_matter, remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -151,7 +151,7 @@ class PieceEncoder:
     def _encode_part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_bytes(texts)
         codes, bounds, distinct = coded_pieces(data, offsets, True) if self._wide else coded_words(data, offsets)
-        if len(self._memory) > REMEMBERED or len(self._ids) > 8 * REMEMBERED:
+        if len(self._memory) > self._remembered or len(self._ids) > 8 * self._remembered:
             self._forget()
         known, fresh = self._memory.numbers(*text_bytes(distinct))
         self._learn(distinct.take(pa.array(fresh)).cast(pa.large_string()).to_pylist())
@@ -162,12 +162,12 @@ class PieceEncoder:
         return gather(self._ids.values, begins[known], sizes), ends[bounds]
 
 
-def encoder_for(path: str, spaces_matter: bool = True) -> PieceEncoder:
+def encoder_for(path: str, spaces_matter: bool = True, remembered: int = REMEMBERED) -> PieceEncoder:
     """The encoder of this Python worker, whose memory serves all tasks that the worker runs."""
     kept = sys.modules.setdefault("kept_piece_encoders", types.ModuleType("kept_piece_encoders"))
-    name = f"{path}:{spaces_matter}"
+    name = f"{path}:{spaces_matter}:{remembered}"
     if not hasattr(kept, name):
-        setattr(kept, name, PieceEncoder(path, spaces_matter))
+        setattr(kept, name, PieceEncoder(path, spaces_matter, remembered))
     return getattr(kept, name)
 
 

@@ -62,6 +62,16 @@ def test_memory_of_an_encoder_is_bounded_by_parts_of_a_batch(name):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == plain(name)(texts[i])
 
 
+def test_an_encoder_that_remembers_little_gives_the_same_ids():
+    texts = [" ".join(f"w{i * 7 + j}" for j in range(30)) for i in range(40)]
+    encoder, ids_of, most = PieceEncoder(tokenizer_path(BYTE_FILE), remembered=50), plain(BYTE_FILE), 0
+    for text in texts:
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == ids_of(text)
+        most = max(most, len(encoder._memory))
+    assert most <= 50 + 30
+
+
 def test_codes_round_trip_and_random_access():
     rng = np.random.default_rng(3)
     for ids in (np.zeros(0, int), np.array([0]), np.array([255, 256, 65535, 65536, 2**32 - 1]),
