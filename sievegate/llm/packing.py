@@ -13,15 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievegate.llm.arrays import chunks_of
-from sievegate.llm.tokens import crc, encoder_for, with_end
+from sievegate.llm.tokens import REMEMBERED, crc, encoder_for, forget_encoder, with_end
 
 END_ID = 1
 LONGEST = 2048
 SHORTEST_TIER = 256
 # Sequences in a step group.
 STEP_SEQUENCES = 64
-# Distinct pieces that a worker remembers: few, since the pipeline's executors are nearly full when packing begins.
-REMEMBERED = 300_000
 _RESULT = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, tier int, step_group long"
@@ -103,20 +101,22 @@ def balanced_groups(sequences: list[list[Piece]], size: int = STEP_SEQUENCES) ->
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, end_id: int = END_ID, longest: int = LONGEST,
-    id_column: str = "doc_id", text_column: str = "text",
+    id_column: str = "doc_id", text_column: str = "text", remembered: int = REMEMBERED, keep_encoder: bool = True,
 ) -> DataFrame:
     """One row per piece of a document: where it lies in which sequence.
 
     Every task encodes and packs its documents in pools of some megabytes of text, so nothing is
     shuffled and nothing but a pool is held. Sequences never span pools; each has exactly a power
     of two of tokens, hence no padding. Sequence and step group numbers hold the task's number.
+    A worker remembers the ids of about ``remembered`` distinct pieces; unless ``keep_encoder``, it
+    gives them and the tokenizer back when a task ends.
 
     A null or empty text is the end id alone; repeated rows are packed each for itself; a null id
     stays null. An empty table gives no rows. Other columns are ignored.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_for(tokenizer, remembered=REMEMBERED)
+        encoder = encoder_for(tokenizer, remembered=remembered)
         sequence = group = TaskContext.get().partitionId() << 36
         for batch in batches:
             for rows in chunks_of(batch, "text"):
@@ -149,6 +149,9 @@ def pack_documents(
                 )
                 sequence += len(sequences)
                 group += max(groups) + 1
+        if not keep_encoder:
+            encoder = None
+            forget_encoder(tokenizer, remembered=remembered)
 
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     return source.mapInArrow(pack, _RESULT)

@@ -171,6 +171,12 @@ def encoder_for(path: str, spaces_matter: bool = True, remembered: int = REMEMBE
     return getattr(kept, name)
 
 
+def forget_encoder(path: str, spaces_matter: bool = True, remembered: int = REMEMBERED) -> None:
+    """Gives back the memory of this Python worker's encoder, where nothing else refers to it."""
+    vars(sys.modules.get("kept_piece_encoders", types)).pop(f"{path}:{spaces_matter}:{remembered}", None)
+    release_memory()
+
+
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with ``end_id`` after every text."""
     out = np.insert(ids, bounds[1:], np.uint32(end_id))

@@ -1,5 +1,6 @@
 """Token files and packing against plain encoding."""
 
+import inspect
 import random
 import tracemalloc
 import zlib
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from sievegate.llm import arrays, packing, token_files
+from sievegate.llm import arrays, packing, token_files, tokens
 from sievegate.llm.tokens import PieceEncoder, tokenizer_path
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -72,6 +73,28 @@ def test_an_encoder_that_remembers_little_gives_the_same_ids():
     assert most <= 50 + 30
 
 
+def test_packing_alone_encodes_no_piece_twice():
+    """420,000 distinct words, as a worker meets them in a few documents of a large table."""
+    remembered = inspect.signature(packing.pack_documents).parameters["remembered"].default
+    encoder, learned = PieceEncoder(tokenizer_path(BYTE_FILE), remembered=remembered), []
+    learn = encoder._learn
+    encoder._learn = lambda fresh: (learned.append(len(fresh)), learn(fresh))
+    texts = pa.array(["".join(f" w{i}" for i in range(a, a + 70_000)) for a in range(0, 420_000, 70_000)])
+    first, _ = encoder.encode(texts)
+    assert sum(learned) == 420_000
+    again, _ = encoder.encode(texts)
+    assert sum(learned) == 420_000 and (first == again).all()
+
+
+def test_a_forgotten_encoder_is_made_anew():
+    path = tokenizer_path(BYTE_FILE)
+    tokens.forget_encoder(path, remembered=9)
+    one = tokens.encoder_for(path, remembered=9)
+    assert tokens.encoder_for(path, remembered=9) is one
+    tokens.forget_encoder(path, remembered=9)
+    assert tokens.encoder_for(path, remembered=9) is not one
+
+
 def test_codes_round_trip_and_random_access():
     rng = np.random.default_rng(3)
     for ids in (np.zeros(0, int), np.array([0]), np.array([255, 256, 65535, 65536, 2**32 - 1]),
