@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievegate.functions import vectors as v
-from sievegate.operators import approximate
+from sievegate.operators import approximate, neighbors
 from sievegate.operators.approximate import approximate_items, recall_against
 from sievegate.operators.encode import as_variant, encoder_column, hashed_vectors, split_malformed
 from sievegate.operators.neighbors import document_ranking, nearest_items
@@ -58,6 +58,35 @@ def test_exact_join_per_group(spark, ways):
         assert {key[0]: names for key, names in got.items() if key[1] == part} == expected
 
 
+def test_blocks_and_shares_send_little_and_make_enough_tasks():
+    """Rows of about 1 GB of documents: 40 blocks sent every wide item 40 times."""
+    blocks, shares = neighbors._cuts(80_600, 1_790_000, 256, 50, 48)
+    assert blocks <= 8 and blocks * shares >= 48
+    blocks, shares = neighbors._cuts(615_000, 615_000, 64, 50, 48)
+    assert shares == 1 and 615_000 / blocks <= neighbors._BLOCK_QUERIES
+    for n, m, dim, k, tasks in [(1, 1, 8, 3, 16), (0, 0, 8, 3, 16), (9_000, 50, 64, 10, 48), (10**6, 10**7, 256, 150, 48)]:
+        blocks, shares = neighbors._cuts(n, m, dim, k, tasks)
+        assert n / blocks * dim * 8 <= neighbors._BLOCK_BYTES and m / shares <= neighbors._SHARE_ITEMS
+
+
+@pytest.mark.parametrize("group", [None, "part"])
+def test_exact_join_of_blocks_and_shares(spark, monkeypatch, group):
+    monkeypatch.setattr(neighbors, "_LEAST_BLOCK", 10)
+    monkeypatch.setattr(neighbors, "_LEAST_SHARE", 60)
+    monkeypatch.setattr(neighbors, "_WINNER_BYTES", 1)
+    assert min(neighbors._cuts(40, 300, DIM, 6, 16)) > 1
+    q, queries = cloud(spark, 40, 21, ("qid", "vector"))
+    m, items = cloud(spark, 300, 22, ("chunk_id", "embedding"), copies=50)
+    got = nearest_items(queries, items.repartition(5), 6, DIM, group=group, broadcast_bytes=0)
+    if group is None:
+        assert ranked(got) == brute(q, m, 6)
+        return
+    found = ranked(got, "part")
+    for part in range(3):
+        mine = {key[0]: names for key, names in found.items() if key[1] == part}
+        assert mine == brute(q, m, 6, lambda j, p=part: j % 3 == p)
+
+
 def test_a_task_hands_on_k_rows_per_query_once(spark, monkeypatch):
     from sievegate.operators import neighbors
 
