@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import nullcontext
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +13,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = "byte_bpe_50k.json"
 #: Near copies share 80 of 100 shingles of five words; op8's query has its own numbers.
 SHINGLE_WORDS, LINK, PARTS = 5, 80, 100
+#: Distinct pieces that a worker remembers: few, since executors are nearly full when packing begins.
+REMEMBERED = 300_000
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +45,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and the sequences that hold them."""
-    return packing.pack_documents(docs, tokenizer_path(TOKENIZER))
+    """Pieces of documents and the sequences that hold them, stored at once while workers get small batches."""
+    pieces = packing.pack_documents(docs, tokenizer_path(TOKENIZER), remembered=REMEMBERED, keep_encoder=False)
+    with small_batches(spark):
+        return stored(pieces, "packed")
 
 
 STAGES = [
@@ -65,7 +67,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of the packed corpus. A stage's tables go once its result is stored, that once the next one is."""
     docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (_, stage) in enumerate(STAGES):
-        with scratch(spark), small_batches(spark) if stage is pack else nullcontext():
+        with scratch(spark):
             rows = stage(spark, docs, sf_dir)
             docs = stored(rows, f"stage-{number}", keep=True)
         if last is not None:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline
+from sievegate.llm import packing
 from sievegate.session import shared_folder
 from test_ngram_join import brute
 from test_quality_secrets import measured, plain_spans
@@ -155,6 +156,22 @@ def test_stages_take_odd_rows_and_none(spark, rows_of, number):
     assert none.count() == 0
 
 
+def test_workers_of_the_packing_stage_get_small_batches(spark, rows_of, monkeypatch):
+    """The stage as the pipeline's table lists it, which its callers run one by one."""
+    cut = packing.chunks_of
+
+    def bounded(batch, column):
+        if batch.nbytes > 6 << 20:
+            raise MemoryError(f"{batch.nbytes} bytes in a batch")
+        return cut(batch, column)
+
+    monkeypatch.setattr(packing, "chunks_of", bounded)
+    name, stage = corpus_pipeline.STAGES[-1]
+    docs = rows_of([(i, "ab " * 350_000) for i in range(12)]).coalesce(1)
+    got = stage(spark, docs, FOLDER).groupBy("doc_id").sum("length").collect()
+    assert {r[0]: r[1] for r in got}.keys() == set(range(12)) and len({r[1] for r in got}) == 1
+
+
 def test_join_stage_drops_copies_with_two_edits_in_a_hundred_words(spark, rows_of):
     words = [f"w{i}" for i in range(100)]
     near = [*words[:30], "x", *words[31:65], "y", *words[66:]]
