@@ -386,7 +386,7 @@ def block_classes(blocks: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The same for packed documents; of the tables on the way only those of one row a document stay."""
     if 2 * rule.link**2 <= rule.parts**2:
         raise ValueError("signatures need a similarity above the root of a half")
-    entries = index_entries(blocks, rule)
+    entries = index_entries(blocks.drop("rest"), rule)
     classes = link_classes(entries, rule)
     ids = stored(entries.select("row", "doc_id", "n"), "ids")
     drop(entries)

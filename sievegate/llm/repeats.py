@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +36,10 @@ def pack_blocks(
 ) -> DataFrame:
     """Table of blocks, each with some megabytes of consecutive documents (at least one).
 
-    The columns of ``keep`` go along, for ``Block.rest``.
+    The columns of ``keep`` go along, for ``Block.rest``. A text among them is stored once, in the body.
     """
-    kept = [f"keep_{i}" for i in range(len(keep))]
+    own = text_column if dict(docs.dtypes).get(text_column) == "string" and "." not in text_column else None
+    kept = ["text" if c == own else f"keep_{i}" for i, c in enumerate(keep)]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << BLOCK_BITS
@@ -58,12 +60,17 @@ def pack_blocks(
 
     source = docs.select(
         F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"),
-        *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)],
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True) if k != "text"],
     )
     return stored(source.mapInArrow(pack, _BLOCK), "blocks")
 
 
 def _streamed(batch: pa.RecordBatch) -> bytes:
+    """The batch in Arrow's stream format; of ``text`` only where it is null, other texts are empty there."""
+    if "text" in batch.schema.names:
+        text = batch.column("text")
+        nulls = pc.if_else(text.is_null(), pa.scalar(None, text.type), pa.scalar("", text.type))
+        batch = batch.set_column(batch.schema.get_field_index("text"), "text", nulls)
     sink = pa.BufferOutputStream()
     options = pa.ipc.IpcWriteOptions(compression=_ZSTD)
     with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
@@ -82,7 +89,7 @@ class Block:
         size = table.column("size")[row].as_py()
         body = table.column("body")[row].as_py()
         self.data = np.frombuffer(pa.decompress(body, size, _ZSTD, asbytes=True), np.uint8)
-        self._rest = table.column("rest")[row].as_py()
+        self._rest = table.column("rest")[row].as_py() if "rest" in table.column_names else None
 
     def rows(self) -> np.ndarray:
         """Numbers of the block's rows, unique in the table of blocks."""
@@ -90,7 +97,13 @@ class Block:
 
     def rest(self, names: tuple[str, ...]) -> pa.Table:
         """The columns that were kept, under the given names."""
-        return pa.ipc.open_stream(self._rest).read_all().rename_columns(list(names))
+        rest = pa.ipc.open_stream(self._rest).read_all()
+        if "text" in rest.column_names:
+            known = rest.column("text").combine_chunks()
+            buffers = [known.buffers()[0], pa.py_buffer(self.offsets.astype(np.int32)), pa.py_buffer(self.data)]
+            text = pa.Array.from_buffers(pa.string(), len(known), buffers)
+            rest = rest.set_column(rest.column_names.index("text"), "text", text)
+        return rest.rename_columns(list(names))
 
 
 def range_count(blocks: DataFrame, keys_per_byte: float) -> int:

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from sievegate.llm import ngram_join
+from sievegate.llm import ngram_join, repeats
 from sievegate.llm.components import roots
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -164,3 +164,29 @@ def test_a_very_long_text_in_many_copies_has_no_more_signatures_than_shingles(li
 
     a, b = signed(base), signed(near)
     assert len(a) <= len(base) and len(b) <= len(near) and set(a) & set(b)
+
+
+ODD_TEXTS = ["Été a b c", None, "", "x " * 40, "日本 \n", None, "end"]
+
+
+def test_texts_come_back_from_the_body(rows_of):
+    rows = rows_of([*enumerate(ODD_TEXTS), (None, ODD_TEXTS[0] + "?")], 2)
+    want = sorted(((r.n_chars, r.text, r.doc_id, r.key) for r in rows.collect()), key=repr)
+    got = ngram_join.one_per_class(rows, ("n_chars", "text", "doc_id", "key")).collect()
+    assert sorted(map(tuple, got), key=repr) == want
+    texts = sorted((t for _, t, _, _ in want), key=repr)
+    assert sorted((r.text for r in ngram_join.one_per_class(rows, ("text",)).collect()), key=repr) == texts
+    other = ngram_join.one_per_class(rows.withColumnRenamed("text", "other"), ("other", "key"), text_column="other")
+    assert sorted((r.other for r in other.collect()), key=repr) == texts
+
+
+def test_a_kept_text_is_stored_once_and_asked_alone(rows_of, monkeypatch):
+    rng = random.Random(8)
+    rows = rows_of([(i, " ".join(f"{rng.getrandbits(64):x}" for _ in range(400))) for i in range(40)])
+    size = lambda blocks: sum(len(b.body) + len(b.rest or b"") for b in blocks.collect())
+    plain = size(repeats.pack_blocks(rows, "doc_id", "text"))
+    assert size(repeats.pack_blocks(rows, "doc_id", "text", keep=("doc_id", "text", "lang"))) < 1.1 * plain
+    asked, plainly = [], ngram_join.index_entries
+    monkeypatch.setattr(ngram_join, "index_entries", lambda blocks, rule: asked.append(blocks) or plainly(blocks, rule))
+    assert ngram_join.one_per_class(rows, ("doc_id", "text")).count() == 40
+    assert "rest" not in asked[0].columns
