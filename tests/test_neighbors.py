@@ -87,6 +87,46 @@ def test_exact_join_of_blocks_and_shares(spark, monkeypatch, group):
         assert mine == brute(q, m, 6, lambda j, p=part: j % 3 == p)
 
 
+def shuffled(frame):
+    """Bytes that the exchanges of a finished frame have written."""
+    rows = frame.collect()
+    total, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleBytesWritten").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total, rows
+
+
+def test_items_are_sent_once_for_all_blocks(spark, monkeypatch):
+    """With a copy of the items for every block, what is stored grew with queries times items."""
+    q, queries = cloud(spark, 40, 31, ("qid", "vector"))
+    m, items = cloud(spark, 3_000, 32, ("chunk_id", "embedding"))
+    sent = {}
+    for least in (20, 3):
+        monkeypatch.setattr(neighbors, "_LEAST_BLOCK", least)
+        assert neighbors._cuts(40, 3_000, DIM, 2, 16)[0] == 40 // least
+        hits = nearest_items(queries, items.repartition(5), 2, DIM, broadcast_bytes=0)
+        sent[least], rows = shuffled(hits)
+        assert ranked(spark.createDataFrame(rows)) == brute(q, m, 2)
+    assert sent[3] < 1.5 * sent[20]
+
+
+def test_blocks_that_read_stored_items_need_few_shares():
+    """Rows of about 1 and 6 GB of documents: k winners of a query are sent for every share."""
+    assert neighbors._stream_cuts(80_600, 1_790_000, 256, 50, 48) == (40, 1)
+    assert neighbors._stream_cuts(484_000, 10_700_000, 256, 50, 48) == (48, 1)
+    assert neighbors._stream_cuts(5_000, 1_790_000, 256, 50, 48) == (2, 17)
+    blocks, _ = neighbors._stream_cuts(10**7, 10**6, 256, 150, 48)
+    assert 10**7 / blocks * 256 * 8 <= neighbors._BLOCK_BYTES
+
+
 def test_a_task_hands_on_k_rows_per_query_once(spark, monkeypatch):
     from sievegate.operators import neighbors
 
