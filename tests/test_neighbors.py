@@ -121,7 +121,7 @@ def test_items_are_sent_once_for_all_blocks(spark, monkeypatch):
 def test_blocks_that_read_stored_items_need_few_shares():
     """Rows of about 1 and 6 GB of documents: k winners of a query are sent for every share."""
     assert neighbors._stream_cuts(80_600, 1_790_000, 256, 50, 48) == (40, 1)
-    assert neighbors._stream_cuts(484_000, 10_700_000, 256, 50, 48) == (48, 1)
+    assert neighbors._stream_cuts(484_000, 10_700_000, 256, 50, 48) == (60, 1)
     assert neighbors._stream_cuts(5_000, 1_790_000, 256, 50, 48) == (2, 17)
     blocks, _ = neighbors._stream_cuts(10**7, 10**6, 256, 150, 48)
     assert 10**7 / blocks * 256 * 8 <= neighbors._BLOCK_BYTES
